@@ -1,0 +1,174 @@
+"""Messages in, scored posts in the table: the streaming job."""
+
+from __future__ import annotations
+
+import logging
+from collections import deque
+from collections.abc import Callable
+from datetime import datetime
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+from feedpulse.operators.metrics import rollup_posts
+from feedpulse.operators.scoring import LexiconScorer, Scorer, check_scorer, score_posts
+from feedpulse.operators.view import posts_view
+from feedpulse.schema import POST_COLUMNS
+from feedpulse.sources.feed import clean_feed
+from feedpulse.sources.messages import decode_kafka, parse_posts, split_valid
+from feedpulse.sources.table import newest_in_batch, upsert_posts
+
+log = logging.getLogger(__name__)
+
+
+def _replace_folder(df: DataFrame, path: str, batch_id: int) -> None:
+    """Small side outputs follow the table's rule: a batch owns its folder."""
+    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def batch_writer(
+    path: str,
+    scorer: Scorer | None = None,
+    clean: bool = False,
+    communities: list[str] | None = None,
+    language: str | None = "en",
+    scorer_partitions: int | None = None,
+    as_of: datetime | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """The function run on each micro-batch of messages.
+
+    Under ``path`` it writes the folders ``posts``, ``dead_letters`` and
+    ``batch_log``. The parsed batch is kept for the two writes and the counts,
+    so the source is read once; posts are scored once, on the way to the table.
+    No row comes to the driver.
+    """
+    scorer = scorer or LexiconScorer()
+
+    def process_batch(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse_posts(decode_kafka(batch)).persist()
+        try:
+            if parsed.isEmpty():
+                log.info("batch %s is empty", batch_id)
+                return
+            valid, dead = split_valid(parsed)
+            posts = newest_in_batch(valid.drop("key", "value")).select(*POST_COLUMNS)
+            if clean:
+                posts = clean_feed(posts, communities, language)
+            if scorer_partitions:
+                posts = posts.repartition(scorer_partitions)
+            written = Observation()
+            scored = score_posts(posts, scorer).observe(written, F.count(F.lit(1)).alias("rows"))
+            upsert_posts(scored, batch_id, f"{path}/posts", as_of)
+            _replace_folder(dead, f"{path}/dead_letters", batch_id)
+            counts = parsed.agg(
+                F.count(F.lit(1)).alias("rows_in"), F.count("id").alias("rows_valid")
+            ).select(
+                "rows_in",
+                "rows_valid",
+                (F.col("rows_in") - F.col("rows_valid")).alias("rows_dead"),
+                F.lit(written.get["rows"]).cast("long").alias("rows_written"),
+                F.current_timestamp().alias("logged_at"),
+            )
+            _replace_folder(counts.coalesce(1), f"{path}/batch_log", batch_id)
+        finally:
+            parsed.unpersist()
+
+    return process_batch
+
+
+def run_stream(
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    scorer: Scorer | None = None,
+    trigger: dict | None = None,
+    **batch_options,
+) -> StreamingQuery:
+    """Starts the job on a stream with a ``value`` column; the caller awaits it.
+
+    ``checkpoint`` belongs to this query alone. The default trigger is a
+    micro-batch every five seconds; ``{"availableNow": True}`` drains the source
+    and stops.
+    """
+    scorer = scorer or LexiconScorer()
+    check_scorer(messages.sparkSession, scorer)
+    return (
+        messages.writeStream.foreachBatch(batch_writer(path, scorer, **batch_options))
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "5 seconds"}))
+        .start()
+    )
+
+
+def await_stream(query: StreamingQuery, timeout: float | None = None) -> None:
+    """Waits for the query and stops it on the way out, error or not."""
+    try:
+        query.awaitTermination(timeout) if timeout else query.awaitTermination()
+    finally:
+        query.stop()
+
+
+def read_folder(spark: SparkSession, path: str) -> DataFrame:
+    """A side output (dead letters, batch log) over all batches."""
+    return spark.read.parquet(path)
+
+
+def refresh_rollups(
+    posts: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Keeps a rollup table current from a stream of scored posts.
+
+    Each batch writes the rollup of its own rows; :func:`read_rollup` adds them
+    up. Nothing is kept between batches, so the job has no state to outgrow, and
+    a replayed batch replaces its own part. The source must hold each post once;
+    where posts are re-sent, run ``rollup_posts(scan_posts(...))`` instead.
+    """
+
+    def write_part(batch: DataFrame, batch_id: int) -> None:
+        _replace_folder(rollup_posts(posts_view(batch)), path, batch_id)
+
+    return (
+        posts.writeStream.foreachBatch(write_part)
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "5 seconds"}))
+        .start()
+    )
+
+
+def read_rollup(spark: SparkSession, path: str) -> DataFrame:
+    """The rollup of all batches, ready for any panel."""
+    return rollup_posts(spark.read.parquet(path))
+
+
+class StreamReporter(StreamingQueryListener):
+    """Logs progress and keeps the last reports of the streams of a session."""
+
+    def __init__(self, keep: int = 100):
+        self.reports: deque[dict] = deque(maxlen=keep)
+
+    def _report(self, **fields) -> None:
+        self.reports.append(fields)
+        log.info("%s", fields)
+
+    def onQueryStarted(self, event) -> None:
+        self._report(event="started", query=str(event.id))
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        self._report(
+            event="progress",
+            query=str(progress.id),
+            batch_id=progress.batchId,
+            rows=progress.numInputRows,
+            rows_per_second=progress.processedRowsPerSecond,
+            millis=progress.batchDuration,
+        )
+
+    def onQueryIdle(self, event) -> None:
+        self._report(event="idle", query=str(event.id))
+
+    def onQueryTerminated(self, event) -> None:
+        self._report(event="terminated", query=str(event.id), error=event.exception)
