@@ -10,8 +10,17 @@ UNITS = (QUARTER, "hour", "day", "week")
 
 
 def epoch_to_ts(col: Column) -> Column:
-    """Epoch seconds as a timestamp; null, 0 and out-of-range input give null."""
-    return F.nullif(col.cast("double"), F.lit(0.0)).try_cast("timestamp")
+    """Epoch seconds, whole or fractional, as a timestamp.
+
+    Null, 0 and values out of range give null. Rounding to the microsecond undoes
+    the error of the double, which truncation would let slip by one.
+    """
+    return seconds_to_ts(F.nullif(col.cast("double"), F.lit(0.0)))
+
+
+def seconds_to_ts(col: Column) -> Column:
+    """As :func:`epoch_to_ts`, but 0 is the epoch itself."""
+    return F.timestamp_micros(F.rint(col * F.lit(1e6)).try_cast("bigint"))
 
 
 def ts_to_epoch(col: Column) -> Column:

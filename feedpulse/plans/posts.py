@@ -13,10 +13,11 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def as_posts(documents: DataFrame) -> DataFrame:
     """Documents as posts: the first line is the title, the rest the body."""
     newline = F.instr("text", "\n")
-    times = [F.col("created_at")] if "created_at" in documents.columns else []
+    if "created_at" not in documents.columns:
+        documents = documents.withColumn("created_at", F.lit(None).cast("timestamp"))
     return documents.select(
         F.col("doc_id").cast("string").alias("id"),
-        *times,
+        "created_at",
         F.col("source").alias("subreddit"),
         F.substring_index("text", "\n", 1).alias("title"),
         F.when(newline > 0, F.substr("text", newline + 1)).otherwise("").alias("text"),
@@ -24,7 +25,7 @@ def as_posts(documents: DataFrame) -> DataFrame:
     )
 
 
-def documents_as_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def untimed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_posts(load(spark, sf_dir, "documents"))
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedpulse.functions.times import ts_to_epoch
+from feedpulse.functions.times import seconds_to_ts, ts_to_epoch
 from feedpulse.schema import POST_COLUMNS, WIRE_SCHEMA
 
 # Where a message stood in its topic; these order re-sent posts.
@@ -48,10 +48,17 @@ def decode_kafka(df: DataFrame) -> DataFrame:
     return df.select(*strings, *[c for c in POSITION_COLUMNS if c in df.columns])
 
 
-def parse_json(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """``value`` decoded into the columns of ``schema``, all null where it is not JSON."""
+def parse_json(
+    df: DataFrame, schema: T.StructType, value: str = "value", corrupt: str = "_corrupt"
+) -> DataFrame:
+    """``value`` decoded into the columns of ``schema``.
+
+    Text that is not such an object gives nulls and is copied to ``corrupt``.
+    """
     others = [c for c in df.columns if c not in schema.fieldNames()]
-    return df.withColumn("_data", F.from_json(value, schema)).select(*others, "_data.*")
+    with_corrupt = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    data = F.from_json(value, with_corrupt, {"columnNameOfCorruptRecord": corrupt})
+    return df.withColumn("_data", data).select(*others, "_data.*")
 
 
 def parse_posts(df: DataFrame, schema: T.StructType = WIRE_SCHEMA) -> DataFrame:
@@ -59,31 +66,26 @@ def parse_posts(df: DataFrame, schema: T.StructType = WIRE_SCHEMA) -> DataFrame:
 
     Whole and fractional seconds both parse; a time out of range becomes null.
     """
-    return parse_json(df, schema).withColumn(
-        "created_at", F.col("created_at").try_cast("timestamp")
-    )
+    return parse_json(df, schema).withColumn("created_at", seconds_to_ts(F.col("created_at")))
 
 
 def require_key(df: DataFrame, key: str = "id") -> DataFrame:
     return df.where(F.col(key).isNotNull())
 
 
-def bad_reason(key: str, fields: list[str], value: str = "value") -> Column:
-    """Why a parsed message cannot be stored; null if it can."""
-    nothing_parsed = F.coalesce(*[F.col(c).cast("string") for c in fields]).isNull()
-    return (
+def split_valid(
+    df: DataFrame, key: str = "id", value: str = "value", corrupt: str = "_corrupt"
+) -> tuple[DataFrame, DataFrame]:
+    """Parsed rows with a key, and the others as dead letters with the reason.
+
+    The reason is ``empty``, ``malformed`` (not a whole JSON object) or
+    ``no_key``. Input columns that are not part of the post stay with both.
+    """
+    reason = (
         F.when(F.col(value).isNull(), "empty")
-        .when(F.col(key).isNotNull(), F.lit(None))
-        .when(nothing_parsed & ~F.rlike(F.col(value), F.lit(r"^\s*\{.*\}\s*$")), "not_an_object")
+        .when(F.col(corrupt).isNotNull(), "malformed")
         .otherwise("no_key")
     )
-
-
-def split_valid(
-    df: DataFrame, key: str = "id", fields: list[str] | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Rows with a key, and the others as dead letters with the reason."""
-    reason = bad_reason(key, fields or POST_COLUMNS)
-    positions = [c for c in POSITION_COLUMNS if c in df.columns]
-    dead = df.where(F.col(key).isNull()).select("value", *positions, reason.alias("reason"))
-    return require_key(df, key), dead
+    kept = df.columns[: df.columns.index(key)]
+    dead = df.where(F.col(key).isNull()).select(*kept, reason.alias("reason"))
+    return require_key(df, key).drop(corrupt), dead

@@ -66,7 +66,7 @@ def latest_per_key(df: DataFrame, key: str = "id", order: str = "version") -> Da
     )
 
 
-def with_insertion_time(df: DataFrame, as_of: datetime | None = None) -> DataFrame:
+def with_insertion_time(df: DataFrame, as_of: datetime | Column | None = None) -> DataFrame:
     now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     return df.withColumn("insertion_time", now)
 
@@ -104,7 +104,7 @@ def _write_folder(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def upsert_posts(
-    df: DataFrame, batch_id: int, path: str, as_of: datetime | None = None
+    df: DataFrame, batch_id: int, path: str, as_of: datetime | Column | None = None
 ) -> None:
     """Writes scored posts, one per id, as version ``batch_id`` of those ids."""
     versioned = with_insertion_time(df, as_of).withColumn("version", F.lit(batch_id).cast("long"))
@@ -164,13 +164,13 @@ def _utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def _horizon(days: int, as_of: datetime | None) -> Column:
+def _horizon(days: int, as_of: datetime | Column | None) -> Column:
     now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     return now - F.make_dt_interval(F.lit(days))
 
 
 def retain(
-    df: DataFrame, days: int = RETENTION_DAYS, as_of: datetime | None = None
+    df: DataFrame, days: int = RETENTION_DAYS, as_of: datetime | Column | None = None
 ) -> DataFrame:
     """Rows inserted within the last ``days``."""
     return df.where(F.col("insertion_time") > _horizon(days, as_of))
