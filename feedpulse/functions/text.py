@@ -29,6 +29,11 @@ def strip_ws(col: Column) -> Column:
     return F.regexp_replace(col, f"^[{_SPACES}]+|[{_SPACES}]+$", "")
 
 
+def has_text(col: Column) -> Column:
+    """Whether anything but whitespace is there; stops at the first such character."""
+    return F.coalesce(F.rlike(col, F.lit(f"[^{_SPACES}]")), F.lit(False))
+
+
 def normalize_mentions_links(col: Column) -> Column:
     """Whole tokens ``@name`` become ``@user`` and ``http...`` become ``http``.
 

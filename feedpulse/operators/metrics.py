@@ -9,6 +9,8 @@ parts add up to the rollup of the whole.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,16 +20,16 @@ from feedpulse.functions.times import QUARTER, floor_ts
 ROLLUP_KEYS = ["bucket", "subreddit", "sentiment_label"]
 ROLLUP_COLUMNS = [*ROLLUP_KEYS, "posts", "scored", "score_sum", "first_post", "last_post"]
 
-# Spans below which a finer bucket is used, and the bucket names.
 _HOUR = 3_600_000_000
-_UNIT_LIMITS = [(12 * _HOUR, QUARTER), (24 * _HOUR, "hour"), (7 * 24 * _HOUR, "day")]
-_WIDEST_UNIT = "week"
-UNIT_TITLES = {
-    QUARTER: "15-Minute Intervals",
-    "hour": "Hourly",
-    "day": "Daily",
-    "week": "Weekly",
-}
+# A bucket unit, the span in microseconds it is used up to, its
+# name in the trend's title.
+_UNITS = [
+    (QUARTER, 12 * _HOUR, "15-Minute Intervals"),
+    ("hour", 24 * _HOUR, "Hourly"),
+    ("day", 7 * 24 * _HOUR, "Daily"),
+    ("week", None, "Weekly"),
+]
+UNIT_TITLES = {unit: title for unit, _, title in _UNITS}
 
 
 def as_measures(df: DataFrame) -> DataFrame:
@@ -182,29 +184,39 @@ def time_span(df: DataFrame) -> DataFrame:
     )
 
 
-def _pick(first: Column, last: Column, per_unit: dict[str, Column]) -> Column:
-    """The entry of the unit that suits the span from ``first`` to ``last``."""
+def _by_span(first: Column, last: Column, of_unit: Callable[[str], Column]) -> Column:
+    """``of_unit`` of the unit that suits the span from ``first`` to ``last``."""
     span = F.unix_micros(last) - F.unix_micros(first)
-    choice = None
-    for limit, unit in _UNIT_LIMITS:
-        choice = (
-            F.when(span < limit, per_unit[unit])
-            if choice is None
-            else choice.when(span < limit, per_unit[unit])
-        )
-    return choice.otherwise(per_unit[_WIDEST_UNIT])
+    *narrow, (widest, _, _) = _UNITS
+    return F.coalesce(
+        *[F.when(span < limit, of_unit(unit)) for unit, limit, _ in narrow], of_unit(widest)
+    )
+
+
+def _trunc_level(unit: str) -> Column:
+    return F.lit("minute" if unit == QUARTER else unit)
 
 
-def _adaptive_floor(ts: Column, first: Column, last: Column) -> Column:
-    return _pick(first, last, {unit: floor_ts(ts, unit) for unit in UNIT_TITLES})
+def _truncate(ts: Column, level: Column) -> Column:
+    """Floor to a level known only at run time; null where the level is null.
+
+    Every unit is made of whole quarter hours, so cutting to those first gives
+    the quarter hour itself at level ``minute`` and changes nothing at the others.
+    """
+    return F.call_function("date_trunc", level, floor_ts(ts, QUARTER))
 
 
-def _span_of(measures: DataFrame) -> tuple[Column, Column]:
-    """First and last time as a scalar subquery; it reads the time column only."""
-    span = measures.agg(
-        F.struct(F.min("first_post").alias("first"), F.max("last_post").alias("last")).alias("s")
-    ).scalar()
-    return span["first"], span["last"]
+def _level_of_span(df: DataFrame, first: Column, last: Column) -> Column:
+    """Truncation level for the span of all rows, as a scalar subquery.
+
+    Spark runs it once, before the stage that needs it, and it reads the time
+    column alone.
+    """
+    return (
+        df.agg(first.alias("first"), last.alias("last"))
+        .select(_by_span(F.col("first"), F.col("last"), _trunc_level))
+        .scalar()
+    )
 
 
 def adaptive_bucket(df: DataFrame, ts: str = "created_at", into: str = "bucket") -> DataFrame:
@@ -214,10 +226,7 @@ def adaptive_bucket(df: DataFrame, ts: str = "created_at", into: str = "bucket")
     weeks.
     """
     time = F.col(ts).cast("timestamp")
-    span = df.agg(
-        F.struct(F.min(time).alias("first"), F.max(time).alias("last")).alias("s")
-    ).scalar()
-    return df.withColumn(into, _adaptive_floor(time, span["first"], span["last"]))
+    return df.withColumn(into, _truncate(time, _level_of_span(df, F.min(time), F.max(time))))
 
 
 def sentiment_trend(
@@ -227,17 +236,22 @@ def sentiment_trend(
 
     The unit follows the span of the data unless given. Undated posts are left
     out, and fewer than two buckets give no rows: that is so exactly when the
-    first and the last post share a bucket.
+    first and the last post share a bucket, and the level is null then.
     """
     measures = as_measures(df).where(F.col("bucket").isNotNull())
-    first, last = _span_of(measures)
+    first, last = F.col("first"), F.col("last")
 
-    def floor(ts: Column) -> Column:
-        return floor_ts(ts, unit) if unit else _adaptive_floor(ts, first, last)
+    def level_if_two(of: str) -> Column:
+        apart = floor_ts(first, of) < floor_ts(last, of)
+        return F.when(apart, _trunc_level(of)).otherwise(F.lit(""))
 
+    level = (
+        measures.agg(F.min("first_post").alias("first"), F.max("last_post").alias("last"))
+        .select(level_if_two(unit) if unit else _by_span(first, last, level_if_two))
+        .scalar()
+    )
     return (
-        measures.where(floor(first) < floor(last))
-        .groupBy(floor(F.col("bucket")).alias("bucket"))
+        measures.groupBy(_truncate(F.col("bucket"), level).alias("bucket"))
         .agg(
             _avg_score().alias("avg_score"),
             F.sum("scored").alias("posts"),
@@ -245,6 +259,7 @@ def sentiment_trend(
                 "positive_ratio"
             ),
         )
+        .where(F.col("bucket").isNotNull())
         .orderBy("bucket")
     )
 
@@ -252,18 +267,21 @@ def sentiment_trend(
 def trend_summary(df: DataFrame) -> DataFrame:
     """One row: time range, name of the bucket unit, number of buckets."""
     measures = as_measures(df).where(F.col("bucket").isNotNull())
-    first, last = _span_of(measures)
-    buckets = measures.groupBy(_adaptive_floor(F.col("bucket"), first, last).alias("bucket")).agg(
-        F.min("first_post").alias("first_post"), F.max("last_post").alias("last_post")
-    )
-    titles = {unit: F.lit(title) for unit, title in UNIT_TITLES.items()}
-    return buckets.agg(
-        F.min("first_post").alias("first_post"),
-        F.max("last_post").alias("last_post"),
-        F.count(F.lit(1)).alias("points"),
-    ).select(
-        "first_post",
-        "last_post",
-        _pick(F.col("first_post"), F.col("last_post"), titles).alias("time_grouping"),
-        "points",
+    level = _level_of_span(measures, F.min("first_post"), F.max("last_post"))
+    return (
+        measures.groupBy(_truncate(F.col("bucket"), level).alias("bucket"))
+        .agg(F.min("first_post").alias("first_post"), F.max("last_post").alias("last_post"))
+        .agg(
+            F.min("first_post").alias("first_post"),
+            F.max("last_post").alias("last_post"),
+            F.count(F.lit(1)).alias("points"),
+        )
+        .select(
+            "first_post",
+            "last_post",
+            _by_span(
+                F.col("first_post"), F.col("last_post"), lambda unit: F.lit(UNIT_TITLES[unit])
+            ).alias("time_grouping"),
+            "points",
+        )
     )

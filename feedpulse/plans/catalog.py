@@ -32,7 +32,7 @@ from feedpulse.operators.view import (
     recent_posts,
     schema_report,
 )
-from feedpulse.plans.posts import as_posts, load, timed_posts, untimed_posts
+from feedpulse.plans.posts import as_posts, load, load_documents, timed_posts, untimed_posts
 from feedpulse.schema import VIEW_COLUMNS, WIRE_SCHEMA
 from feedpulse.session import shared_folder
 from feedpulse.sources.feed import clean_feed, read_posts_stream
@@ -154,7 +154,7 @@ def normalized_mentions_links(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("source"),
         F.lit("\n\u00a0 "),
     )
-    return load(spark, sf_dir, "documents").select(
+    return load_documents(spark, sf_dir).select(
         "doc_id",
         normalize_mentions_links(noisy).alias("normalized"),
         strip_ws(noisy).alias("stripped"),
@@ -164,7 +164,7 @@ def normalized_mentions_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chunked_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All chunks of the whole texts, and whether a scorer gets to see each."""
     return (
-        load(spark, sf_dir, "documents")
+        load_documents(spark, sf_dir)
         .select("doc_id", F.posexplode(chunk_text(F.col("text"), max_chunks=None)))
         .select(
             "doc_id",
@@ -176,7 +176,7 @@ def chunked_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detected_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = load(spark, sf_dir, "documents")
+    documents = load_documents(spark, sf_dir)
     return detect_language(documents).select("doc_id", "lang_detected")
 
 
@@ -191,7 +191,7 @@ def cleaned_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     padded = F.when(F.col("lang") == "de", "  \n ").otherwise(
         F.concat(F.lit("\t "), F.col("text"), F.lit("  "))
     )
-    posts = as_posts(load(spark, sf_dir, "documents").withColumn("text", padded))
+    posts = as_posts(load_documents(spark, sf_dir).withColumn("text", padded))
     return clean_feed(posts, communities=FEED, language=None).drop("created_at")
 
 
@@ -362,7 +362,7 @@ def stored_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     The second batch re-sends the English posts under a changed title.
     """
     path, target = shared_folder(spark, "posts"), shared_folder(spark, "compacted")
-    documents = load(spark, sf_dir, "documents")
+    documents = load_documents(spark, sf_dir)
     edited = as_posts(documents.where(F.col("lang") == "en")).withColumn(
         "title", F.concat(F.lit("edited: "), F.col("title"))
     )

@@ -25,8 +25,22 @@ def as_posts(documents: DataFrame) -> DataFrame:
     )
 
 
+def load_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, over enough tasks for work per row.
+
+    A large table comes in as many splits and is read as it is. A file that
+    would keep less than half of the cores busy is spread over all of them; that
+    moves at most half a split of data per core.
+    """
+    documents = load(spark, sf_dir, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    if 2 * documents.rdd.getNumPartitions() > cores:
+        return documents
+    return documents.repartition(cores, "doc_id")
+
+
 def untimed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_posts(load(spark, sf_dir, "documents"))
+    return as_posts(load_documents(spark, sf_dir))
 
 
 def timed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,4 +52,4 @@ def timed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     times = load(spark, sf_dir, "events").select(
         F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("created_at")
     )
-    return as_posts(load(spark, sf_dir, "documents").join(times, "doc_id"))
+    return as_posts(load_documents(spark, sf_dir).join(times, "doc_id"))

@@ -7,8 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedpulse.functions.text import blank_if_null, combine_text, strip_ws
-from feedpulse.operators.language import detect_language, keep_language
+from feedpulse.functions.text import blank_if_null, combine_text, has_text, strip_ws
+from feedpulse.operators.language import language_of
 from feedpulse.schema import POST_COLUMNS
 
 
@@ -82,7 +82,8 @@ def strip_texts(df: DataFrame) -> DataFrame:
 
 
 def drop_blank(df: DataFrame) -> DataFrame:
-    return df.where((F.col("title") != "") | (F.col("text") != ""))
+    """Posts with anything but whitespace in title or body."""
+    return df.where(has_text(F.col("title")) | has_text(F.col("text")))
 
 
 def to_post_record(df: DataFrame, type: str = "submission") -> DataFrame:
@@ -100,13 +101,13 @@ def clean_feed(
 
     Cheap filters come first: community, then blanks, then the language of title
     and body together. All of it is per row, so it runs the same on a stream.
+    Texts are stripped last, for the posts that are kept: neither the blank
+    check nor the words that tell the language depend on the whitespace around.
     """
     if communities is not None:
         df = posts_feed(df, communities)
-    df = drop_blank(strip_texts(df))
+    df = drop_blank(df)
     if language is not None:
-        both = strip_ws(combine_text(F.col("title"), F.col("text")))
-        df = keep_language(
-            detect_language(df.withColumn("_both", both), "_both", into="_lang"), language, "_lang"
-        )
-    return to_post_record(df, type)
+        both = combine_text(F.col("title"), F.col("text"))
+        df = df.where(language_of(both) == language)
+    return to_post_record(strip_texts(df), type)
