@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,6 +30,13 @@ def ts_to_epoch(col: Column) -> Column:
     return F.unix_micros(col.cast("timestamp")) / F.lit(1e6)
 
 
+def ts_literal(moment: datetime | Column) -> Column:
+    """A moment as a timestamp; one without a zone is meant in session time."""
+    if isinstance(moment, Column):
+        return moment.cast("timestamp")
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp")
+
+
 def floor_ts(col: Column, unit: str) -> Column:
     """Start of the quarter hour, hour, day or (Monday) week."""
     if unit not in UNITS:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,7 +64,7 @@ from feedpulse.streaming.scoring_stream import (
 )
 
 # The time all written batches of a query carry, so that results repeat.
-AS_OF = "2024-02-10 00:00:00"
+AS_OF = datetime(2024, 2, 10)
 FEED = ["src0", "src1", "src2", "src3", "src5", "src8", "src13", "src17", "src19"]
 
 
@@ -352,7 +353,7 @@ def retained_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").cast("timestamp").alias("created_at"),
         F.col("ts").cast("timestamp").alias("insertion_time"),
     )
-    kept = retain(with_layout_columns(stored), days=30, as_of=F.to_timestamp(F.lit(AS_OF)))
+    kept = retain(with_layout_columns(stored), days=30, as_of=AS_OF)
     return kept.select("event_id", _ntz("insertion_time"), "bucket", "dt")
 
 
@@ -366,10 +367,9 @@ def stored_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     edited = as_posts(documents.where(F.col("lang") == "en")).withColumn(
         "title", F.concat(F.lit("edited: "), F.col("title"))
     )
-    as_of = F.to_timestamp(F.lit(AS_OF))
-    upsert_posts(score_posts(as_posts(documents)), 0, path, as_of)
+    upsert_posts(score_posts(as_posts(documents)), 0, path, AS_OF)
     for _ in range(2):
-        upsert_posts(score_posts(edited), 1, path, as_of)
+        upsert_posts(score_posts(edited), 1, path, AS_OF)
     compact(spark, path, target)
     return scan_posts(spark, target).select(
         "id", "subreddit", "title", "text", "type", "sentiment_label", _score6()

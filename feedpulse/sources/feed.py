@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedpulse.functions.text import blank_if_null, combine_text, has_text, strip_ws
+from feedpulse.functions.times import ts_literal
 from feedpulse.operators.language import language_of
 from feedpulse.schema import POST_COLUMNS
 
@@ -57,7 +58,7 @@ def read_posts_stream(
 
 def posts_since(df: DataFrame, start: datetime) -> DataFrame:
     """New posts only: those created at or after ``start``."""
-    return df.where(F.col("created_at") >= F.lit(start))
+    return df.where(F.col("created_at") >= ts_literal(start))
 
 
 def posts_feed(df: DataFrame, communities: list[str] | DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedpulse.functions.text import has_text
 from feedpulse.functions.times import seconds_to_ts, ts_to_epoch
 from feedpulse.schema import POST_COLUMNS, WIRE_SCHEMA
 
@@ -82,7 +83,7 @@ def split_valid(
     ``no_key``. Input columns that are not part of the post stay with both.
     """
     reason = (
-        F.when(F.col(value).isNull(), "empty")
+        F.when(~has_text(F.col(value)), "empty")
         .when(F.col(corrupt).isNotNull(), "malformed")
         .otherwise("no_key")
     )

@@ -12,6 +12,7 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedpulse.functions.times import ts_literal
 from feedpulse.operators.view import posts_view
 from feedpulse.schema import (
     POST_COLUMNS,
@@ -67,7 +68,7 @@ def latest_per_key(df: DataFrame, key: str = "id", order: str = "version") -> Da
 
 
 def with_insertion_time(df: DataFrame, as_of: datetime | Column | None = None) -> DataFrame:
-    now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+    now = F.current_timestamp() if as_of is None else ts_literal(as_of)
     return df.withColumn("insertion_time", now)
 
 
@@ -144,7 +145,7 @@ def scan_posts(
         versions = versions.where(F.col("dt") >= F.lit(since.date()))
     view = posts_view(latest_posts(versions))
     if since is not None:
-        view = view.where(F.col("created_at") >= F.lit(since))
+        view = view.where(F.col("created_at") >= ts_literal(since))
     return view.limit(limit) if limit is not None else view
 
 
@@ -165,7 +166,7 @@ def _utc_now() -> datetime:
 
 
 def _horizon(days: int, as_of: datetime | Column | None) -> Column:
-    now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+    now = F.current_timestamp() if as_of is None else ts_literal(as_of)
     return now - F.make_dt_interval(F.lit(days))
 
 
