@@ -72,25 +72,30 @@ def table_columns(df: DataFrame) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
 
 
-def schema_report(df: DataFrame, required: list[str]) -> DataFrame:
-    """One row per column: type, whether required ones are present, filled rows.
+def schema_report(df: DataFrame, required: list[str], counts: bool = False) -> DataFrame:
+    """One row per column: its type and whether it is required, extra or missing.
 
-    The counts of all columns come from one aggregate over one scan.
+    The names come from the schema, so nothing is read. ``counts`` adds the
+    number of filled rows per column, from one aggregate over one scan.
     """
     types = dict(table_columns(df))
     missing = [c for c in required if c not in types]
-    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in types])
+    if counts:
+        base = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in types])
+    else:
+        base = df.sparkSession.range(1)
 
-    def line(name: str, status: str, kind: str | None, filled: Column) -> Column:
-        return F.struct(
+    def line(name: str, status: str, kind: str | None) -> Column:
+        fields = [
             F.lit(name).alias("column_name"),
             F.lit(kind).cast("string").alias("type"),
             F.lit(status).alias("status"),
-            filled.cast("long").alias("filled"),
-        )
-
-    lines = [
-        line(c, "present" if c in required else "extra", kind, F.col(f"`{c}`"))
-        for c, kind in types.items()
-    ] + [line(c, "missing", None, F.lit(0)) for c in missing]
-    return counts.select(F.inline(F.array(*lines)))
+        ]
+        if counts:
+            filled = F.col(f"`{name}`") if name in types else F.lit(0)
+            fields.append(filled.cast("long").alias("filled"))
+        return F.struct(*fields)
+
+    lines = [line(c, "present" if c in required else "extra", t) for c, t in types.items()]
+    lines += [line(c, "missing", None) for c in missing]
+    return base.select(F.inline(F.array(*lines)))

@@ -337,7 +337,7 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def column_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unscored posts checked against the columns that the read view needs."""
-    return schema_report(untimed_posts(spark, sf_dir), VIEW_COLUMNS)
+    return schema_report(untimed_posts(spark, sf_dir), VIEW_COLUMNS, counts=True)
 
 
 def latest_versions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ from feedpulse.schema import (
     TABLE_PARTITIONS,
     TABLE_SCHEMA,
 )
+from feedpulse.session import shared_folder
 from feedpulse.sources.messages import POSITION_COLUMNS
 
 RETENTION_DAYS = 30
@@ -49,21 +50,27 @@ def newest_in_batch(df: DataFrame) -> DataFrame:
 def latest_per_key(df: DataFrame, key: str = "id", order: str = "version") -> DataFrame:
     """Rows with the highest ``order`` of their key; the pair must be unique.
 
-    Only key and order are aggregated, and only keys with several versions
-    remain for the join. While re-sent posts are few that side is small and
-    Spark broadcasts it (it checks the size), so the wide columns stay where
-    they were read.
+    Runs one narrow job right away: key and order alone are aggregated, and the
+    keys with several versions are written to the shared folder. The join that
+    drops the superseded rows is then planned knowing the size of that side.
+    While re-sent posts are few Spark broadcasts it and the wide columns stay
+    where they were read; beyond its threshold it joins by shuffle. Left to one
+    plan, the wide side would be shuffled before the size of the other is known.
     """
-    newest = (
+    spark = df.sparkSession
+    resent = shared_folder(spark, "resent")
+    (
         df.groupBy(key)
         .agg(F.max(order).alias("_newest"), F.count(F.lit(1)).alias("_versions"))
         .where(F.col("_versions") > 1)
-        .drop("_versions")
+        .select(F.col(key).alias("_key"), "_newest")
+        .write.parquet(resent)
     )
+    newest = spark.read.parquet(resent)
     return (
-        df.join(newest, key, "left")
+        df.join(newest, df[key] == newest["_key"], "left")
         .where(F.col("_newest").isNull() | (F.col(order) == F.col("_newest")))
-        .select(*df.columns)
+        .select(*[df[c] for c in df.columns])
     )
 
 
@@ -134,16 +141,21 @@ def scan_posts(
     path: str,
     limit: int | None = None,
     since: datetime | None = None,
+    retention_days: int | None = None,
 ) -> DataFrame:
     """The read view of the table, whole unless limited.
 
     ``since`` keeps posts created then or later. A post is never stored before
-    it is created, so older insertion days are not even listed for the scan.
+    it is created, so the folders of older insertion days are not read.
+    ``retention_days`` hides posts written longer ago.
     """
     versions = read_versions(spark, path)
     if since is not None:
         versions = versions.where(F.col("dt") >= F.lit(since.date()))
-    view = posts_view(latest_posts(versions))
+    latest = latest_posts(versions)
+    if retention_days is not None:
+        latest = retain(latest, retention_days)
+    view = posts_view(latest)
     if since is not None:
         view = view.where(F.col("created_at") >= ts_literal(since))
     return view.limit(limit) if limit is not None else view

@@ -17,7 +17,7 @@ from feedpulse.operators.view import posts_view
 from feedpulse.schema import POST_COLUMNS
 from feedpulse.sources.feed import clean_feed
 from feedpulse.sources.messages import decode_kafka, parse_posts, split_valid
-from feedpulse.sources.table import newest_in_batch, upsert_posts
+from feedpulse.sources.table import COMPACTED, newest_in_batch, upsert_posts
 
 log = logging.getLogger(__name__)
 
@@ -40,23 +40,26 @@ def batch_writer(
 
     Under ``path`` it writes the folders ``posts``, ``dead_letters`` and
     ``batch_log``. The parsed batch is kept for the two writes and the counts,
-    so the source is read once; posts are scored once, on the way to the table.
-    No row comes to the driver.
+    so the source is read once; of the messages only the bad ones are kept with
+    it. Posts are scored once, on the way to the table, and no row comes to the
+    driver. ``scorer_partitions`` spreads a slow model wider than the batch is.
     """
     scorer = scorer or LexiconScorer()
 
     def process_batch(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_posts(decode_kafka(batch)).persist()
+        parsed = parse_posts(decode_kafka(batch).drop("key"))
+        message = F.when(F.col("id").isNull(), F.col("value"))
+        parsed = parsed.withColumn("value", message).persist()
         try:
             if parsed.isEmpty():
                 log.info("batch %s is empty", batch_id)
                 return
             valid, dead = split_valid(parsed)
-            posts = newest_in_batch(valid.drop("key", "value")).select(*POST_COLUMNS)
+            posts = newest_in_batch(valid.drop("value")).select(*POST_COLUMNS)
             if clean:
                 posts = clean_feed(posts, communities, language)
             if scorer_partitions:
-                posts = posts.repartition(scorer_partitions)
+                posts = posts.repartition(scorer_partitions, "id")
             written = Observation()
             scored = score_posts(posts, scorer).observe(written, F.count(F.lit(1)).alias("rows"))
             upsert_posts(scored, batch_id, f"{path}/posts", as_of)
@@ -143,6 +146,14 @@ def read_rollup(spark: SparkSession, path: str) -> DataFrame:
     return rollup_posts(spark.read.parquet(path))
 
 
+def merge_rollup(spark: SparkSession, path: str, target: str) -> None:
+    """All parts of a rollup as one, under ``target``, for the stream to go on.
+
+    Run it while the stream is stopped, after a batch has ended.
+    """
+    _replace_folder(read_rollup(spark, path), target, COMPACTED)
+
+
 class StreamReporter(StreamingQueryListener):
     """Logs progress and keeps the last reports of the streams of a session."""
 

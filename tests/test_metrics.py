@@ -104,9 +104,6 @@ def test_communities(spark):
     assert [r.subreddit for r in m.top_communities(df, 2).collect()] == ["a", "b"]
 
 
-MINUTES = {"11:59:59": 719, "12:00": 720, "23:59": 1439, "1 day": 1440, "6d": 8640, "7d": 10080}
-
-
 @pytest.mark.parametrize(
     "minutes,title",
     [
@@ -214,8 +211,12 @@ def test_cards(spark):
 
 def test_schema_report(spark):
     df = view(spark, *SOME).drop("type").withColumn("odd.name", F.lit(1))
-    report = {r.column_name: r for r in schema_report(df, VIEW_COLUMNS).collect()}
+    report = {r.column_name: r for r in schema_report(df, VIEW_COLUMNS, True).collect()}
     assert report["type"].status == "missing" and report["type"].filled == 0
     assert report["odd.name"].status == "extra" and report["odd.name"].filled == 6
     assert report["created_at"].filled == 5 and report["created_at"].type == "timestamp"
     assert ("sentiment_score", "double") in table_columns(df)
+    plain = schema_report(df, VIEW_COLUMNS)
+    assert {r.column_name: r.status for r in plain.collect()} == {
+        name: r.status for name, r in report.items()
+    }

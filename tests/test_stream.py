@@ -17,6 +17,7 @@ from feedpulse.streaming.scoring_stream import (
     StreamReporter,
     await_stream,
     batch_writer,
+    merge_rollup,
     read_folder,
     read_rollup,
     refresh_rollups,
@@ -178,6 +179,10 @@ def test_rollups_follow_the_stream(spark, tmp_path):
         == want.orderBy(*order).select(*rounded).collect()
     )
     assert headline_metrics(rollup).first().total_posts == 200
+    merged = str(tmp_path / "merged")
+    merge_rollup(spark, parts, merged)
+    assert read_rollup(spark, merged).count() == want.count()
+    assert headline_metrics(read_rollup(spark, merged)).first().total_posts == 200
 
 
 def test_reporter_sees_progress(spark, job):
