@@ -7,7 +7,7 @@ nothing. Readers keep the newest version of each id.
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta, timezone
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -173,10 +173,6 @@ def ensure_table(spark: SparkSession, name: str, path: str) -> None:
     spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
-def _utc_now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
-
-
 def _horizon(days: int, as_of: datetime | Column | None) -> Column:
     now = F.current_timestamp() if as_of is None else ts_literal(as_of)
     return now - F.make_dt_interval(F.lit(days))
@@ -200,7 +196,7 @@ def drop_expired(
     Works on folder names alone. Rows of the day in which the horizon falls stay
     until the next call and are hidden by :func:`retain`.
     """
-    last = ((as_of or _utc_now()) - timedelta(days=days)).date()
+    last = spark.range(1).select(F.to_date(_horizon(days, as_of))).first()[0]
     jvm = spark.sparkContext._jvm
     hadoop = jvm.org.apache.hadoop.fs
     folders = hadoop.Path(f"{path}/batch_id=*/dt=*")

@@ -97,6 +97,19 @@ def test_every_whitespace_character(spark):
     assert [r.stripped for r in rows] == [t.strip() for t in texts]
 
 
+def test_long_runs_are_no_trouble(spark):
+    """Runs this long would take a backtracking expression hours or its stack."""
+    n = 300_000
+    texts = [
+        "a" + " " * n + "b" + " \n" * n,
+        " " * n + "ab" + "\u00a0" * n,
+        "\t" * n,
+        "@" + "x" * n + " http" + "\n" * n,
+        ". " * n,
+    ]
+    check(spark, texts)
+
+
 def test_nulls(spark):
     null = F.lit(None).cast("string")
     row = evaluate(
