@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any, Protocol
 
@@ -94,26 +97,40 @@ class LexiconScorer:
 
 
 class ModelScorer:
-    """Scores with any Python model, loaded once per task and fed in batches.
+    """Scores with any Python model, fed in batches on the executors.
 
     ``load`` runs on the executor and returns a callable that maps a list of
     texts to one result each: ``(label, confidence)`` or a dict with ``label``
-    and ``score``. Where a batch fails its posts are tried one by one, and a
-    post that still fails is neutral with ``score_error`` set, so neither a bad
-    post nor a bad model call ends the job.
-
-    ``batch_posts`` bounds the posts per model call; Arrow bounds the rows per
-    hand-over (``spark.sql.execution.arrow.maxRecordsPerBatch``).
+    and ``score``. A Python worker loads the model once and keeps it for all
+    tasks and micro-batches of this scorer. Everything the workers need travels
+    with the function, so this package need not be installed there.
+
+    A model call gets about ``batch_chunks`` texts, those of one post together.
+    Where a call fails its posts are tried one by one, and a post that still
+    fails is neutral with ``score_error`` set, so neither a bad post nor a bad
+    call ends the job.
     """
 
-    def __init__(self, load: Callable[[], Callable[[list[str]], Any]], batch_posts: int = 64):
+    def __init__(self, load: Callable[[], Callable[[list[str]], Any]], batch_chunks: int = 64):
         self.load = load
-        self.batch_posts = batch_posts
+        self.batch_chunks = batch_chunks
+        self.key = uuid.uuid4().hex
 
     def best_chunk(self, chunks: Column) -> Column:
-        load, step = self.load, self.batch_posts
+        key, load, enough = self.key, self.load, self.batch_chunks
         failed = (NEUTRAL, NEUTRAL_SCORE, True)
 
+        def worker_model():
+            # Modules outlive a task; functions sent to a worker do not. Two
+            # models are kept, so that a replaced one goes in the end.
+            holder = sys.modules.setdefault("_loaded_scorers", types.ModuleType("_loaded_scorers"))
+            models = holder.__dict__.setdefault("models", {})
+            if key not in models:
+                if len(models) > 1:
+                    models.pop(next(iter(models)))
+                models[key] = load()
+            return models[key]
+
         def verdicts(model, posts):
             results = iter(model([chunk for post in posts for chunk in post]))
             out = []
@@ -136,16 +153,27 @@ class ModelScorer:
                     return [failed]
                 return [row for post in posts for row in guarded(model, [post])]
 
+        def calls(posts):
+            some, size = [], 0
+            for i, post in enumerate(posts):
+                if post is None or len(post) == 0:
+                    continue
+                some.append(i)
+                size += len(post)
+                if size >= enough:
+                    yield some
+                    some, size = [], 0
+            if some:
+                yield some
+
         @F.pandas_udf("label string, score double, score_error boolean")
         def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            model = load()
+            model = worker_model()
             for batch in batches:
-                rows = [(None, None, None)] * len(batch)
-                todo = [i for i, post in enumerate(batch) if post is not None and len(post)]
-                for start in range(0, len(todo), step):
-                    some = todo[start : start + step]
-                    posts = [list(batch.iloc[i]) for i in some]
-                    for i, row in zip(some, guarded(model, posts)):
+                posts = list(batch)
+                rows = [(None, None, None)] * len(posts)
+                for some in calls(posts):
+                    for i, row in zip(some, guarded(model, [list(posts[i]) for i in some])):
                         rows[i] = row
                 yield pd.DataFrame(rows, columns=["label", "score", "score_error"]).astype(
                     {"label": "object", "score": "float64", "score_error": "object"}

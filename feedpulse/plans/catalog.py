@@ -55,11 +55,12 @@ from feedpulse.sources.table import (
     upsert_posts,
     with_layout_columns,
 )
-from feedpulse.streaming.scoring_stream import (
+from feedpulse.streaming.jobs import (
     await_stream,
     read_folder,
     read_rollup,
     refresh_rollups,
+    run_feed,
     run_stream,
 )
 
@@ -395,6 +396,21 @@ def stream_scored_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw posts through both streaming jobs, with message files between them."""
+    path = shared_folder(spark, "feed")
+    raw = as_posts(_stream_of(spark, sf_dir, "documents"))
+    once = {"availableNow": True}
+    await_stream(
+        run_feed(raw, f"{path}/feed", "text", once, communities=FEED, path=f"{path}/topic")
+    )
+    topic = read_posts_stream(spark, "text", path=f"{path}/topic")
+    await_stream(run_stream(topic, f"{path}/out", f"{path}/scoring", trigger=once))
+    return scan_posts(spark, f"{path}/out/posts").select(
+        "id", "subreddit", "title", "text", "type", "sentiment_label", _score6()
+    )
+
+
 def _with_broken_messages(messages: DataFrame) -> DataFrame:
     """Messages of one community lose their end, those of another their id."""
     value = (
@@ -485,6 +501,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retained_posts": retained_events,
     "stored_posts": stored_posts,
     "stream_scored_posts": stream_scored_posts,
+    "stream_feed": stream_feed,
     "stream_batch_log": stream_batch_log,
     "stream_rollup": stream_rollup,
 }

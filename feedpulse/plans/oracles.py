@@ -37,12 +37,14 @@ def _body(text: str) -> str:
         THEN substr({text}, strpos({text}, chr(10)) + 1) ELSE '' END"""
 
 
-# posts -> chunks of the normalised text -> word counts -> best chunk per post.
-_SCORED = f"""
+_POSTS = f"""
 posts AS (
   SELECT CAST(doc_id AS VARCHAR) AS id, source AS subreddit, lang,
          {_title('text')} AS title, {_body('text')} AS text
-  FROM documents),
+  FROM documents)"""
+
+# posts -> chunks of the normalised text -> word counts -> best chunk per post.
+_SCORING = f"""
 processed AS (
   SELECT *, {_normalize("title || ' ' || text")} AS processed,
          length({_strip("title || ' ' || text")}) < 3 AS short
@@ -74,7 +76,9 @@ scored AS (
          CASE WHEN short THEN ''
               WHEN length(processed) > 512 THEN substr(processed, 1, 512) || '... [truncated]'
               ELSE processed END AS cleaned_text
-  FROM processed r LEFT JOIN best b ON r.id = b.id),
+  FROM processed r LEFT JOIN best b ON r.id = b.id)"""
+
+_SCORED = f"""{_POSTS}, {_SCORING},
 timed AS (
   SELECT s.*, e.ts AS created_at
   FROM scored s JOIN events e ON s.id = CAST(e.event_id AS VARCHAR))
@@ -160,6 +164,16 @@ _NOISY = r"""chr(32) || chr(9) || '@bob http://x.y/z  @ ' || text || ' @' || sou
 _PADDED = r"""CASE WHEN lang = 'de' THEN '  ' || chr(10) || ' '
     ELSE chr(9) || ' ' || text || '  ' END"""
 
+_STRIPPED = f"""
+stripped AS (
+  SELECT CAST(doc_id AS VARCHAR) AS id, source AS subreddit, lang,
+         {_strip(_title('text'))} AS title, {_strip(_body('text'))} AS text
+  FROM documents)"""
+
+_STRIPPED_LANGUAGE = _language(
+    "SELECT id, title || ' ' || text AS t FROM stripped WHERE title <> '' OR text <> ''"
+)
+
 ORACLES: dict[str, str] = {
     "sentiment_distribution": f"""WITH {_SCORED}
 SELECT upper(sentiment_label) AS sentiment_label, count(*) AS posts,
@@ -178,14 +192,17 @@ FROM (SELECT doc_id, text, unnest(range(0, (length(text) + 511) // 512)) AS pos
     "detect_language": f"""
 WITH {_language('SELECT doc_id AS id, text AS t FROM documents')}
 SELECT id AS doc_id, lang_detected FROM detected""",
-    "language_filter": f"""
-WITH stripped AS (
-  SELECT CAST(doc_id AS VARCHAR) AS id, source AS subreddit,
-         {_strip(_title('text'))} AS title, {_strip(_body('text'))} AS text
-  FROM documents),
-{_language("SELECT id, title || ' ' || text AS t FROM stripped WHERE title <> '' OR text <> ''")}
+    "language_filter": f"""WITH {_STRIPPED}, {_STRIPPED_LANGUAGE}
 SELECT s.id, subreddit, title, text, 'submission' AS type
 FROM stripped s JOIN detected d ON s.id = d.id WHERE lang_detected = 'en'""",
+    "stream_feed": f"""WITH {_STRIPPED}, {_STRIPPED_LANGUAGE},
+posts AS (
+  SELECT s.* FROM stripped s JOIN detected d ON s.id = d.id
+  WHERE lang_detected = 'en' AND list_contains({_list(FEED)}, subreddit)),
+{_SCORING}
+SELECT id, subreddit, title, text, type, upper(sentiment_label) AS sentiment_label,
+       round(sentiment_score, 6) AS sentiment_score
+FROM scored""",
     "clean_feed": f"""
 WITH padded AS (SELECT doc_id, source, {_PADDED} AS t FROM documents),
 stripped AS (

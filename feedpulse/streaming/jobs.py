@@ -1,4 +1,4 @@
-"""Messages in, scored posts in the table: the streaming job."""
+"""The streaming jobs: posts to messages, messages to scored posts, posts to rollups."""
 
 from __future__ import annotations
 
@@ -16,7 +16,7 @@ from feedpulse.operators.scoring import LexiconScorer, Scorer, check_scorer, sco
 from feedpulse.operators.view import posts_view
 from feedpulse.schema import POST_COLUMNS
 from feedpulse.sources.feed import clean_feed
-from feedpulse.sources.messages import decode_kafka, parse_posts, split_valid
+from feedpulse.sources.messages import decode_kafka, parse_posts, split_valid, to_messages
 from feedpulse.sources.table import COMPACTED, newest_in_batch, upsert_posts
 
 log = logging.getLogger(__name__)
@@ -105,6 +105,33 @@ def run_stream(
     )
 
 
+def run_feed(
+    raw: DataFrame,
+    checkpoint: str,
+    fmt: str = "kafka",
+    trigger: dict | None = None,
+    communities: list[str] | DataFrame | None = None,
+    language: str | None = "en",
+    **sink_options: str,
+) -> StreamingQuery:
+    """Raw posts, cleaned and filtered, as a stream of messages.
+
+    The sink is a Kafka topic (``topic``, ``kafka.bootstrap.servers``) or, with
+    ``fmt="text"`` and ``path``, files of one message per line.
+    """
+    messages = to_messages(clean_feed(raw, communities, language))
+    if fmt != "kafka":
+        messages = messages.select("value")
+    return (
+        messages.writeStream.format(fmt)
+        .options(**sink_options)
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "5 seconds"}))
+        .start()
+    )
+
+
 def await_stream(query: StreamingQuery, timeout: float | None = None) -> None:
     """Waits for the query and stops it on the way out, error or not."""
     try:

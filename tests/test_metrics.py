@@ -14,6 +14,7 @@ from feedpulse.operators.view import (
     schema_report,
     table_columns,
 )
+from feedpulse.plans.panels import dashboard
 from feedpulse.schema import VIEW_COLUMNS
 
 T0 = datetime(2024, 5, 20, 10, 7)  # a Monday
@@ -170,6 +171,16 @@ def test_rollups_add_up(spark):
     assert lines(m.rollup_posts(parts)) == lines(m.rollup_posts(whole))
 
 
+def test_dashboard_from_posts_and_from_rollup(spark):
+    rows = [(i * 31, f"s{i % 4}", ["POSITIVE", "NEGATIVE", None][i % 3], 0.5) for i in range(60)]
+    df = view(spark, *rows)
+    direct, rolled = dashboard(df), dashboard(df, m.rollup_posts(df))
+    assert direct.keys() == rolled.keys()
+    for name in direct:
+        assert direct[name].collect() == rolled[name].collect(), name
+    assert direct["trend"].count() == 2
+
+
 def test_span_and_summary(spark):
     df = view(spark, *SOME)
     span = m.time_span(df).first()

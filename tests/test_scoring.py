@@ -1,5 +1,7 @@
 """The scorer slot: rules around it, the lexicon, models that work and that fail."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ def results(df):
     ]
 
 
-def scripted_scorer(batch_posts=64):
+def scripted_scorer(batch_chunks=64):
     """A model whose label and confidence stand in the text; ``boom`` raises.
 
     Nested, so that it reaches the workers by value.
@@ -40,7 +42,7 @@ def scripted_scorer(batch_posts=64):
 
         return model
 
-    return ModelScorer(load, batch_posts)
+    return ModelScorer(load, batch_chunks)
 
 
 def test_word_lists_do_not_overlap():
@@ -104,10 +106,10 @@ def test_model_scorer_picks_best_chunk(spark):
     assert got[2] == ("neutral", 0.5, "", False)
 
 
-@pytest.mark.parametrize("batch_posts", [1, 3, 64])
-def test_failing_posts_do_not_take_others_down(spark, batch_posts):
+@pytest.mark.parametrize("batch_chunks", [1, 3, 64])
+def test_failing_posts_do_not_take_others_down(spark, batch_chunks):
     rows = [("boom", "x" * 600) if i % 4 == 0 else ("positive", str(i)) for i in range(20)]
-    got = results(score_posts(posts(spark, *rows), scripted_scorer(batch_posts)))
+    got = results(score_posts(posts(spark, *rows), scripted_scorer(batch_chunks)))
     for (title, text), (label, score, cleaned, error) in zip(rows, got):
         if title == "boom":
             # The reference result for a failed post is its whole normalised text.
@@ -117,6 +119,24 @@ def test_failing_posts_do_not_take_others_down(spark, batch_posts):
             assert (label, score, error) == ("positive", 0.7, False)
 
 
+def test_a_worker_loads_the_model_once(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def load():
+        with open(f"{folder}/{os.getpid()}", "a") as f:
+            f.write("loaded\n")
+        return lambda texts: [("positive", 0.75) for _ in texts]
+
+    scorer = ModelScorer(load)
+    df = posts(spark, *[("some", str(i)) for i in range(64)]).repartition(16, "id")
+    for _ in range(3):
+        assert score_posts(df, scorer).where("sentiment_score = 0.75").count() == 64
+    loads = [p.read_text() for p in tmp_path.iterdir()]
+    assert loads and set(loads) == {"loaded\n"}
+    other = ModelScorer(lambda: lambda texts: [("negative", 0.6) for _ in texts])
+    assert score_posts(df, other).where("sentiment_label = 'negative'").count() == 64
+
+
 def test_model_that_returns_too_little(spark):
     df = posts(spark, ("positive", "one"), ("positive", "two"))
     got = results(score_posts(df, ModelScorer(lambda: lambda texts: [])))

@@ -13,7 +13,7 @@ from feedpulse.schema import WIRE_SCHEMA
 from feedpulse.sources.feed import read_posts_stream
 from feedpulse.sources.messages import parse_posts, split_valid
 from feedpulse.sources.table import latest_posts, read_versions
-from feedpulse.streaming.scoring_stream import (
+from feedpulse.streaming.jobs import (
     StreamReporter,
     await_stream,
     batch_writer,
