@@ -28,17 +28,19 @@ NEGATIVE_WORDS = tuple(
     """.split()
 )
 
+_PROFILE_TEXT = """
+de der die das und ist nicht ein eine mit für auf den dem von zu ich sie im auch sich
+en the and of to is that it for was with as on are this be at by not you from
+es de la el los las que y en una un por con para del se no es lo como pero
+fr de la le les et des est une un dans que qui pour pas sur au avec ce il en
+it di che è non una per sono con del della gli ma come più anche questo ho nel il si
+nl de het een in en van ik is dat niet op te met voor zijn er maar ook bij wat
+pl i w na nie się z do to że jest jak ale za po od tak o już co czy
+pt de o que não uma para com os do da em um mas como mais por ao isso eu foi
+sv och att det som en på är av för med den till inte om jag har de ett var så
+"""
+
+# Language code -> its words; one line above per language.
 LANGUAGE_PROFILES = {
-    "de": tuple(
-        "der die das und ist nicht ein eine mit für auf den dem von zu ich sie im auch sich".split()
-    ),
-    "en": tuple(
-        "the and of to is that it for was with as on are this be at by not you from".split()
-    ),
-    "es": tuple(
-        "el los las que y en una por con para del se su no es lo como más pero un".split()
-    ),
-    "fr": tuple(
-        "le les et des est une dans que qui pour pas sur au avec ce il sont plus par aux".split()
-    ),
+    line.split()[0]: tuple(line.split()[1:]) for line in _PROFILE_TEXT.strip().splitlines()
 }

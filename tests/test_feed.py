@@ -152,6 +152,11 @@ def test_posts_since(spark):
         ("Der Hund und die Katze", "de"),
         ("le chat est dans les arbres", "fr"),
         ("el perro y los gatos", "es"),
+        ("il gatto non è della signora", "it"),
+        ("de kat zit niet op het dak", "nl"),
+        ("nie wiem co to jest", "pl"),
+        ("o gato não está em uma casa", "pt"),
+        ("katten och hunden är inte här", "sv"),
         ("123 !!!", None),
         ("zzz", None),
         ("", None),
