@@ -26,13 +26,14 @@ from feedpulse.sources.messages import POSITION_COLUMNS
 RETENTION_DAYS = 30
 COMPACTED = -1
 
-# Lookups by id and community skip files: ids through a bloom filter, the other
-# columns through the value ranges that the sort order keeps narrow.
+# Lookups by id and community skip files: by bloom filter (communities that repeat
+# enough are looked up in their dictionary), the other columns by the value ranges
+# that the sort order keeps narrow. The filters grow with what a file holds.
 LOOKUP_OPTIONS = {
     "parquet.bloom.filter.enabled#id": "true",
     "parquet.bloom.filter.enabled#subreddit": "true",
-    "parquet.bloom.filter.expected.ndv#id": "1000000",
-    "parquet.bloom.filter.expected.ndv#subreddit": "100000",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+    "parquet.bloom.filter.candidates.number": "12",
 }
 
 

@@ -4,6 +4,7 @@ import json
 import time
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from feedpulse.operators.metrics import headline_metrics, rollup_posts
@@ -13,6 +14,7 @@ from feedpulse.schema import WIRE_SCHEMA
 from feedpulse.sources.feed import read_posts_stream
 from feedpulse.sources.messages import parse_posts, split_valid
 from feedpulse.sources.table import latest_posts, read_versions
+from feedpulse.streaming import jobs
 from feedpulse.streaming.jobs import (
     StreamReporter,
     await_stream,
@@ -21,6 +23,7 @@ from feedpulse.streaming.jobs import (
     read_folder,
     read_rollup,
     refresh_rollups,
+    run_feed,
     run_stream,
 )
 
@@ -98,6 +101,42 @@ def test_replayed_and_empty_batches(spark, job, tmp_path):
     assert read_folder(spark, f"{job.path}/dead_letters").count() == 1
 
 
+def test_crash_between_write_and_commit(spark, job, monkeypatch):
+    """The batch was stored, its checkpoint was not: the restart replays it."""
+    job.land("1.txt", post("a", "good"), post("b", "bad"))
+    job.run()
+    job.land("2.txt", post("a", "great"), "oops")
+    write_folder = jobs._replace_folder
+
+    def crash(df, path, batch_id):
+        raise RuntimeError("lost the driver")
+
+    monkeypatch.setattr(jobs, "_replace_folder", crash)
+    with pytest.raises(StreamingQueryException):
+        job.run()
+    assert job.titles()["a"] == ("great", "positive")
+    assert len(job.log()) == 1
+    monkeypatch.setattr(jobs, "_replace_folder", write_folder)
+    job.run()
+    assert job.titles() == {"a": ("great", "positive"), "b": ("bad", "negative")}
+    assert job.log() == [(2, 2, 0, 2), (2, 1, 1, 1)]
+    assert read_versions(spark, f"{job.path}/posts").count() == 3
+
+
+def test_feed_job_writes_messages_for_the_scoring_job(spark, job, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "1.json").write_text(
+        "\n".join([post("a", " this is good "), post("b", "das ist nicht gut"), post("c", " ")])
+    )
+    stream = read_posts_stream(spark, "json", WIRE_SCHEMA, path=str(raw))
+    await_stream(
+        run_feed(stream, str(tmp_path / "feed"), "text", NOW, path=str(job.source)), 120
+    )
+    job.run()
+    assert job.titles() == {"a": ("this is good", "positive")}
+
+
 def test_stream_equals_batch(spark, job):
     lines = [post(str(i), f"{'good' if i % 3 else 'bad'} {i} " + "x " * (i * 40)) for i in range(40)]
     for part in range(4):
