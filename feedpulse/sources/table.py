@@ -26,14 +26,14 @@ from feedpulse.sources.messages import POSITION_COLUMNS
 RETENTION_DAYS = 30
 COMPACTED = -1
 
-# Lookups by id and community skip files: by bloom filter (communities that repeat
-# enough are looked up in their dictionary), the other columns by the value ranges
-# that the sort order keeps narrow. The filters grow with what a file holds.
+# Lookups by id and community skip compacted files: by bloom filter (communities
+# that repeat enough are looked up in their dictionary), the other columns by the
+# value ranges that the sort order keeps narrow. A filter takes 64 KB at least, too
+# much for the small files of a micro-batch.
 LOOKUP_OPTIONS = {
     "parquet.bloom.filter.enabled#id": "true",
     "parquet.bloom.filter.enabled#subreddit": "true",
     "parquet.bloom.filter.adaptive.enabled": "true",
-    "parquet.bloom.filter.candidates.number": "12",
 }
 
 
@@ -101,12 +101,12 @@ def layout(df: DataFrame, redistribute: bool = False, files: int | None = None)
     return df.sortWithinPartitions(*_CLUSTERING)
 
 
-def _write_folder(df: DataFrame, path: str, batch_id: int) -> None:
+def _write_folder(df: DataFrame, path: str, batch_id: int, **options: str) -> None:
     (
         df.select(*TABLE_DATA_COLUMNS, "dt")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
-        .options(**LOOKUP_OPTIONS)
+        .options(**options)
         .partitionBy("dt")
         .parquet(f"{path}/batch_id={batch_id}")
     )
@@ -228,4 +228,5 @@ def compact(
     versions = read_versions(spark, path)
     if dt is not None:
         versions = versions.where(F.col("dt") == F.lit(dt))
-    _write_folder(layout(latest_posts(versions), True, files), target, COMPACTED)
+    clustered = layout(latest_posts(versions), True, files)
+    _write_folder(clustered, target, COMPACTED, **LOOKUP_OPTIONS)
