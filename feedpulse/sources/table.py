@@ -51,6 +51,8 @@ def newest_in_batch(df: DataFrame) -> DataFrame:
 def latest_per_key(df: DataFrame, key: str = "id", order: str = "version") -> DataFrame:
     """Rows with the highest ``order`` of their key; the pair must be unique.
 
+    Rows without a key have no versions and all stay.
+
     Runs one narrow job right away: key and order alone are aggregated, and the
     keys with several versions are written to the shared folder. The join that
     drops the superseded rows is then planned knowing the size of that side.
@@ -120,8 +122,17 @@ def upsert_posts(
     _write_folder(layout(versioned), path, batch_id)
 
 
+def _folder(spark: SparkSession, path: str):
+    """File system and path object for ``path``."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
+
+
 def read_versions(spark: SparkSession, path: str) -> DataFrame:
-    """All stored rows, superseded ones included."""
+    """All stored rows, superseded ones included; none where nothing was stored."""
+    fs, folder = _folder(spark, path)
+    if not fs.exists(folder):
+        return spark.createDataFrame([], TABLE_SCHEMA)
     return spark.read.schema(TABLE_SCHEMA).parquet(path)
 
 
@@ -198,10 +209,7 @@ def drop_expired(
     until the next call and are hidden by :func:`retain`.
     """
     last = spark.range(1).select(F.to_date(_horizon(days, as_of))).first()[0]
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs
-    folders = hadoop.Path(f"{path}/batch_id=*/dt=*")
-    fs = folders.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, folders = _folder(spark, f"{path}/batch_id=*/dt=*")
     dropped = []
     for status in fs.globStatus(folders) or []:
         folder = status.getPath()

@@ -128,6 +128,11 @@ def test_scan_since_prunes_days_and_columns(spark, path):
     assert "cleaned_text" not in plan
 
 
+def test_nothing_stored_yet(spark, path):
+    assert tb.scan_posts(spark, path).columns == VIEW_COLUMNS
+    assert tb.scan_posts(spark, path).count() == 0
+
+
 def test_retention(spark, path):
     now = datetime(2024, 4, 1, 12, 0)
     for batch, day in enumerate(["2024-03-01", "2024-03-02", "2024-03-03", "2024-03-31"]):
@@ -139,6 +144,7 @@ def test_retention(spark, path):
     assert len(dropped) == 1 and dropped[0].endswith("dt=2024-03-01")
     assert tb.read_versions(spark, path).count() == 3
     assert tb.drop_expired(spark, path, 30, now) == []
+    assert tb.scan_posts(spark, path, retention_days=30).count() == 0
 
 
 def bloom_filtered_columns(spark, path):
