@@ -236,7 +236,8 @@ def sentiment_trend(
 
     The unit follows the span of the data unless given. Undated posts are left
     out, and fewer than two buckets give no rows: that is so exactly when the
-    first and the last post share a bucket, and the level is null then.
+    first and the last post share a bucket. The level is empty then, and no
+    bucket comes of it.
     """
     measures = as_measures(df).where(F.col("bucket").isNotNull())
     first, last = F.col("first"), F.col("last")

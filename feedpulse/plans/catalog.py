@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedpulse.functions.text import chunk_text, normalize_mentions_links, strip_ws
+from feedpulse.functions.times import UNITS, epoch_to_ts, floor_ts, time_text, ts_to_epoch
 from feedpulse.functions.wordlists import NEGATIVE_WORDS, POSITIVE_WORDS
 from feedpulse.operators.language import detect_language
 from feedpulse.operators.metrics import (
@@ -36,7 +37,7 @@ from feedpulse.operators.view import (
 from feedpulse.plans.posts import as_posts, load, load_documents, timed_posts, untimed_posts
 from feedpulse.schema import VIEW_COLUMNS, WIRE_SCHEMA
 from feedpulse.session import shared_folder
-from feedpulse.sources.feed import clean_feed, read_posts_stream
+from feedpulse.sources.feed import clean_feed, posts_feed, read_posts_stream
 from feedpulse.sources.messages import (
     decode_kafka,
     parse_json,
@@ -197,6 +198,16 @@ def cleaned_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_feed(posts, communities=FEED, language=None).drop("created_at")
 
 
+def feed_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts of the communities that a query names: those with longer posts."""
+    documents = load(spark, sf_dir, "documents")
+    wanted = documents.groupBy(F.col("source").alias("subreddit")).agg(
+        F.avg("n_chars").alias("length")
+    )
+    posts = posts_feed(as_posts(documents), wanted.where(F.col("length") > 2450))
+    return posts.select("id", "subreddit", "title")
+
+
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = decode_kafka(to_messages(timed_posts(spark, sf_dir)))
     back = require_key(parse_posts(sent))
@@ -242,6 +253,35 @@ def viewed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view.select(*[_ntz(c) if c == "created_at" else F.col(c) for c in view.columns])
 
 
+def event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Floors, display text and epoch seconds of all event times."""
+    ts = F.col("ts").cast("timestamp")
+    times = load(spark, sf_dir, "events").select(
+        "event_id",
+        *[floor_ts(ts, unit).alias(f"start_{unit.split()[-1]}") for unit in UNITS],
+        time_text(ts).alias("shown"),
+        epoch_to_ts(ts_to_epoch(ts)).alias("back"),
+    )
+    stamps = [c for c in times.columns if c.startswith("start_") or c == "back"]
+    return times.select("event_id", "shown", *[_ntz(c) for c in stamps])
+
+
+def event_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards of events as posts, some without time, some without label."""
+    kind = F.col("sentiment_label")
+    view = _events_view(spark, sf_dir).withColumns(
+        {
+            "created_at": F.when(kind != "signup", F.col("created_at")),
+            "title": F.repeat(F.concat(F.lit("é"), kind, F.lit(" ")), 12),
+            "text": F.when(kind != "click", F.repeat(F.concat(kind, F.lit("\n")), 70)),
+            "sentiment_label": F.when(kind == "purchase", "positive")
+            .when(kind == "error", "NEGATIVE")
+            .when(kind != "view", "neutral"),
+        }
+    )
+    return post_cards(view)
+
+
 def headline(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = headline_metrics(_scored(spark, sf_dir))
     return metrics.withColumn("avg_score", F.round("avg_score", 6))
@@ -474,10 +514,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "detect_language": detected_language,
     "language_filter": language_filter,
     "clean_feed": cleaned_feed,
+    "feed_by_table": feed_by_table,
     "json_roundtrip": json_roundtrip,
     "event_props": event_props,
     "dead_letters": dead_letters,
     "posts_view": viewed_posts,
+    "event_times": event_times,
+    "event_cards": event_cards,
     "headline_metrics": headline,
     "headline_metrics_events": headline_events,
     "most_common_label": common_label,

@@ -211,6 +211,34 @@ stripped AS (
   FROM padded)
 SELECT *, 'submission' AS type FROM stripped
 WHERE list_contains({_list(FEED)}, subreddit) AND (title <> '' OR text <> '')""",
+    "feed_by_table": f"""
+SELECT CAST(doc_id AS VARCHAR) AS id, source AS subreddit, {_title('text')} AS title
+FROM documents
+WHERE source IN (SELECT source FROM documents GROUP BY source HAVING avg(n_chars) > 2450)""",
+    "event_times": """
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS shown,
+       time_bucket(INTERVAL 15 MINUTE, ts) AS start_minutes,
+       date_trunc('hour', ts) AS start_hour,
+       CAST(date_trunc('day', ts) AS TIMESTAMP) AS start_day,
+       CAST(date_trunc('week', ts) AS TIMESTAMP) AS start_week, ts AS back
+FROM events""",
+    "event_cards": """
+WITH cards AS (
+  SELECT *, repeat('é' || event_type || ' ', 12) AS title,
+         CASE WHEN event_type <> 'click' THEN repeat(event_type || chr(10), 70) ELSE '' END AS text
+  FROM events)
+SELECT CAST(event_id AS VARCHAR) AS id,
+       CASE WHEN length(title) > 80 THEN left(title, 80) || '...' ELSE title END AS title,
+       'user' || user_id AS subreddit,
+       CASE WHEN event_type = 'signup' THEN 'Unknown'
+            ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS posted,
+       CASE event_type WHEN 'purchase' THEN 'POSITIVE' WHEN 'error' THEN 'NEGATIVE'
+            WHEN 'view' THEN 'UNKNOWN' ELSE 'NEUTRAL' END AS sentiment,
+       CASE event_type WHEN 'purchase' THEN 'green' WHEN 'error' THEN 'red' ELSE 'gray' END
+         AS color,
+       value AS score, printf('%.2f', value) AS score_text,
+       CASE WHEN length(text) > 500 THEN left(text, 500) || '...' ELSE text END AS content
+FROM cards""",
     "json_roundtrip": f"""
 SELECT CAST(doc_id AS VARCHAR) AS id, ts AS created_at, source AS subreddit,
        {_title('text')} AS title, {_body('text')} AS text, 'submission' AS type

@@ -95,7 +95,8 @@ def layout(df: DataFrame, redistribute: bool = False, files: int | None = None)
 
     ``redistribute`` also spreads them by those columns, in ranges that end
     with the unique id: a community with a third of all posts is cut into as
-    many ranges as it needs. Without ``files`` Spark sizes the ranges.
+    many ranges as it needs. Finding the bounds takes one more read of the rows.
+    Without ``files`` Spark sizes the ranges.
     """
     df = with_layout_columns(df)
     if redistribute:
