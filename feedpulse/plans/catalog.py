@@ -121,6 +121,13 @@ def scored_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scored_whole_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``scored_posts``, over all chunks of a post instead of the first three."""
+    return score_posts(untimed_posts(spark, sf_dir), max_chunks=None).select(
+        "id", "sentiment_label", _score6(), "cleaned_text"
+    )
+
+
 def model_scored_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``scored_posts``, by a Python model in the scorer slot.
 
@@ -508,6 +515,7 @@ def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sentiment_distribution": sentiment_distribution,
     "scored_posts": scored_posts,
+    "scored_whole_posts": scored_whole_posts,
     "model_scored_posts": model_scored_posts,
     "normalize_mentions_links": normalized_mentions_links,
     "chunk_text": chunked_text,

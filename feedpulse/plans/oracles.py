@@ -180,6 +180,7 @@ SELECT upper(sentiment_label) AS sentiment_label, count(*) AS posts,
        round(count(*) / (SELECT count(*) FROM scored), 6) AS share
 FROM scored GROUP BY 1 ORDER BY posts DESC, sentiment_label""",
     "scored_posts": _SCORED_POSTS,
+    "scored_whole_posts": _SCORED_POSTS.replace("least(3, ", "("),
     "model_scored_posts": _SCORED_POSTS,
     "stream_scored_posts": _SCORED_POSTS,
     "normalize_mentions_links": f"""

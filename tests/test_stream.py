@@ -81,6 +81,22 @@ def test_restart_continues_and_later_version_wins(spark, job):
     assert len(job.log()) == 2
 
 
+def test_default_trigger_keeps_running(spark, job):
+    job.land("1.txt", post("a", "good"))
+    stream = read_posts_stream(spark, "text", path=str(job.source))
+    query = run_stream(stream, job.path, job.checkpoint)
+    try:
+        query.processAllAvailable()
+        assert query.isActive and job.titles() == {"a": ("good", "positive")}
+        job.land("2.txt", post("a", "bad"))
+        query.processAllAvailable()
+        assert job.titles() == {"a": ("bad", "negative")}
+        await_stream(query, 0.1)
+        assert not query.isActive
+    finally:
+        query.stop()
+
+
 def test_batch_of_bad_rows_only(spark, job):
     job.land("1.txt", "oops", "[]")
     job.run()
