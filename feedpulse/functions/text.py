@@ -56,11 +56,13 @@ def normalize_mentions_links(col: Column) -> Column:
 
 
 def is_too_short(col: Column, n: int = SHORT_TEXT) -> Column:
-    """Null, or fewer than ``n`` (2 or more) characters once stripped.
+    """Null, or fewer than ``n`` characters once stripped.
 
     Looks for two visible characters at least ``n - 2`` apart and stops at the
     first such pair, which spares the copy that stripping a long text makes.
     """
+    if n < 2:
+        return ~has_text(col) if n == 1 else col.isNull()
     long_enough = f"[^{_SPACES}](?s:.){{{n - 2},}}?[^{_SPACES}]"
     return ~F.coalesce(F.rlike(col, F.lit(long_enough)), F.lit(False))
 

@@ -179,7 +179,9 @@ class ModelScorer:
                     {"label": "object", "score": "float64", "score_error": "object"}
                 )
 
-        return score(chunks)
+        # Not declared deterministic, or a later filter on the label would be moved
+        # below it with a copy of the call, and the model would run twice.
+        return score.asNondeterministic()(chunks)
 
 
 def score_posts(

@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from feedpulse.operators.metrics import sentiment_trend
-from feedpulse.operators.scoring import score_posts
+from feedpulse.operators.scoring import ModelScorer, score_posts
 from feedpulse.plans.catalog import _events_view
 from feedpulse.plans.posts import untimed_posts
 
@@ -53,6 +53,17 @@ def test_scoring_and_cleaning_need_no_shuffle_of_their_own(spark, plans):
     assert "Exchange" not in re.sub("Exchange hashpartitioning.doc_id", "", plans["clean_feed"])
 
 
+def test_a_model_runs_once_per_post_even_under_a_filter(spark):
+    scored = score_posts(
+        untimed_posts(spark, SF_DIR), ModelScorer(lambda: lambda t: [("positive", 0.7)] * len(t))
+    )
+    for df in (scored, scored.where("sentiment_label = 'positive' and sentiment_score > 0.5")):
+        plan = plan_of(df)
+        assert plan.count("ArrowEvalPython") == 1
+        assert len(re.findall(r"ArrowEvalPython \[score\(", plan)) == 1
+    assert df.count() == scored.count() > 0
+
+
 def test_label_shares_score_once(spark):
     shares = entry.queries()["sentiment_distribution"](spark, SF_DIR)
     shares.collect()

@@ -139,5 +139,14 @@ def test_preview(spark, n):
 
 
 def test_short_limit(spark):
+    low = [tx.is_too_short(F.col("t"), n).alias(f"n{n}") for n in (0, 1, 2)]
+    df = spark.createDataFrame([("",), (" ",), (" a",), ("ab ",), (None,)], "t string")
+    assert [tuple(r) for r in df.select(*low).collect()] == [
+        (False, True, True),
+        (False, True, True),
+        (False, False, True),
+        (False, False, False),
+        (True, True, True),
+    ]
     rows = evaluate(spark, ["abcd", "abcde", " a  b "], s=tx.is_too_short(F.col("t"), 5))
     assert [r.s for r in rows] == [True, False, True]
