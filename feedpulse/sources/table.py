@@ -119,6 +119,8 @@ def upsert_posts(
     df: DataFrame, batch_id: int, path: str, as_of: datetime | Column | None = None
 ) -> None:
     """Writes scored posts, one per id, as version ``batch_id`` of those ids."""
+    if batch_id < 0:
+        raise ValueError("batch numbers start at 0; a negative one marks compacted rows")
     versioned = with_insertion_time(df, as_of).withColumn("version", F.lit(batch_id).cast("long"))
     _write_folder(layout(versioned), path, batch_id)
 
@@ -137,6 +139,12 @@ def read_versions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMA).parquet(path)
 
 
+def next_version(spark: SparkSession, path: str) -> int:
+    """The batch number from which a stream with a new checkpoint may go on."""
+    newest = read_versions(spark, path).agg(F.max("version")).first()[0]
+    return 0 if newest is None else newest + 1
+
+
 def latest_posts(versions: DataFrame) -> DataFrame:
     """The newest row of each id.
 

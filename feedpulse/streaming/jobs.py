@@ -34,6 +34,7 @@ def batch_writer(
     communities: list[str] | None = None,
     language: str | None = "en",
     scorer_partitions: int | None = None,
+    first_batch: int = 0,
     as_of: datetime | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The function run on each micro-batch of messages.
@@ -43,10 +44,15 @@ def batch_writer(
     so the source is read once; of the messages only the bad ones are kept with
     it. Posts are scored once, on the way to the table, and no row comes to the
     driver. ``scorer_partitions`` spreads a slow model wider than the batch is.
+
+    Batch numbers are versions, and one stream owns ``path``. A stream that lost
+    its checkpoint counts from 0 again; ``first_batch=next_version(...)`` makes it
+    go on after what is stored instead of over it.
     """
     scorer = scorer or LexiconScorer()
 
     def process_batch(batch: DataFrame, batch_id: int) -> None:
+        batch_id += first_batch
         parsed = parse_posts(decode_kafka(batch).drop("key"))
         message = F.when(F.col("id").isNull(), F.col("value"))
         parsed = parsed.withColumn("value", message).persist()

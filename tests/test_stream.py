@@ -13,7 +13,7 @@ from feedpulse.operators.view import posts_view
 from feedpulse.schema import WIRE_SCHEMA
 from feedpulse.sources.feed import read_posts_stream
 from feedpulse.sources.messages import parse_posts, split_valid
-from feedpulse.sources.table import latest_posts, read_versions
+from feedpulse.sources.table import latest_posts, next_version, read_versions
 from feedpulse.streaming import jobs
 from feedpulse.streaming.jobs import (
     StreamReporter,
@@ -153,6 +153,21 @@ def test_feed_job_writes_messages_for_the_scoring_job(spark, job, tmp_path):
     assert job.titles() == {"a": ("this is good", "positive")}
 
 
+def test_lost_checkpoint(spark, job, tmp_path):
+    job.land("1.txt", post("a", "good"), post("b", "fine"))
+    job.run()
+    job.land("2.txt", post("a", "great"))
+    job.run()
+    stored = f"{job.path}/posts"
+    assert next_version(spark, stored) == 2
+    job.checkpoint = str(tmp_path / "new-checkpoint")
+    (job.source / "1.txt").unlink()  # the source keeps no more than the last file
+    job.land("3.txt", post("a", "awful"))
+    job.run(first_batch=next_version(spark, stored))
+    assert job.titles() == {"a": ("awful", "negative"), "b": ("fine", "positive")}
+    assert next_version(spark, str(tmp_path / "nothing")) == 0
+
+
 def test_stream_equals_batch(spark, job):
     lines = [post(str(i), f"{'good' if i % 3 else 'bad'} {i} " + "x " * (i * 40)) for i in range(40)]
     for part in range(4):

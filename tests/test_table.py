@@ -45,6 +45,11 @@ def test_later_batch_wins_and_replay_changes_nothing(spark, path):
     assert titles(tb.latest_posts(tb.read_versions(spark, path))) == want
 
 
+def test_negative_batch_numbers_are_refused(spark, path):
+    with pytest.raises(ValueError):
+        tb.upsert_posts(posts(spark, ("a", "x", 1)), -1, path, DAY1)
+
+
 def test_newest_in_batch(spark):
     rows = [("a", "x", 1), ("a", "y", 3), ("a", "z", 2), ("b", "q", 1)]
     df = posts(spark, *rows).select("id", "created_at", "subreddit", "title", "text", "type")
