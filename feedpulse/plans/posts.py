@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedpulse.session import few_tasks
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -33,10 +35,9 @@ def load_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     moves at most half a split of data per core.
     """
     documents = load(spark, sf_dir, "documents")
-    cores = spark.sparkContext.defaultParallelism
-    if 2 * documents.rdd.getNumPartitions() > cores:
+    if not few_tasks(documents):
         return documents
-    return documents.repartition(cores, "doc_id")
+    return documents.repartition(spark.sparkContext.defaultParallelism, "doc_id")
 
 
 def untimed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:

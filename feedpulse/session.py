@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", **conf: str) -> SparkSession:
@@ -30,6 +30,11 @@ def local_session(cores: str = "*", **conf: str) -> SparkSession:
     return spark
 
 
+def few_tasks(df: DataFrame) -> bool:
+    """Whether the tasks of ``df`` would leave half of the cores or more idle."""
+    return 2 * df.rdd.getNumPartitions() <= df.sparkSession.sparkContext.defaultParallelism
+
+
 _local_base: str | None = None
 
 

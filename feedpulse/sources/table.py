@@ -25,6 +25,7 @@ from feedpulse.sources.messages import POSITION_COLUMNS
 
 RETENTION_DAYS = 30
 COMPACTED = -1
+BROADCAST_IDS = 100_000
 
 # Lookups by id and community skip compacted files: by bloom filter (communities
 # that repeat enough are looked up in their dictionary), the other columns by the
@@ -48,6 +49,22 @@ def newest_in_batch(df: DataFrame) -> DataFrame:
     return df.groupBy("id").agg(newest.alias("_post")).select("_post.*")
 
 
+def one_per_id(df: DataFrame, rows_per_id: DataFrame, repeated: int) -> DataFrame:
+    """The batch with one row per id; only rows of repeated ids are shuffled.
+
+    ``rows_per_id`` has ``id`` and ``n``; ``repeated`` is the number of ids with
+    ``n > 1``. In most batches it is 0 and the rows pass as they are. The ids are
+    broadcast up to a fixed number of them, beyond it Spark picks the join.
+    """
+    if repeated == 0:
+        return df
+    ids = rows_per_id.where((F.col("n") > 1) & F.col("id").isNotNull()).select("id")
+    if repeated <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    again = newest_in_batch(df.join(ids, "id", "left_semi").select(*df.columns))
+    return df.join(ids, "id", "left_anti").select(*df.columns).unionByName(again)
+
+
 def latest_per_key(df: DataFrame, key: str = "id", order: str = "version") -> DataFrame:
     """Rows with the highest ``order`` of their key; the pair must be unique.
 

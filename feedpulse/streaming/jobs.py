@@ -15,9 +15,10 @@ from feedpulse.operators.metrics import rollup_posts
 from feedpulse.operators.scoring import LexiconScorer, Scorer, check_scorer, score_posts
 from feedpulse.operators.view import posts_view
 from feedpulse.schema import POST_COLUMNS
+from feedpulse.session import few_tasks
 from feedpulse.sources.feed import clean_feed
 from feedpulse.sources.messages import decode_kafka, parse_posts, split_valid, to_messages
-from feedpulse.sources.table import COMPACTED, newest_in_batch, upsert_posts
+from feedpulse.sources.table import COMPACTED, one_per_id, upsert_posts
 
 log = logging.getLogger(__name__)
 
@@ -40,10 +41,12 @@ def batch_writer(
     """The function run on each micro-batch of messages.
 
     Under ``path`` it writes the folders ``posts``, ``dead_letters`` and
-    ``batch_log``. The parsed batch is kept for the two writes and the counts,
-    so the source is read once; of the messages only the bad ones are kept with
-    it. Posts are scored once, on the way to the table, and no row comes to the
-    driver. ``scorer_partitions`` spreads a slow model wider than the batch is.
+    ``batch_log``. The parsed batch is kept for its counts and the two writes, so
+    the source is read once; of the messages only the bad ones are kept with it.
+    The ids are counted first: rows are shuffled only where an id comes twice, or
+    where the source has too few partitions for the cores. Posts are scored once,
+    on the way to the table, and of all rows the driver sees three counts.
+    ``scorer_partitions`` fixes the number of tasks for a slow model.
 
     Batch numbers are versions, and one stream owns ``path``. A stream that lost
     its checkpoint counts from 0 again; ``first_batch=next_version(...)`` makes it
@@ -57,29 +60,37 @@ def batch_writer(
         message = F.when(F.col("id").isNull(), F.col("value"))
         parsed = parsed.withColumn("value", message).persist()
         try:
-            if parsed.isEmpty():
+            rows_per_id = parsed.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+            keyed = F.col("id").isNotNull()
+            counts = rows_per_id.agg(
+                F.coalesce(F.sum("n"), F.lit(0)).alias("rows_in"),
+                F.coalesce(F.sum(F.when(keyed, F.col("n"))), F.lit(0)).alias("rows_valid"),
+                F.count(F.when(keyed & (F.col("n") > 1), 1)).alias("repeated"),
+            ).first()
+            if counts.rows_in == 0:
                 log.info("batch %s is empty", batch_id)
                 return
             valid, dead = split_valid(parsed)
-            posts = newest_in_batch(valid.drop("value")).select(*POST_COLUMNS)
+            posts = one_per_id(valid.drop("value"), rows_per_id, counts.repeated)
+            posts = posts.select(*POST_COLUMNS)
             if clean:
                 posts = clean_feed(posts, communities, language)
             if scorer_partitions:
                 posts = posts.repartition(scorer_partitions, "id")
+            elif few_tasks(parsed):
+                posts = posts.repartition("id")
             written = Observation()
             scored = score_posts(posts, scorer).observe(written, F.count(F.lit(1)).alias("rows"))
             upsert_posts(scored, batch_id, f"{path}/posts", as_of)
             _replace_folder(dead, f"{path}/dead_letters", batch_id)
-            counts = parsed.agg(
-                F.count(F.lit(1)).alias("rows_in"), F.count("id").alias("rows_valid")
-            ).select(
-                "rows_in",
-                "rows_valid",
-                (F.col("rows_in") - F.col("rows_valid")).alias("rows_dead"),
+            line = batch.sparkSession.range(1).select(
+                F.lit(counts.rows_in).cast("long").alias("rows_in"),
+                F.lit(counts.rows_valid).cast("long").alias("rows_valid"),
+                F.lit(counts.rows_in - counts.rows_valid).cast("long").alias("rows_dead"),
                 F.lit(written.get["rows"]).cast("long").alias("rows_written"),
                 F.current_timestamp().alias("logged_at"),
             )
-            _replace_folder(counts.coalesce(1), f"{path}/batch_log", batch_id)
+            _replace_folder(line.coalesce(1), f"{path}/batch_log", batch_id)
         finally:
             parsed.unpersist()
 

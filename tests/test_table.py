@@ -58,6 +58,18 @@ def test_newest_in_batch(spark):
     assert titles(tb.newest_in_batch(offsets)) == {"a": "z", "b": "q"}
 
 
+@pytest.mark.parametrize("bound", [0, 100_000])
+def test_one_per_id(spark, monkeypatch, bound):
+    monkeypatch.setattr(tb, "BROADCAST_IDS", bound)
+    rows = [("hot", f"{i:02}", i) for i in range(20)] + [(f"s{i}", "x", 1) for i in range(40)]
+    df = posts(spark, *rows).select("id", "created_at", "subreddit", "title", "text", "type")
+    per_id = df.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    got = tb.one_per_id(df, per_id, 1)
+    assert got.count() == 41 and got.columns == df.columns
+    assert titles(got)["hot"] == "19"
+    assert tb.one_per_id(df, per_id, 0) is df
+
+
 def test_latest_per_key_with_a_hot_key(spark):
     df = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 500).alias("k"),
@@ -72,7 +84,8 @@ def test_latest_per_key_with_a_hot_key(spark):
 def test_compaction_keeps_the_newest_and_later_batches_win(spark, path, tmp_path):
     target = str(tmp_path / "compacted")
     for batch in range(4):
-        tb.upsert_posts(posts(spark, ("a", f"v{batch}", 1), (f"n{batch}", "x", 2)), batch, path, DAY1)
+        scored = posts(spark, ("a", f"v{batch}", 1), (f"n{batch}", "x", 2))
+        tb.upsert_posts(scored, batch, path, DAY1)
     tb.compact(spark, path, target, files=2)
     stored = tb.read_versions(spark, target)
     assert stored.count() == 5
