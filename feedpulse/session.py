@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,21 +34,13 @@ def few_tasks(df: DataFrame) -> bool:
     return 2 * df.rdd.getNumPartitions() <= df.sparkSession.sparkContext.defaultParallelism
 
 
-_local_base: str | None = None
-
-
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, reachable from every executor.
 
-    Only a local master may fall back to a temporary folder: on a cluster the
-    executors would each write to their own disk.
+    Where that is unset, folders go below the warehouse, which a cluster shares as
+    well; the driver's temporary folder would not do.
     """
-    global _local_base
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        if _local_base is None:
-            _local_base = tempfile.mkdtemp(prefix="feedpulse-")
-        base = _local_base
+        base = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse").rstrip("/") + "/feedpulse-work"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -2,8 +2,6 @@
 
 from types import SimpleNamespace
 
-import pytest
-
 from feedpulse.session import shared_folder
 
 
@@ -21,7 +19,6 @@ def test_the_session_names_the_folder():
     assert folder != shared_folder(session("yarn", "s3a://bucket/checkpoints/"), "resent")
 
 
-def test_no_machine_local_folder_on_a_cluster():
-    with pytest.raises(RuntimeError):
-        shared_folder(session("spark://host:7077"), "resent")
-    assert shared_folder(session("local[2]"), "resent")
+def test_without_a_setting_folders_go_below_the_warehouse():
+    folder = shared_folder(session("spark://host:7077"), "resent")
+    assert folder.startswith("spark-warehouse/feedpulse-work/resent-")
