@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,9 +27,22 @@ def local_session(cores: str = "*", **conf: str) -> SparkSession:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    find_package(spark)
     return spark
 
 
+def find_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it.
+
+    For local runs out of a checkout; on a cluster the package is installed or sent
+    with ``--py-files``.
+    """
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if here not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [here, paths]))
+
+
 def few_tasks(df: DataFrame) -> bool:
     """Whether the tasks of ``df`` would leave half of the cores or more idle."""
     return 2 * df.rdd.getNumPartitions() <= df.sparkSession.sparkContext.defaultParallelism
