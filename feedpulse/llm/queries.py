@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from feedpulse.llm.exact_dedup import OP6_SQL, op6_exact_dedup
+from feedpulse.llm.packing import op10_best_fit_packing
+from feedpulse.llm.piece_ids import op5_piece_ids
 from feedpulse.llm.secret_scan import op9_secret_scan
+from feedpulse.llm.token_codes import op4_token_codes
 
 QUERIES = {
+    "op4_token_codes": op4_token_codes,
+    "op5_piece_ids": op5_piece_ids,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_secret_scan": op9_secret_scan,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 #: The others are not expressible in SQL; tests/llm sets them against brute force.
