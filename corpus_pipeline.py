@@ -12,11 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feedpulse.llm.common import documents, written
 from feedpulse.llm.exact_dedup import keep_first_copies
+from feedpulse.llm.near_dedup import keep_first_of_near
+from feedpulse.llm.packing import pack_stage
+from feedpulse.llm.quality import keep_good
 from feedpulse.llm.secret_scan import redact_secrets
 
 STAGES = [
+    ("quality", keep_good),
     ("exact_dedup", keep_first_copies),
+    ("near_dedup", keep_first_of_near),
     ("secret_scan", redact_secrets),
+    ("packing", pack_stage),
 ]
 
 #: A trained classifier and MinHash have no SQL; tests/llm checks the run by brute force.
