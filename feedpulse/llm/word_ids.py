@@ -1,8 +1,9 @@
 """Token ids of whole texts by the tokenizers library, word by word.
 
-The vocabulary file lower-cases, drops white space and never joins what white space
-separates, so the ids of a text are those of its words in a row. Words repeat, and
-a worker keeps the ids of those it has met; the library encodes the others.
+The vocabulary file lower-cases, drops white space, and merges neither across white
+space nor between letters, single digits and signs, so the ids of a text are those
+of such words in a row. Words repeat: a worker keeps the ids of those it has met,
+and the library encodes the others.
 """
 
 from __future__ import annotations
@@ -13,11 +14,16 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
+#: Any character but Western letters, ASCII digits, ASCII signs and ASCII white space;
+#: the apostrophe counts as other, as it begins endings like 's.
+ODD = re.compile("[^ \t-\r!-&(-~À-ÖØ-öø-ÿ]")
+#: Between white space, what holds such a character.
+OTHER = re.compile("((?<!\\S)[!-&(-~À-ÖØ-öø-ÿ]*+[^\\s!-&(-~À-ÖØ-öø-ÿ]\\S*)")
 #: Texts that only the library may split: separators that Python alone takes for
 #: white space, those on which versions differ, and the special tokens by name.
-WHOLE = re.compile("[\x1c-\x1f\x85᠎]|<\\|(?:start|end)oftext\\|>")
-#: A word of Western letters that end in ASCII signs; no apostrophe, no digits.
-PLAIN = re.compile("([a-zß-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+WHOLE = re.compile("[\x1c-\x1f\x85\u180e]|<\\|(?:start|end)oftext\\|>")
+#: Words of all else, in lower case.
+PLAIN = re.compile("[a-zß-öø-ÿ]+|[!-&(-/:-@\\[-`{-~]+|[0-9]")
 END = "</w>"
 
 
@@ -28,7 +34,7 @@ class WordIds:
     time and changes no result.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -46,7 +52,6 @@ class WordIds:
         self.ends[[i for token, i in vocabulary.items() if token.endswith(END)]] = True
         self.limit = limit
         self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         return [b for some in slices(texts) for b in self._encode(some)]
@@ -54,46 +59,45 @@ class WordIds:
     def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self.words) > self.limit:
             self.words.clear()
-        if len(self.parts) > self.limit:
-            self.parts = {"": b""}
-        known = self.words
-        split = [None if WHOLE.search(t) else t.split() for t in texts]
-        self._learn({w for ws in split if ws for w in ws if w not in known})
+        known, split = self.words, []
+        for text in texts:
+            if not ODD.search(text) and "<|" not in text:
+                split.append(PLAIN.findall(text.lower()))
+                continue
+            if WHOLE.search(text):
+                split.append(None)
+                continue
+            parts = OTHER.split(text)
+            words = PLAIN.findall(parts[0].lower())
+            for other, plain in zip(parts[1::2], parts[2::2]):
+                if other not in known:
+                    known[other] = self._whole(other)
+                words.append(other)
+                words += PLAIN.findall(plain.lower())
+            split.append(words)
+        new = set().union(*[set(ws).difference(known) for ws in split if ws])
+        if new:
+            self._learn(list(new))
         return [
-            self._whole([t])[0] if ws is None else b"".join([known[w] for w in ws])
-            for t, ws in zip(texts, split)
+            self._whole(text) if ws is None else b"".join(map(known.__getitem__, ws))
+            for text, ws in zip(texts, split)
         ]
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        encoded = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
-
-    def _learn(self, words: set[str]) -> None:
-        plain, other, new = {}, [], set()
-        for word in words:
-            found = PLAIN.fullmatch(word.lower())
-            if found:
-                plain[word] = found.groups()
-                new.update(found.groups())
-            else:
-                other.append(word)
-        new.difference_update(self.parts)
-        if new:
-            new = list(new)
-            ids = np.array(
-                self.bare.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4"
-            )
-            stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
-            if len(stops) != len(new):
-                raise ValueError("the vocabulary does not mark the ends of words")
-            raw = ids.tobytes()
-            self.parts.update(
-                (part, raw[a:b]) for part, a, b in zip(new, [0, *stops], stops)
-            )
-        parts = self.parts
-        self.words.update((w, parts[head] + parts[tail]) for w, (head, tail) in plain.items())
-        if other:
-            self.words.update(zip(other, self._whole(other)))
+    def _whole(self, text: str) -> bytes:
+        encoded = self.library.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(encoded[0].ids, "<u4").tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        ids = np.array(
+            self.bare.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4"
+        )
+        stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+        if len(stops) != len(words):
+            raise ValueError("the vocabulary does not mark the ends of words")
+        raw, start = ids.tobytes(), 0
+        for word, stop in zip(words, stops):
+            self.words[word] = raw[start:stop]
+            start = stop
 
 
 def slices(texts: Iterable[str], size: int = 2_000_000) -> Iterator[list[str]]:
