@@ -61,12 +61,11 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         both = stars.union(stars.select(F.col("m").alias("v"), F.col("v").alias("m")))
         least = both.groupBy("v").agg(F.min("m").alias("least"))
         least = least.select("v", F.least("least", "v").alias("least"))
-        large = written(
+        large = (
             both.join(least, "v")
             .where(F.col("m") > F.col("v"))
             .select(F.col("m").alias("v"), F.col("least").alias("m"))
-            .distinct(),
-            "large-star",
+            .distinct()
         )
         lesser = large.groupBy("v").agg(F.min("m").alias("least"))
         stars = written(
@@ -80,4 +79,6 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     else:
         raise RuntimeError(f"components still change after {rounds} rounds")
     roots = stars.select(F.col("m").alias("node"), F.col("m").alias("label")).distinct()
-    return stars.select(F.col("v").alias("node"), F.col("m").alias("label")).union(roots)
+    return written(
+        stars.select(F.col("v").alias("node"), F.col("m").alias("label")).union(roots), "labels"
+    )

@@ -10,12 +10,21 @@ probability ``(1 - (1 - 0.75 ** ROWS) ** SIDE) ** 2`` = 0.9997, and above it soo
 Half keys that one document alone has can't be part of a shared table, so they go
 before any pair is formed: most documents of a corpus make no key at all.
 
-Documents with equal shingle sets are one node. In a table, nodes are first compared
-with one centre only; links found make components. Then the nodes of a table that
-are in different components are compared with each other, those of the largest
-component being left out among themselves. So no group is expanded into all pairs,
-and no pair of a table is left out whose link could still join two components.
-Every link is confirmed on the full shingle sets.
+Documents with equal shingle sets are one node. Of the nodes that share a table with
+others, each shingle is counted; one that a single node has is in no intersection, so
+the others bound the similarity of a node to any other. Nodes and pairs under that
+bound go, exactly and before pairs are made: of a group of copies changed at random
+places only those stay that can have a link.
+
+In a table, nodes are first compared with one centre only, the node with the least
+share of shingles of its own; links found make components. Nodes of a table that are
+in different components may still be linked. Their shingles are put in one order,
+rarest first. Two similar sets share a shingle among the first quarter of either, at
+places that leave enough behind them, so only nodes that meet there are compared:
+copies changed at different places don't. Nodes of the largest component at a shingle
+are left out among themselves. So no group is expanded into all pairs, and no pair
+is left out whose link could still join two components. Every link is confirmed on
+the full shingle sets.
 """
 
 from __future__ import annotations
@@ -25,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedpulse.llm.common import ROW, components, documents, row_key, text_or_empty, written
@@ -181,11 +190,11 @@ def similar_sketches(pairs: DataFrame, nodes: DataFrame, least: int = SKETCH_LEA
     )
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs that are links on their full shingle sets, stored.
 
-    Texts of nodes in a pair are taken out once. The centre of a large group is in
-    many pairs; they are rows of a plain sort-merge join, which Spark splits.
+    The centre of a large group is in many pairs; they are rows of a plain sort-merge
+    join, which Spark splits.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,14 +209,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
                 links.append(100 * both >= PERCENT * (len(own) + len(its) - both))
             yield batch.select([0, 1]).filter(pa.array(links, pa.bool_()))
 
-    asked = written(
-        pairs.select(F.col("a").alias(ROW)).union(pairs.select("b")).distinct(), "asked"
-    )
-    texts = written(
-        row_key(docs).select(ROW, text_or_empty(text).alias("text")).join(asked, ROW), "texts"
-    )
-    a = texts.select(F.col(ROW).alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col(ROW).alias("b"), F.col("text").alias("text_b"))
+    a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     return written(
         pairs.join(b, "b")
         .join(a, "a")
@@ -217,41 +220,136 @@ def confirmed(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     )
 
 
-def star_pairs(keys: DataFrame) -> DataFrame:
-    """One pair per node: with the centre it shares most tables with.
+def exploded(texts: DataFrame) -> DataFrame:
+    """``(node, shingle)`` of every shingle."""
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = shingles(text.as_py()).view(np.int64)
+                for first in range(0, len(own), 10_000):
+                    some = own[first : first + 10_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(some), node)), pa.array(some)],
+                        names=["node", "shingle"],
+                    )
+
+    return texts.select("node", "text").mapInArrow(explode, "node long, shingle long")
+
+
+def not_alone(texts: DataFrame) -> DataFrame:
+    """``(node, n, m)`` of nodes that can have a link: ``m`` shingles another node has too."""
+    alone = (
+        exploded(texts)
+        .groupBy("shingle")
+        .agg(F.count("*").alias("c"), F.min("node").alias("node"))
+        .where("c = 1")
+        .groupBy("node")
+        .agg(F.count("*").alias("alone"))
+    )
+    return (
+        texts.select("node", "n")
+        .join(alone, "node", "left")
+        .select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("m"))
+        .where(F.col("m") * 100 >= F.col("n") * PERCENT)
+    )
+
+
+def prefixes(texts: DataFrame) -> DataFrame:
+    """``(key, node, n, place)``: the shingles by which a node may meet another.
 
-    The centre of a table is its least node; tables are found with map-side combine.
+    ``place`` counts from 0 in the order of shingles, rarest first; those that one
+    node alone has come before all and need no row. Beyond the first quarter no
+    shingle can be the first that two similar sets share.
     """
-    centres = keys.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("c"))
-    met = keys.join(centres.where("c > 1").select("key", "a"), "key").where("node != a")
-    counts = met.groupBy("node", "a").agg(F.count("*").alias("c"))
-    best = counts.groupBy("node").agg(F.max(F.struct("c", (-F.col("a")).alias("m"))).alias("best"))
-    return best.select((-F.col("best.m")).alias("a"), F.col("node").alias("b"))
+    rows = exploded(texts)
+    counts = rows.groupBy("shingle").agg(F.count("*").alias("c")).where("c > 1")
+    shared = rows.join(counts, "shingle")
+    order = Window.partitionBy("node").orderBy("c", "shingle")
+    ranked = shared.select(
+        "node",
+        "shingle",
+        F.row_number().over(order).alias("rank"),
+        F.count("*").over(Window.partitionBy("node")).alias("total"),
+    )
+    return (
+        ranked.join(texts.select("node", "n"), "node")
+        .select(
+            F.col("shingle").alias("key"),
+            "node",
+            "n",
+            (F.col("n") - F.col("total") + F.col("rank") - 1).alias("place"),
+        )
+        .where((F.col("n") - F.col("place")) * 100 >= F.col("n") * PERCENT)
+    )
+
+
+def possible(n_a: str, m_a: str, n_b: str, m_b: str) -> Column:
+    """Whether two nodes can be similar enough, by their sizes and shared shingles."""
+    both = F.least(m_a, m_b)
+    return both * 100 >= (F.col(n_a) + F.col(n_b) - both) * PERCENT
 
 
-def open_pairs(keys: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of a table in different components, once each.
+def star_pairs(entries: DataFrame) -> DataFrame:
+    """One pair per node: with the centre of most of its tables.
 
-    In each table the component with most nodes is only compared with the others.
+    Centres are found with map-side combine.
     """
-    named = keys.join(labels, "node", "left").select(
-        "key", "node", "n", F.coalesce("label", "node").alias("label")
+    first = F.struct((F.col("m") / F.col("n")).alias("share"), (-F.col("node")).alias("minus"), "n", "m")
+    centres = (
+        entries.groupBy("key")
+        .agg(F.max(first).alias("top"))
+        .select(
+            "key",
+            (-F.col("top.minus")).alias("a"),
+            F.col("top.n").alias("n_a"),
+            F.col("top.m").alias("m_a"),
+        )
+    )
+    met = entries.join(centres, "key").where(
+        (F.col("node") != F.col("a")) & possible("n", "m", "n_a", "m_a")
     )
+    return met.groupBy("node").agg(F.mode("a", True).alias("a")).select("a", F.col("node").alias("b"))
+
+
+def mixed_keys(entries: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``entries`` with their labels, and the keys that nodes of several labels have.
+
+    Of such a key, ``major`` is the label of most of its nodes.
+    """
+    named = entries.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     counts = named.groupBy("key", "label").agg(F.count("*").alias("c"))
-    tables = (
+    keys = (
         counts.groupBy("key")
         .agg(F.count("*").alias("labels"), F.max(F.struct("c", "label")).alias("most"))
         .where("labels > 1")
         .select("key", F.col("most.label").alias("major"))
     )
-    mixed_up = named.join(tables, "key")
-    few = mixed_up.where("label != major").select(
-        "key", *[F.col(c).alias(f"few_{c}") for c in ("node", "n", "label")]
+    return named, keys
+
+
+def open_texts(entries: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """Texts of the nodes that share a table with a node of another component."""
+    named, keys = mixed_keys(entries, labels)
+    return texts.join(named.join(keys, "key", "left_semi").select("node").distinct(), "node")
+
+
+def open_pairs(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of different components that meet in their prefixes, once each.
+
+    At each shingle the component with most nodes is only compared with the others.
+    What follows the meeting, on the side that has less, must suffice for a link.
+    """
+    named, keys = mixed_keys(entries, labels)
+    named = named.join(keys, "key")
+    few = named.where("label != major").select(
+        "key", *[F.col(c).alias(f"few_{c}") for c in ("node", "n", "place", "label")]
     )
-    pairs = few.join(mixed_up, "key").where(
+    left = F.least(F.col("few_n") - F.col("few_place"), F.col("n") - F.col("place"))
+    pairs = few.join(named, "key").where(
         (F.col("few_label") != F.col("label"))
         & ((F.col("label") == F.col("major")) | (F.col("few_node") < F.col("node")))
-        & (F.least("few_n", "n") * 100 >= F.greatest("few_n", "n") * PERCENT)
+        & (left * 100 >= (F.col("few_n") + F.col("n") - left) * PERCENT)
     )
     return pairs.select(
         F.least("few_node", "node").alias("a"), F.greatest("few_node", "node").alias("b")
@@ -273,23 +371,36 @@ def dedup_near(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     groups = written(
         signed.where("n > 0")
         .groupBy("digest")
-        .agg(F.min(ROW).alias("node"), F.min(order).alias("least"), F.count("*").alias("copies")),
+        .agg(
+            F.min(ROW).alias("node"),
+            F.min(order).alias("least"),
+            F.first("n").alias("n"),
+            F.first("halves").alias("halves"),
+            F.first("sketch").alias("sketch"),
+        ),
         "nodes",
     )
-    nodes = written(
-        groups.select(F.col("node").alias(ROW))
-        .join(signed, ROW)
-        .select(F.col(ROW).alias("node"), "n", "halves", "sketch"),
-        "node-signatures",
+    sketches = groups.select("node", "n", "sketch")
+    keys = written(table_keys(groups), "table-keys")
+    tables = keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    met = written(keys.join(tables, "key"), "met")
+    nodes = met.select(F.col("node").alias(ROW), "n").distinct()
+    texts = written(
+        row_key(docs)
+        .select(ROW, text_or_empty(text).alias("text"))
+        .join(nodes, ROW)
+        .select(F.col(ROW).alias("node"), "n", "text"),
+        "texts",
     )
-    sketches = nodes.select("node", "n", "sketch")
-    keys = written(table_keys(nodes), "table-keys")
-    stars = written(similar_sketches(star_pairs(keys), sketches), "star-pairs")
-    links = confirmed(stars, docs, text)
-    labels = written(components(links), "labels")
-    pairs = written(similar_sketches(open_pairs(keys, labels), sketches), "open-pairs")
-    links = links.union(confirmed(pairs, docs, text))
-    labels = written(components(links), "labels")
+    entries = written(met.drop("n").join(not_alone(texts), "node"), "entries")
+    links = confirmed(similar_sketches(star_pairs(entries), sketches), texts)
+    labels = components(links)
+    still_open = written(open_texts(entries, labels, texts), "open-texts")
+    met = written(prefixes(still_open), "prefixes")
+    pairs = written(similar_sketches(open_pairs(met, labels), sketches), "open-pairs")
+    if not pairs.isEmpty():
+        links = links.union(confirmed(pairs, texts))
+        labels = components(links)
 
     named = groups.join(labels, "node", "left").select(
         "digest", "least", F.coalesce("label", "node").alias("label")
