@@ -54,9 +54,10 @@ def unit_rows(vectors: list, size: int) -> tuple[np.ndarray, np.ndarray]:
     for k, v in enumerate(vectors):
         if v is not None and len(v) == size and None not in v:
             x = np.array(v, float)
-            length = np.sqrt((x / (np.abs(x).max() or 1.0)) @ (x / (np.abs(x).max() or 1.0)))
-            if np.isfinite(x).all() and length > 0:
-                out[k], good[k] = x / np.abs(x).max() / length, True
+            most = np.abs(x).max()  # NaN where any component is
+            if np.isfinite(most) and most > 0:
+                x = x / most
+                out[k], good[k] = x / np.sqrt(x @ x), True
     return out, good
 
 

@@ -1,0 +1,82 @@
+import brute
+import numpy as np
+
+from feedpulse.llm.embedding_dedup import dedup_vectors, op8_embedding_dedup
+
+VECTORS = "vec_id long, embedding array<float>, label int, code string, unit string"
+
+
+def expected(rows):
+    """Links and components by comparing all pairs in double precision."""
+    good = []
+    for i, v in rows:
+        if v is not None and None not in v and np.isfinite(v).all() and np.any(v):
+            x = np.array(v, np.float32).astype(float)
+            good.append((i, x / np.sqrt(x @ x)))
+    units = np.array([u for _, u in good])
+    near = units @ units.T >= 0.95
+    ids = [i for i, _ in good]
+    links = [(ids[a], ids[b]) for a, b in zip(*np.where(np.triu(near, 1)))]
+    found = brute.components_of([i for i, _ in rows], links)
+    degree = dict.fromkeys(found, 0)
+    for a, b in links:
+        degree[a] += 1
+        degree[b] += 1
+    return {i: (degree[i], found[i]) for i in found}
+
+
+def planted(seed, groups=60, copies=6, d=64):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for _ in range(groups):
+        centre = rng.standard_normal(d)
+        for _ in range(copies):
+            noise = rng.standard_normal(d) * rng.uniform(0, 0.3)
+            rows.append((len(rows), ((centre + noise) * rng.uniform(0.1, 9)).tolist()))
+    return rows
+
+
+def test_recall_and_precision(make):
+    rows = planted(3)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in dedup_vectors(make(rows, VECTORS, "v")).collect()}
+    want = expected(rows)
+    assert sum(n for n, _ in got.values()) >= 0.97 * sum(n for n, _ in want.values())
+    assert all(got[i][0] <= want[i][0] for i in want)
+    assert np.mean([got[i][1] == want[i][1] for i in want]) >= 0.97
+
+
+def test_query(spark, small):
+    path = f"{small}/embeddings.parquet"
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(path).collect()]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in op8_embedding_dedup(spark, small).collect()}
+    assert got == expected(rows)
+
+
+def test_edge_rows(make):
+    v, w = np.eye(64)[0].tolist(), np.eye(64)[1].tolist()
+    rows = [
+        (5, v),
+        (3, [2 * x for x in v]),
+        (4, v),
+        (4, v),
+        (6, None),
+        (7, [0.0] * 64),
+        (8, [float("nan"), *v[1:]]),
+        (9, [float("inf"), *v[1:]]),
+        (10, [None, *v[1:]]),
+        (11, [1.0]),
+        (12, []),
+        (None, w),
+        (13, w),
+    ]
+    out = dedup_vectors(make(rows, VECTORS, "v")).collect()
+    assert len(out) == len(rows)
+    by = {r.vec_id: r for r in out}
+    assert (by[5].n_links, by[5].component_id, by[5].kept) == (3, 3, False)
+    assert (by[3].n_links, by[3].component_id, by[3].kept) == (3, 3, True)
+    assert [r.n_links for r in out if r.vec_id == 4] == [3, 3]
+    for i in range(6, 13):
+        assert (by[i].n_links, by[i].component_id, by[i].kept) == (0, i, True)
+    assert by[None].component_id == 13 and not by[None].kept and by[13].kept
+    assert dedup_vectors(make([], VECTORS, "none")).count() == 0
+    assert dedup_vectors(make([(1, None)], VECTORS, "null")).first().component_id == 1

@@ -1,0 +1,78 @@
+import zlib
+
+import numpy as np
+
+from feedpulse.llm.quality import (
+    MEASURES,
+    fit,
+    held_out,
+    keep_good,
+    labels_of,
+    measures,
+    op3_quality,
+    train,
+)
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_measures_cover_the_whole_text():
+    assert measures("").shape == (1, MEASURES) and not measures("").any()
+    assert measures("\x00").shape == (1, MEASURES)
+    long = "word " * 96 * 50
+    assert len(measures(long)) == 50 and len(measures(long + "END!!")) == 51
+    assert (measures("A b\nc") == measures(" A  b c ")).all()
+    assert np.isfinite(measures("🙂 é | # $ \x01 " * 40)).all()
+
+
+def test_attention_finds_the_passage_that_decides():
+    rng = np.random.default_rng(1)
+    bags, labels = [], []
+    for n in range(300):
+        bag = rng.standard_normal((rng.integers(2, 9), 6))
+        bad = n % 3 == 0
+        if bad:
+            bag[rng.integers(len(bag)), 0] += 8
+        bags.append(bag)
+        labels.append(0.0 if bad else 1.0)
+    model = fit(bags[:200], np.array(labels[:200]))
+    scores = model.score(bags[200:])
+    assert np.mean((scores > 0.5) == np.array(labels[200:])) > 0.95
+    bad = [b for b, y in zip(bags[200:], labels[200:]) if not y]
+    assert np.mean([model.attention(b).argmax() == b[:, 0].argmax() for b in bad]) > 0.9
+    assert abs(model.attention(bad[0]).sum() - 1) < 1e-9
+    again = fit(bags[:200], np.array(labels[:200])).score(bags[200:])
+    assert (again == scores).all()
+
+
+def test_held_out_accuracy(spark):
+    known = {r.doc_id: r.quality for r in labels_of(spark, SF).collect()}
+    rows = op3_quality(spark, SF).collect()
+    assert len(rows) == 1000 and all(0 <= r.score <= 1 for r in rows)
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        assert r.predicted == (r.score >= 0.7)
+    test = [r for r in rows if r.held_out and r.doc_id in known]
+    assert len(test) > 60
+    assert np.mean([r.predicted == known[r.doc_id] for r in test]) >= 0.95
+
+
+def test_labels_that_are_not_learned_from(spark, make):
+    docs = make([(n, f"text {n}") for n in range(20)])
+    held = [n for n in range(20) if zlib.crc32(str(n).encode()) % 4 == 2]
+    rows = [(n, 1) for n in held] + [(None, 1), (1, None)]
+    free = next(n for n in range(20) if n not in held)
+    rows += [(free, 0), (free, 1)]
+    labels = spark.createDataFrame(rows, "doc_id long, quality int")
+    assert train(docs, labels) is None
+    assert docs.where(held_out(docs.doc_id)).count() == len(held)
+
+
+def test_stage(spark, make):
+    good = "The words of this text are those of a plain one, and it goes on for a while. " * 9
+    docs = make([(1, good), (2, "### $$$ %%% *** " * 90), (None, good), (3, None), (1, good)])
+    out = keep_good(spark, docs, SF)
+    assert out.columns == docs.columns
+    ids = [r.doc_id for r in out.collect()]
+    assert 2 not in ids and ids.count(1) == 2 and None in ids
+    assert keep_good(spark, make([], name="none"), SF).count() == 0
