@@ -10,7 +10,6 @@ _SPACES = r"\s\p{Z}\x0b\x1c-\x1f\x85"
 
 # Fixed values of the scoring contract.
 CHUNK_SIZE = 512
-MAX_CHUNKS = 3
 SHORT_TEXT = 3
 TRUNCATED = "... [truncated]"
 
@@ -68,16 +67,16 @@ def is_too_short(col: Column, n: int = SHORT_TEXT) -> Column:
 
 
 def chunk_text(
-    col: Column, size: int = CHUNK_SIZE, max_chunks: int | None = MAX_CHUNKS
+    col: Column, size: int = CHUNK_SIZE, max_chunks: int | None = None
 ) -> Column:
-    """Array of ``size``-character pieces; ``max_chunks=None`` covers the whole text."""
+    """Array of ``size``-character pieces of the whole text, or of its first ``max_chunks``."""
     if max_chunks is not None:
         col = F.substring(col, 1, size * max_chunks)
     return F.regexp_extract_all(col, F.lit(f"(?s).{{1,{size}}}"), 0)
 
 
-def cleaned_text(col: Column, size: int = CHUNK_SIZE) -> Column:
-    """The text, or its first chunk and a marker where it was longer."""
+def cut_text(col: Column, size: int = CHUNK_SIZE) -> Column:
+    """For display: the text, or its first chunk and a marker where it was longer."""
     return F.when(
         F.length(col) > size, F.concat(F.substring(col, 1, size), F.lit(TRUNCATED))
     ).otherwise(col)

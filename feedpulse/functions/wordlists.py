@@ -1,9 +1,9 @@
-"""Word lists of the default scorer and of the language filter.
+"""Word and letter lists of the default scorer and of the language filter.
 
 Both are this project's own, written from general knowledge. The scorer's labels
 therefore differ from those of any trained model; a trained model plugs into
-``ModelScorer``. The language profiles are function words only, so they hold for
-any topic.
+``ModelScorer``. The language profiles are function words, and groups of letters for
+posts with hardly any of those, so they hold for any topic.
 """
 
 from __future__ import annotations
@@ -44,3 +44,20 @@ sv och att det som en på är av för med den till inte om jag har de ett var s
 LANGUAGE_PROFILES = {
     line.split()[0]: tuple(line.split()[1:]) for line in _PROFILE_TEXT.strip().splitlines()
 }
+
+_LETTER_TEXT = """
+de sch ch ei ie ung ü ö ä ß en er tz pf keit heit ck eu st
+en th wh ea ou ee oo sh ck gh ow ay ly ld ew ing ed wi ph
+es ñ ción ado os as ll rr que ez mente ía ó á í ue ie dad es
+fr eau eux è ê ç é oi ai aux tion ou que ment elle qu oie â ier
+it zione gli che ch tt zz ità cc gh ss ò ì ù ell ato are ere
+nl ij aa ee oo uu sch gt cht ver ge lijk oe ui eu ng heid tje
+pl cz sz rz ł ą ę ś ż ź ć ó ow ie dz ch ni wy prz
+pt ção ã õ nh lh ç ões ê á ou ei em ar mento ss ó dade
+sv å ä ö skt ig ade lig het ning sk ör är na ck tt nde ll
+"""
+
+# Language code -> letter groups that are common in it; one line above per language.
+LETTER_PROFILES = {
+    line.split()[0]: tuple(line.split()[1:]) for line in _LETTER_TEXT.strip().splitlines()
+}

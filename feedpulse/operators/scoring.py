@@ -14,9 +14,7 @@ from pyspark.sql import functions as F
 
 from feedpulse.functions.text import (
     CHUNK_SIZE,
-    MAX_CHUNKS,
     chunk_text,
-    cleaned_text,
     combine_text,
     is_too_short,
     normalize_mentions_links,
@@ -26,6 +24,7 @@ from feedpulse.operators.language import LETTER_RUNS
 
 NEUTRAL = "neutral"
 NEUTRAL_SCORE = 0.5
+# The labels of a result.
 LABELS = ("positive", "negative", "neutral")
 
 
@@ -106,9 +105,10 @@ class ModelScorer:
     with the function, so this package need not be installed there.
 
     A model call gets about ``batch_chunks`` texts, those of one post together.
-    Where a call fails its posts are tried one by one, and a post that still
-    fails is neutral with ``score_error`` set, so neither a bad post nor a bad
-    call ends the job.
+    A call fails where it raises, or gives too many or too few results, a label
+    that is none, or a confidence that is no number from 0 to 1. Its posts are then
+    tried one by one, and a post that still fails is neutral with ``score_error``
+    set, so neither a bad post nor a bad call ends the job.
     """
 
     def __init__(self, load: Callable[[], Callable[[list[str]], Any]], batch_chunks: int = 64):
@@ -121,28 +121,30 @@ class ModelScorer:
         failed = (NEUTRAL, NEUTRAL_SCORE, True)
 
         def worker_model():
-            # Modules outlive a task; functions sent to a worker do not. Two
-            # models are kept, so that a replaced one goes in the end.
+            # Modules outlive a task; functions sent to a worker do not.
             holder = sys.modules.setdefault("_loaded_scorers", types.ModuleType("_loaded_scorers"))
             models = holder.__dict__.setdefault("models", {})
             if key not in models:
-                if len(models) > 1:
-                    models.pop(next(iter(models)))
                 models[key] = load()
             return models[key]
 
         def verdicts(model, posts):
-            results = iter(model([chunk for post in posts for chunk in post]))
-            out = []
+            chunks = [chunk for post in posts for chunk in post]
+            results = [
+                (r["label"], r["score"]) if isinstance(r, dict) else (r[0], r[1])
+                for r in model(chunks)
+            ]
+            if len(results) != len(chunks):
+                raise ValueError(f"{len(results)} results for {len(chunks)} texts")
+            checked = [(str(label).lower(), float(score)) for label, score in results]
+            for label, score in checked:
+                if label not in LABELS or not 0.0 <= score <= 1.0:  # NaN fails as well
+                    raise ValueError(f"no result: {label!r}, {score}")
+            out, own = [], iter(checked)
             for post in posts:
-                scored = [next(results) for _ in post]
-                pairs = [
-                    (r["label"], r["score"]) if isinstance(r, dict) else (r[0], r[1])
-                    for r in scored
-                ]
                 # max() keeps the first of equals: the earlier chunk wins a tie.
-                label, score = max(pairs, key=lambda pair: float(pair[1]))
-                out.append((str(label).lower(), float(score), False))
+                label, score = max((next(own) for _ in post), key=lambda pair: pair[1])
+                out.append((label, score, False))
             return out
 
         def guarded(model, posts):
@@ -188,12 +190,17 @@ def score_posts(
     df: DataFrame,
     scorer: Scorer | None = None,
     size: int = CHUNK_SIZE,
-    max_chunks: int | None = MAX_CHUNKS,
+    max_chunks: int | None = None,
 ) -> DataFrame:
     """Adds ``sentiment_label``, ``sentiment_score``, ``cleaned_text``, ``score_error``.
 
-    Posts under three characters get a neutral result and never reach the
-    scorer. A post the scorer failed on keeps its whole normalised text.
+    Whole texts are scored; ``max_chunks`` limits that to their first chunks. Posts
+    under three characters get a neutral result and never reach the scorer.
+    ``cleaned_text`` is the normalised text, whole.
+
+    The verdict is computed once, also under a later filter on the label: next to a
+    value that is not deterministic Catalyst neither copies it into the filter nor
+    moves the filter below it.
     """
     scorer = scorer or LexiconScorer()
     combined = combine_text(F.col("title"), F.col("text"))
@@ -202,22 +209,20 @@ def score_posts(
         "_processed", F.when(~short, normalize_mentions_links(combined))
     )
     scored = prepared.withColumn(
-        "_best", scorer.best_chunk(chunk_text(F.col("_processed"), size, max_chunks))
+        "_best",
+        F.when(F.rand() >= 0, scorer.best_chunk(chunk_text(F.col("_processed"), size, max_chunks))),
     )
     error = F.coalesce(F.col("_best.score_error"), F.lit(False))
     return scored.select(
         *[F.col(c) for c in df.columns],
         F.coalesce(F.col("_best.label"), F.lit(NEUTRAL)).alias("sentiment_label"),
         F.coalesce(F.col("_best.score"), F.lit(NEUTRAL_SCORE)).alias("sentiment_score"),
-        F.when(short, F.lit(""))
-        .when(error, F.col("_processed"))
-        .otherwise(cleaned_text(F.col("_processed"), size))
-        .alias("cleaned_text"),
+        F.when(short, F.lit("")).otherwise(F.col("_processed")).alias("cleaned_text"),
         error.alias("score_error"),
     )
 
 
-def check_scorer(spark: SparkSession, scorer: Scorer, text: str = "This is great!") -> None:
+def check_scorer(spark: SparkSession, scorer: Scorer, text: str = "A good day.") -> None:
     """One post through the scorer before a stream starts; raises if it fails."""
     post = spark.range(1).select(F.lit(text).alias("title"), F.lit("").alias("text"))
     row = score_posts(post, scorer).first()

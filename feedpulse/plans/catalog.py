@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedpulse.functions.text import chunk_text, normalize_mentions_links, strip_ws
+from feedpulse.functions.text import (
+    chunk_text,
+    cut_text,
+    is_too_short,
+    normalize_mentions_links,
+    strip_ws,
+)
 from feedpulse.functions.times import UNITS, epoch_to_ts, floor_ts, time_text, ts_to_epoch
 from feedpulse.functions.wordlists import NEGATIVE_WORDS, POSITIVE_WORDS
 from feedpulse.operators.language import detect_language
@@ -35,9 +41,10 @@ from feedpulse.operators.view import (
     schema_report,
 )
 from feedpulse.plans.posts import as_posts, load, load_documents, timed_posts, untimed_posts
-from feedpulse.schema import VIEW_COLUMNS, WIRE_SCHEMA
+from feedpulse.plans.panels import dashboard
+from feedpulse.schema import VIEW_COLUMNS
 from feedpulse.session import shared_folder
-from feedpulse.sources.feed import clean_feed, posts_feed, read_posts_stream
+from feedpulse.sources.feed import clean_feed, posts_feed, posts_since, read_posts_stream
 from feedpulse.sources.messages import (
     decode_kafka,
     parse_json,
@@ -48,6 +55,7 @@ from feedpulse.sources.messages import (
 )
 from feedpulse.sources.table import (
     compact,
+    ensure_table,
     latest_per_key,
     latest_posts,
     read_versions,
@@ -57,7 +65,9 @@ from feedpulse.sources.table import (
     with_layout_columns,
 )
 from feedpulse.streaming.jobs import (
+    StreamReporter,
     await_stream,
+    batch_writer,
     read_folder,
     read_rollup,
     refresh_rollups,
@@ -116,44 +126,224 @@ def sentiment_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_posts(untimed_posts(spark, sf_dir)).select(
+    """The three-chunk rule: only the first 1,536 characters of a post are scored."""
+    return score_posts(untimed_posts(spark, sf_dir), max_chunks=3).select(
         "id", "sentiment_label", _score6(), "cleaned_text"
     )
 
 
 def scored_whole_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``scored_posts``, over all chunks of a post instead of the first three."""
-    return score_posts(untimed_posts(spark, sf_dir), max_chunks=None).select(
+    return score_posts(untimed_posts(spark, sf_dir)).select(
         "id", "sentiment_label", _score6(), "cleaned_text"
     )
 
 
 def model_scored_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``scored_posts``, by a Python model in the scorer slot.
+    """As ``scored_whole_posts``, by a Python model in the scorer slot."""
+    return score_posts(untimed_posts(spark, sf_dir), ModelScorer(_stand_in())).select(
+        "id", "sentiment_label", _score6(), "cleaned_text"
+    )
 
-    The model follows the lexicon rule and stands in for a trained one. It is
-    nested so that it travels to the executors by value.
+
+def _stand_in(fails_on: str | None = None):
+    """A model that stands in for a trained one: the lexicon rule on batches of texts.
+
+    It is nested so that it travels to the executors by value. ``fails_on`` makes it
+    raise on batches with such a text.
     """
-    positive, negative = frozenset(POSITIVE_WORDS), frozenset(NEGATIVE_WORDS)
+    positive, negative = list(POSITIVE_WORDS), list(NEGATIVE_WORDS)
 
     def load_model():
+        import numpy as np
+        import pandas as pd
+
+        # A word is not part of a longer run of letters.
+        either = r"(?<![^\W\d_])(?:{})(?![^\W\d_])"
+
         def model(texts: list[str]) -> list[tuple[str, float]]:
-            results = []
-            for text in texts:
-                words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
-                p = sum(w in positive for w in words)
-                n = sum(w in negative for w in words)
-                label = "POSITIVE" if p > n else "NEGATIVE" if n > p else "NEUTRAL"
-                results.append((label, 0.5 + 0.5 * abs(p - n) / (p + n) if p + n else 0.5))
-            return results
+            lowered = pd.Series(texts, dtype=object).str.lower()
+            if fails_on and lowered.str.contains(fails_on, regex=False).any():
+                raise RuntimeError("no verdict")
+            p = lowered.str.count(either.format("|".join(positive))).to_numpy(float)
+            n = lowered.str.count(either.format("|".join(negative))).to_numpy(float)
+            labels = np.where(p > n, "POSITIVE", np.where(n > p, "NEGATIVE", "NEUTRAL"))
+            return list(zip(labels, 0.5 + 0.5 * np.abs(p - n) / np.maximum(p + n, 1)))
 
         return model
 
-    return score_posts(untimed_posts(spark, sf_dir), ModelScorer(load_model)).select(
-        "id", "sentiment_label", _score6(), "cleaned_text"
+    return load_model
+
+
+def model_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model raises on posts of three communities, the others are scored."""
+    failing = F.col("subreddit").isin("src1", "src2", "src3")
+    posts = untimed_posts(spark, sf_dir)
+    marked = posts.withColumn("title", F.when(failing, F.lit("zzfailzz")).otherwise(F.col("title")))
+    scored = score_posts(marked, ModelScorer(_stand_in("zzfailzz")))
+    return scored.select("id", "sentiment_label", _score6(), "score_error")
+
+
+def cut_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_documents(spark, sf_dir).select("doc_id", cut_text(F.col("text")).alias("cut"))
+
+
+def short_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The short-text rule on the first 0 to 4 characters of every text."""
+    return (
+        load_documents(spark, sf_dir)
+        .select("doc_id", "text", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("n"))
+        .select("doc_id", "n", is_too_short(F.expr("substring(text, 1, n)")).alias("short"))
     )
 
 
+def title_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    title = load_documents(spark, sf_dir).select(
+        "doc_id", F.substring_index("text", "\n", 1).alias("text")
+    )
+    return detect_language(title).select("doc_id", "lang_detected")
+
+
+def new_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = load(spark, sf_dir, "events").select(
+        "event_id", F.col("ts").cast("timestamp").alias("created_at")
+    )
+    return posts_since(events, AS_OF - timedelta(days=30)).select("event_id", _ntz("created_at"))
+
+
+def undated_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trend where views have no time and clicks no label."""
+    kind = F.col("sentiment_label")
+    view = _events_view(spark, sf_dir).withColumns(
+        {
+            "created_at": F.when(kind != "view", F.col("created_at")),
+            "sentiment_label": F.when(kind != "click", kind),
+        }
+    )
+    return _trend(sentiment_trend(view, "purchase"))
+
+
+def single_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On a clock so fast that all posts share a bucket there is no trend."""
+    view = _events_view(spark, sf_dir, 1_000_000)
+    buckets = sentiment_trend(view, "purchase", unit="week").select(F.lit(1).alias("one"))
+    both = view.select(F.lit(1).alias("post"), F.lit(None).cast("int").alias("one")).unionByName(
+        buckets, allowMissingColumns=True
+    )
+    return both.agg(F.count("post").alias("posts"), F.count("one").alias("buckets"))
+
+
+def approx_headline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sketched number of communities is within five percent of the true one."""
+    view = _events_view(spark, sf_dir)
+    exact = view.agg(F.countDistinct("subreddit")).scalar()
+    return headline_metrics(view, approx=True).select(
+        "total_posts",
+        (F.abs(F.col("unique_subreddits") - exact) <= exact * 0.05).alias(
+            "communities_within_5_percent"
+        ),
+    )
+
+
+def _events_as_posts(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    return load(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("id"),
+        F.date_trunc("second", F.col("ts").cast("timestamp")).alias("created_at"),
+        F.lit("events").alias("subreddit"),
+        F.col("event_type").alias("title"),
+        F.lit("").alias("text"),
+        F.lit("submission").alias("type"),
+        F.lit(label).alias("sentiment_label"),
+        F.col("value").alias("sentiment_score"),
+        F.lit("").alias("cleaned_text"),
+        F.lit(False).alias("score_error"),
+    )
+
+
+def stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog view over two batches, the second of which re-sends the errors."""
+    path = shared_folder(spark, "events-table")
+    name = "events_" + path.rsplit("-", 1)[1]
+    upsert_posts(_events_as_posts(spark, sf_dir, "POSITIVE"), 0, path, AS_OF)
+    again = _events_as_posts(spark, sf_dir, "NEGATIVE").where("title = 'error'")
+    upsert_posts(again, 1, path, AS_OF)
+    ensure_table(spark, name, path)
+    return spark.table(name).select(
+        "id", "subreddit", _ntz("insertion_time"), "version", "sentiment_label"
+    )
+
+
+def limited_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "events-table")
+    upsert_posts(_events_as_posts(spark, sf_dir, "POSITIVE"), 0, path, AS_OF)
+    return scan_posts(spark, path, limit=25).select("id", _ntz("created_at"))
+
+
+def stream_resent_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup after a replayed batch and after posts were sent again, changed.
+
+    All posts, the same batch again, then the English ones under another text.
+    """
+    path = shared_folder(spark, "resent")
+    write = batch_writer(path)
+    documents = load_documents(spark, sf_dir)
+    posts = as_posts(documents)
+    edited = as_posts(documents.where(F.col("lang") == "en")).withColumn(
+        "text", F.concat(F.lit("useless garbage "), F.col("text"))
+    )
+    write(to_messages(posts), 0)
+    write(to_messages(posts), 0)
+    write(to_messages(edited), 1)
+    write(to_messages(edited), 1)
+    rollup = read_rollup(spark, f"{path}/rollup")
+    return rollup.groupBy("subreddit", "sentiment_label").agg(
+        F.sum("posts").alias("posts"), F.round(F.sum("score_sum"), 4).alias("score_sum")
+    )
+
+
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four files of messages, one a batch, and the stored progress of the stream."""
+    path = shared_folder(spark, "progress")
+    messages = to_messages(as_posts(load_documents(spark, sf_dir))).select("value")
+    messages.repartition(4).write.text(f"{path}/topic")
+    reporter = StreamReporter(spark, f"{path}/progress")
+    spark.streams.addListener(reporter)
+    try:
+        topic = read_posts_stream(spark, "text", path=f"{path}/topic", max_per_batch=1)
+        await_stream(run_stream(topic, path, f"{path}/checkpoint", trigger={"availableNow": True}))
+        # Events come after the batch they tell of.
+        reporter.wait_for("terminated")
+    finally:
+        spark.streams.removeListener(reporter)
+    reports = read_folder(spark, f"{path}/progress").where("event = 'progress' AND rows > 0")
+    told = reports.agg(F.countDistinct("batch_id")).scalar()
+    return read_folder(spark, f"{path}/batch_log").agg(
+        F.count("*").alias("batches"),
+        F.sum("rows_in").alias("rows"),
+        (F.count("*") == F.first(told)).alias("logged"),
+    )
+
+
+def dashboard_panels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every panel over a stored rollup, told by its count of posts, rows or buckets."""
+    view = _events_view(spark, sf_dir)
+    path = shared_folder(spark, "rollup")
+    rollup_posts(view).write.parquet(path)
+    panels = dashboard(view, spark.read.parquet(path))
+    count = F.count("*")
+    facts = {
+        "headline": F.first("total_posts"),
+        "summary": F.first("records"),
+        "trend_summary": F.first("points"),
+    }
+    out = None
+    for name, panel in panels.items():
+        one = panel.agg(facts.get(name, count).cast("long").alias("n")).select(
+            F.lit(name).alias("panel"), "n"
+        )
+        out = one if out is None else out.union(one)
+    return out
+
+
 def normalized_mentions_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     noisy = F.concat(
         F.lit(" \t@bob http://x.y/z  @ "),
@@ -380,7 +570,13 @@ def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = table_summary(posts_view(score_posts(timed_posts(spark, sf_dir))))
+    unscored = timed_posts(spark, sf_dir).withColumns(
+        {
+            "sentiment_label": F.lit(None).cast("string"),
+            "sentiment_score": F.lit(None).cast("double"),
+        }
+    )
+    facts = table_summary(posts_view(unscored))
     return facts.select(_ntz("newest_post"), "records")
 
 
@@ -555,4 +751,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_feed": stream_feed,
     "stream_batch_log": stream_batch_log,
     "stream_rollup": stream_rollup,
+    "cut_texts": cut_texts,
+    "title_language": title_language,
+    "short_posts": short_posts,
+    "new_posts": new_posts,
+    "undated_trend": undated_trend,
+    "single_bucket": single_bucket,
+    "approx_headline": approx_headline,
+    "stored_events": stored_events,
+    "limited_scan": limited_scan,
+    "model_errors": model_errors,
+    "stream_resent_rollup": stream_resent_rollup,
+    "stream_progress": stream_progress,
+    "dashboard_panels": dashboard_panels,
 }

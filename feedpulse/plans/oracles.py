@@ -7,7 +7,18 @@ functions for ``max_by``, date functions for arithmetic.
 
 from __future__ import annotations
 
-from feedpulse.functions.wordlists import LANGUAGE_PROFILES, NEGATIVE_WORDS, POSITIVE_WORDS
+from feedpulse.functions.wordlists import (
+    LANGUAGE_PROFILES,
+    LETTER_PROFILES,
+    NEGATIVE_WORDS,
+    POSITIVE_WORDS,
+)
+from feedpulse.operators.language import (
+    ENOUGH_WORDS,
+    LEAST_POINTS,
+    WORD_POINTS,
+    group_points,
+)
 from feedpulse.plans.catalog import AS_OF, FEED
 
 _WS = r"[\s\p{Z}\x0b\x1c-\x1f\x85]"
@@ -52,7 +63,7 @@ processed AS (
 chunks AS (
   SELECT id, pos, lower(substr(processed, 1 + 512 * pos, 512)) AS chunk
   FROM (SELECT id, processed,
-               unnest(range(0, least(3, (length(processed) + 511) // 512))) AS pos
+               unnest(range(0, (length(processed) + 511) // 512)) AS pos
         FROM processed WHERE NOT short)),
 tokens AS (SELECT id, pos, regexp_extract_all(chunk, '\\p{{L}}+') AS words FROM chunks),
 counts AS (
@@ -73,9 +84,7 @@ scored AS (
   SELECT r.id, subreddit, title, text, lang, 'submission' AS type,
          coalesce(label, 'neutral') AS sentiment_label,
          coalesce(score, 0.5e0) AS sentiment_score,
-         CASE WHEN short THEN ''
-              WHEN length(processed) > 512 THEN substr(processed, 1, 512) || '... [truncated]'
-              ELSE processed END AS cleaned_text
+         CASE WHEN short THEN '' ELSE processed END AS cleaned_text
   FROM processed r LEFT JOIN best b ON r.id = b.id)"""
 
 _SCORED = f"""{_POSTS}, {_SCORING},
@@ -93,19 +102,32 @@ _LANGUAGES = sorted(LANGUAGE_PROFILES)
 
 def _language(text: str) -> str:
     """CTEs ``hits`` and ``detected`` over a relation ``texts(id, t)``."""
+    def letters(g: str) -> str:
+        return " + ".join(
+            f"(length(t) - length(replace(t, '{x}', ''))) // {len(x)} * {group_points(x)}"
+            for x in LETTER_PROFILES[g]
+        )
+
     counts = ", ".join(
-        f"len(list_filter(words, lambda w: list_contains({_list(LANGUAGE_PROFILES[g])}, w))) AS {g}"
+        f"len(list_filter(words, lambda w: list_contains({_list(LANGUAGE_PROFILES[g])}, w))) AS n_{g}"
+        for g in _LANGUAGES
+    )
+    known = sorted({w for words in LANGUAGE_PROFILES.values() for w in words})
+    points = ", ".join(
+        f"CASE WHEN n >= {ENOUGH_WORDS} THEN n_{g} ELSE n_{g} * {WORD_POINTS} + {letters(g)} END AS {g}"
         for g in _LANGUAGES
     )
     most = f"greatest({', '.join(_LANGUAGES)})"
     cases = " ".join(f"WHEN {g} = {most} THEN '{g}'" for g in _LANGUAGES)
     return f"""
 texts AS ({text}),
-hits AS (
-  SELECT id, {counts}
-  FROM (SELECT id, regexp_extract_all(lower(t), '\\p{{L}}+') AS words FROM texts)),
+counted AS (
+  SELECT id, t, {counts}, len(list_filter(words, lambda w: list_contains({_list(known)}, w))) AS n
+  FROM (SELECT id, lower(t) AS t, regexp_extract_all(lower(t), '\\p{{L}}+') AS words FROM texts)),
+hits AS (SELECT id, n, {points} FROM counted),
 detected AS (
-  SELECT id, CASE WHEN {most} = 0 THEN NULL {cases} END AS lang_detected FROM hits)"""
+  SELECT id, CASE WHEN {most} < CASE WHEN n >= {ENOUGH_WORDS} THEN 1 ELSE {LEAST_POINTS} END
+              THEN NULL {cases} END AS lang_detected FROM hits)"""
 
 
 def _events_view(pace: int = 1) -> str:
@@ -179,8 +201,11 @@ ORACLES: dict[str, str] = {
 SELECT upper(sentiment_label) AS sentiment_label, count(*) AS posts,
        round(count(*) / (SELECT count(*) FROM scored), 6) AS share
 FROM scored GROUP BY 1 ORDER BY posts DESC, sentiment_label""",
-    "scored_posts": _SCORED_POSTS,
-    "scored_whole_posts": _SCORED_POSTS.replace("least(3, ", "("),
+    "scored_posts": _SCORED_POSTS.replace(
+        "range(0, (length(processed) + 511) // 512)",
+        "range(0, least(3, (length(processed) + 511) // 512))",
+    ),
+    "scored_whole_posts": _SCORED_POSTS,
     "model_scored_posts": _SCORED_POSTS,
     "stream_scored_posts": _SCORED_POSTS,
     "normalize_mentions_links": f"""
@@ -344,4 +369,58 @@ SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS bucket, 'events' AS subreddit,
        upper(event_type) AS sentiment_label, count(*) AS posts, count(value) AS scored,
        round(sum(value), 4) AS score_sum, min(ts) AS first_post, max(ts) AS last_post
 FROM events GROUP BY 1, 3""",
+    "cut_texts": """
+SELECT doc_id, CASE WHEN length(text) > 512 THEN substr(text, 1, 512) || '... [truncated]'
+                    ELSE text END AS cut
+FROM documents""",
+    "title_language": f"""
+WITH {_language(f"SELECT doc_id AS id, {_title('text')} AS t FROM documents")}
+SELECT id AS doc_id, lang_detected FROM detected""",
+    "short_posts": f"""
+SELECT doc_id, n, length({_strip('t')}) < 3 AS short
+FROM (SELECT doc_id, CAST(n AS INTEGER) AS n, substr(text, 1, n) AS t
+      FROM documents, (SELECT unnest(range(0, 5)) AS n))""",
+    "new_posts": f"""
+SELECT event_id, ts AS created_at FROM events WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY""",
+    "undated_trend": _trend(
+        """view AS (
+  SELECT CASE WHEN event_type <> 'view' THEN ts END AS created_at, value AS sentiment_score,
+         CASE WHEN event_type <> 'click' THEN event_type END AS sentiment_label FROM events)""",
+        "purchase",
+    ),
+    "single_bucket": "SELECT count(*) AS posts, 0::BIGINT AS buckets FROM events",
+    "approx_headline": """
+SELECT count(*) AS total_posts, true AS communities_within_5_percent FROM events""",
+    "stored_events": f"""
+SELECT CAST(event_id AS VARCHAR) AS id, 'events' AS subreddit, TIMESTAMP '{AS_OF}' AS insertion_time,
+       CASE WHEN event_type = 'error' THEN 1 ELSE 0 END::BIGINT AS version,
+       CASE WHEN event_type = 'error' THEN 'NEGATIVE' ELSE 'POSITIVE' END AS sentiment_label
+FROM events""",
+    "limited_scan": """
+SELECT CAST(event_id AS VARCHAR) AS id, date_trunc('second', ts) AS created_at FROM events
+ORDER BY date_trunc('second', ts) DESC, CAST(event_id AS VARCHAR) LIMIT 25""",
+    "model_errors": f"""WITH {_SCORED}
+SELECT id, CASE WHEN subreddit IN ('src1', 'src2', 'src3') THEN 'neutral'
+                ELSE sentiment_label END AS sentiment_label,
+       CASE WHEN subreddit IN ('src1', 'src2', 'src3') THEN 0.5
+            ELSE round(sentiment_score, 6) END AS sentiment_score,
+       subreddit IN ('src1', 'src2', 'src3') AS score_error
+FROM scored""",
+    "stream_resent_rollup": f"""WITH {_SCORED.replace(
+        _body('text') + ' AS text',
+        "CASE WHEN lang = 'en' THEN 'useless garbage ' ELSE '' END || " + _body('text') + ' AS text',
+    )}
+SELECT subreddit, upper(sentiment_label) AS sentiment_label, count(*) AS posts,
+       round(sum(sentiment_score), 4) AS score_sum
+FROM scored GROUP BY 1, 2""",
+    "stream_progress": """
+SELECT 4::BIGINT AS batches, count(*) AS rows, true AS logged FROM documents""",
+    "dashboard_panels": f"""WITH {_events_view()}
+SELECT 'headline' AS panel, count(*) AS n FROM view
+UNION ALL SELECT 'distribution', count(DISTINCT sentiment_label) FROM view
+UNION ALL SELECT 'communities', least(10, count(DISTINCT subreddit)) FROM view
+UNION ALL SELECT 'trend', count(DISTINCT date_trunc('week', created_at)) FROM view
+UNION ALL SELECT 'trend_summary', count(DISTINCT date_trunc('week', created_at)) FROM view
+UNION ALL SELECT 'summary', count(*) FROM view
+UNION ALL SELECT 'recent_posts', least(10, count(*)) FROM view""",
 }

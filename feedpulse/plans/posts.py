@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedpulse.session import few_tasks
-
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -27,17 +25,16 @@ def as_posts(documents: DataFrame) -> DataFrame:
     )
 
 
-def load_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, over enough tasks for work per row.
+def load_documents(
+    spark: SparkSession, sf_dir: str, partitions: int | None = None
+) -> DataFrame:
+    """The documents as they are read, or spread over ``partitions`` by the caller.
 
-    A large table comes in as many splits and is read as it is. A file that
-    would keep less than half of the cores busy is spread over all of them; that
-    moves at most half a split of data per core.
+    Spreading moves all texts; it pays where a table comes in fewer splits than
+    there are cores and each row takes long, as with a slow model.
     """
     documents = load(spark, sf_dir, "documents")
-    if not few_tasks(documents):
-        return documents
-    return documents.repartition(spark.sparkContext.defaultParallelism, "doc_id")
+    return documents.repartition(partitions, "doc_id") if partitions else documents
 
 
 def untimed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:

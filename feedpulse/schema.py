@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# One JSON object per post. ``created_at`` is epoch seconds and is declared
+# Field names of the wire message. One JSON object per post. ``created_at`` is epoch seconds and is declared
 # DOUBLE because API clients send both 1716500000 and 1716500000.0; a BIGINT
 # field would turn the second form into NULL.
 WIRE_SCHEMA = T.StructType(
@@ -20,9 +20,7 @@ WIRE_SCHEMA = T.StructType(
 
 POST_COLUMNS = WIRE_SCHEMA.fieldNames()
 
-SENTIMENT_COLUMNS = ["sentiment_label", "sentiment_score", "cleaned_text"]
-
-# What a reader of the table works with. ``cleaned_text`` is left out: no panel
+# What a reader of the table works with. ``cleaned_text`` is left out: no panel
 # reads it, and it is the second widest column.
 VIEW_COLUMNS = [
     "id",

@@ -17,9 +17,13 @@ def stream_options(
     fmt: str,
     starting: str = "earliest",
     max_per_batch: int | None = None,
-    fail_on_data_loss: bool = False,
+    fail_on_data_loss: bool = True,
 ) -> dict[str, str]:
-    """Reader options for the format: offsets for Kafka, files for the rest."""
+    """Reader options for the format: offsets for Kafka, files for the rest.
+
+    Offsets or files that are gone end the stream unless ``fail_on_data_loss`` is
+    false, which skips them.
+    """
     if fmt == "kafka":
         options = {
             "startingOffsets": starting,
@@ -40,7 +44,7 @@ def read_posts_stream(
     schema=None,
     starting: str = "earliest",
     max_per_batch: int | None = None,
-    fail_on_data_loss: bool = False,
+    fail_on_data_loss: bool = True,
     **options: str,
 ) -> DataFrame:
     """A stream of raw messages or rows.

@@ -87,6 +87,7 @@ def split_valid(
         .when(F.col(corrupt).isNotNull(), "malformed")
         .otherwise("no_key")
     )
-    kept = df.columns[: df.columns.index(key)]
+    post = {f.name for f in WIRE_SCHEMA.fields} | {key, corrupt}
+    kept = [c for c in df.columns if c not in post]
     dead = df.where(F.col(key).isNull()).select(*kept, reason.alias("reason"))
     return require_key(df, key).drop(corrupt), dead

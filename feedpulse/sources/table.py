@@ -20,12 +20,10 @@ from feedpulse.schema import (
     TABLE_PARTITIONS,
     TABLE_SCHEMA,
 )
-from feedpulse.session import shared_folder
 from feedpulse.sources.messages import POSITION_COLUMNS
 
 RETENTION_DAYS = 30
 COMPACTED = -1
-BROADCAST_IDS = 100_000
 
 # Lookups by id and community skip compacted files: by bloom filter (communities
 # that repeat enough are looked up in their dictionary), the other columns by the
@@ -49,49 +47,15 @@ def newest_in_batch(df: DataFrame) -> DataFrame:
     return df.groupBy("id").agg(newest.alias("_post")).select("_post.*")
 
 
-def one_per_id(df: DataFrame, rows_per_id: DataFrame, repeated: int) -> DataFrame:
-    """The batch with one row per id; only rows of repeated ids are shuffled.
-
-    ``rows_per_id`` has ``id`` and ``n``; ``repeated`` is the number of ids with
-    ``n > 1``. In most batches it is 0 and the rows pass as they are. The ids are
-    broadcast up to a fixed number of them, beyond it Spark picks the join.
-    """
-    if repeated == 0:
-        return df
-    ids = rows_per_id.where((F.col("n") > 1) & F.col("id").isNotNull()).select("id")
-    if repeated <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    again = newest_in_batch(df.join(ids, "id", "left_semi").select(*df.columns))
-    return df.join(ids, "id", "left_anti").select(*df.columns).unionByName(again)
-
-
 def latest_per_key(df: DataFrame, key: str = "id", order: str = "version") -> DataFrame:
     """Rows with the highest ``order`` of their key; the pair must be unique.
 
-    Rows without a key have no versions and all stay.
-
-    Runs one narrow job right away: key and order alone are aggregated, and the
-    keys with several versions are written to the shared folder. The join that
-    drops the superseded rows is then planned knowing the size of that side.
-    While re-sent posts are few Spark broadcasts it and the wide columns stay
-    where they were read; beyond its threshold it joins by shuffle. Left to one
-    plan, the wide side would be shuffled before the size of the other is known.
+    Rows without a key have no versions and all stay. ``max_by`` combines on the map
+    side, so a key with a third of all rows sends one row from each task.
     """
-    spark = df.sparkSession
-    resent = shared_folder(spark, "resent")
-    (
-        df.groupBy(key)
-        .agg(F.max(order).alias("_newest"), F.count(F.lit(1)).alias("_versions"))
-        .where(F.col("_versions") > 1)
-        .select(F.col(key).alias("_key"), "_newest")
-        .write.parquet(resent)
-    )
-    newest = spark.read.parquet(resent)
-    return (
-        df.join(newest, df[key] == newest["_key"], "left")
-        .where(F.col("_newest").isNull() | (F.col(order) == F.col("_newest")))
-        .select(*[df[c] for c in df.columns])
-    )
+    newest = F.max_by(F.struct(*df.columns), F.col(order)).alias("_row")
+    keyed = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(newest)
+    return keyed.select("_row.*").unionByName(df.where(F.col(key).isNull()))
 
 
 def with_insertion_time(df: DataFrame, as_of: datetime | Column | None = None) -> DataFrame:
@@ -165,13 +129,17 @@ def next_version(spark: SparkSession, path: str) -> int:
 def latest_posts(versions: DataFrame) -> DataFrame:
     """The newest row of each id.
 
-    A batch replayed after a compaction has the version the compacted row kept;
-    the replayed one wins then.
+    Compacted rows are unique by id. They are the base and stay where they are read,
+    unless a later batch has their id; only rows of later batches are aggregated.
+    A batch replayed after a compaction has the version the compacted row kept; the
+    replayed one wins then.
     """
-    ordered = versions.withColumn(
-        "_order", F.col("version") * 2 + (F.col("batch_id") != COMPACTED).cast("long")
+    base = versions.where(F.col("batch_id") == COMPACTED)
+    later = versions.where(F.col("batch_id") != COMPACTED)
+    ids = later.select("id").where("id IS NOT NULL").distinct()
+    return base.join(ids, "id", "left_anti").select(versions.columns).unionByName(
+        latest_per_key(later)
     )
-    return latest_per_key(ordered, "id", "_order").drop("_order")
 
 
 def scan_posts(
@@ -183,32 +151,46 @@ def scan_posts(
 ) -> DataFrame:
     """The read view of the table, whole unless limited.
 
-    ``since`` keeps posts created then or later. A post is never stored before
-    it is created, so the folders of older insertion days are not read.
-    ``retention_days`` hides posts written longer ago.
+    ``since`` keeps posts created then or later, whenever they were stored.
+    ``retention_days`` hides posts written longer ago. The limited rows are the
+    newest, ties by id.
     """
-    versions = read_versions(spark, path)
-    if since is not None:
-        versions = versions.where(F.col("dt") >= F.lit(since.date()))
-    latest = latest_posts(versions)
+    latest = latest_posts(read_versions(spark, path))
     if retention_days is not None:
         latest = retain(latest, retention_days)
     view = posts_view(latest)
     if since is not None:
         view = view.where(F.col("created_at") >= ts_literal(since))
-    return view.limit(limit) if limit is not None else view
+    if limit is None:
+        return view
+    return view.orderBy(F.desc_nulls_last("created_at"), "id").limit(limit)
 
 
 def ensure_table(spark: SparkSession, name: str, path: str) -> None:
-    """Creates database and table where absent and registers new folders."""
+    """Creates database, table and view where absent and registers new folders.
+
+    ``name`` reads as one row per id; all versions are in ``<name>_versions``. Call
+    it again to see batches written since.
+    """
     if "." in name:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in TABLE_SCHEMA.fields)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+        f"CREATE TABLE IF NOT EXISTS {name}_versions ({columns}) USING parquet "
         f"PARTITIONED BY ({', '.join(TABLE_PARTITIONS)}) LOCATION '{path}'"
     )
-    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.sql(f"ALTER TABLE {name}_versions RECOVER PARTITIONS")
+    all_columns = ", ".join(f"`{f.name}`" for f in TABLE_SCHEMA.fields)
+    base, later = f"batch_id = {COMPACTED}", f"batch_id <> {COMPACTED}"
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {name} AS "
+        f"SELECT {all_columns} FROM (SELECT * FROM {name}_versions WHERE {base}) AS base "
+        f"LEFT ANTI JOIN (SELECT id AS again FROM {name}_versions WHERE {later}) ON id = again "
+        "UNION ALL "
+        f"SELECT row.* FROM (SELECT max_by(struct({all_columns}), version) AS row "
+        f"FROM {name}_versions WHERE {later} AND id IS NOT NULL GROUP BY id) UNION ALL "
+        f"SELECT {all_columns} FROM {name}_versions WHERE {later} AND id IS NULL"
+    )
 
 
 def _horizon(days: int, as_of: datetime | Column | None) -> Column:
@@ -228,21 +210,28 @@ def drop_expired(
     path: str,
     days: int = RETENTION_DAYS,
     as_of: datetime | None = None,
-) -> list[str]:
-    """Deletes the day folders that hold expired rows only; returns their paths.
+) -> int:
+    """Deletes the day folders that hold expired rows only; returns their number.
 
-    Works on folder names alone. Rows of the day in which the horizon falls stay
-    until the next call and are hidden by :func:`retain`.
+    Works on folder names alone, one batch folder at a time, so the driver holds the
+    days of one batch. Rows of the day in which the horizon falls stay until the
+    next call and are hidden by :func:`retain`.
     """
     last = spark.range(1).select(F.to_date(_horizon(days, as_of))).first()[0]
-    fs, folders = _folder(spark, f"{path}/batch_id=*/dt=*")
-    dropped = []
-    for status in fs.globStatus(folders) or []:
-        folder = status.getPath()
-        day = folder.getName().split("=", 1)[1]
-        if day != "__HIVE_DEFAULT_PARTITION__" and date.fromisoformat(day) < last:
-            fs.delete(folder, True)
-            dropped.append(folder.toString())
+    fs, folder = _folder(spark, path)
+    dropped = 0
+    batches = fs.listStatusIterator(folder)
+    while batches.hasNext():
+        batch = batches.next().getPath()
+        if not batch.getName().startswith("batch_id="):
+            continue
+        inside = fs.listStatusIterator(batch)
+        while inside.hasNext():
+            day = inside.next().getPath()
+            name, _, value = day.getName().partition("=")
+            if name == "dt" and value[:1].isdigit() and date.fromisoformat(value) < last:
+                fs.delete(day, True)
+                dropped += 1
     return dropped
 
 
@@ -250,17 +239,14 @@ def compact(
     spark: SparkSession,
     path: str,
     target: str,
-    dt: date | None = None,
     files: int | None = None,
 ) -> None:
     """Rewrites the newest versions as few, well-clustered files under ``target``.
 
-    ``dt`` limits it to one insertion day. The source is left as it is. Run it
-    while the stream is stopped and start the stream on ``target`` afterwards:
-    versions are kept, so later batches and a replayed last one still win.
+    All days are rewritten, and ``target`` then holds what ``path`` held. The source
+    is left as it is. Run it while the stream is stopped and start the stream on
+    ``target`` afterwards: versions are kept, so later batches and a replayed last
+    one still win.
     """
-    versions = read_versions(spark, path)
-    if dt is not None:
-        versions = versions.where(F.col("dt") == F.lit(dt))
-    clustered = layout(latest_posts(versions), True, files)
+    clustered = layout(latest_posts(read_versions(spark, path)), True, files)
     _write_folder(clustered, target, COMPACTED, **LOOKUP_OPTIONS)

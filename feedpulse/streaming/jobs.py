@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections import deque
+import time
 from collections.abc import Callable
 from datetime import datetime
 
@@ -11,20 +11,24 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from feedpulse.operators.metrics import rollup_posts
+from feedpulse.operators.metrics import as_measures, rollup_posts
 from feedpulse.operators.scoring import LexiconScorer, Scorer, check_scorer, score_posts
 from feedpulse.operators.view import posts_view
 from feedpulse.schema import POST_COLUMNS
-from feedpulse.session import few_tasks
 from feedpulse.sources.feed import clean_feed
 from feedpulse.sources.messages import decode_kafka, parse_posts, split_valid, to_messages
-from feedpulse.sources.table import COMPACTED, one_per_id, upsert_posts
+from feedpulse.sources.table import (
+    latest_per_key,
+    newest_in_batch,
+    read_versions,
+    upsert_posts,
+)
 
 log = logging.getLogger(__name__)
 
 
 def _replace_folder(df: DataFrame, path: str, batch_id: int) -> None:
-    """Small side outputs follow the table's rule: a batch owns its folder."""
+    """Side outputs follow the table's rule: a batch owns its folder."""
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
@@ -37,16 +41,17 @@ def batch_writer(
     scorer_partitions: int | None = None,
     first_batch: int = 0,
     as_of: datetime | None = None,
+    rollup: bool = True,
 ) -> Callable[[DataFrame, int], None]:
     """The function run on each micro-batch of messages.
 
-    Under ``path`` it writes the folders ``posts``, ``dead_letters`` and
-    ``batch_log``. The parsed batch is kept for its counts and the two writes, so
-    the source is read once; of the messages only the bad ones are kept with it.
-    The ids are counted first: rows are shuffled only where an id comes twice, or
-    where the source has too few partitions for the cores. Posts are scored once,
-    on the way to the table, and of all rows the driver sees three counts.
-    ``scorer_partitions`` fixes the number of tasks for a slow model.
+    Under ``path`` it writes the folders ``posts``, ``rollup`` (unless turned off),
+    ``batch_log`` and, where there are bad messages, ``dead_letters``. Nothing is
+    kept in memory: posts are parsed, reduced to one per id, scored and written in
+    one pass, on which the rows are counted; bad messages are read again only if
+    there are some. Of all rows the driver sees three counts. The reduction moves the
+    batch once, which also spreads it over the tasks; ``scorer_partitions`` fixes
+    their number for a slow model.
 
     Batch numbers are versions, and one stream owns ``path``. A stream that lost
     its checkpoint counts from 0 again; ``first_batch=next_version(...)`` makes it
@@ -56,47 +61,74 @@ def batch_writer(
 
     def process_batch(batch: DataFrame, batch_id: int) -> None:
         batch_id += first_batch
-        parsed = parse_posts(decode_kafka(batch).drop("key"))
-        message = F.when(F.col("id").isNull(), F.col("value"))
-        parsed = parsed.withColumn("value", message).persist()
-        try:
-            rows_per_id = parsed.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-            keyed = F.col("id").isNotNull()
-            counts = rows_per_id.agg(
-                F.coalesce(F.sum("n"), F.lit(0)).alias("rows_in"),
-                F.coalesce(F.sum(F.when(keyed, F.col("n"))), F.lit(0)).alias("rows_valid"),
-                F.count(F.when(keyed & (F.col("n") > 1), 1)).alias("repeated"),
-            ).first()
-            if counts.rows_in == 0:
-                log.info("batch %s is empty", batch_id)
-                return
-            valid, dead = split_valid(parsed)
-            posts = one_per_id(valid.drop("value"), rows_per_id, counts.repeated)
-            posts = posts.select(*POST_COLUMNS)
-            if clean:
-                posts = clean_feed(posts, communities, language)
-            if scorer_partitions:
-                posts = posts.repartition(scorer_partitions, "id")
-            elif few_tasks(parsed):
-                posts = posts.repartition("id")
-            written = Observation()
-            scored = score_posts(posts, scorer).observe(written, F.count(F.lit(1)).alias("rows"))
-            upsert_posts(scored, batch_id, f"{path}/posts", as_of)
-            _replace_folder(dead, f"{path}/dead_letters", batch_id)
-            line = batch.sparkSession.range(1).select(
-                F.lit(counts.rows_in).cast("long").alias("rows_in"),
-                F.lit(counts.rows_valid).cast("long").alias("rows_valid"),
-                F.lit(counts.rows_in - counts.rows_valid).cast("long").alias("rows_dead"),
-                F.lit(written.get["rows"]).cast("long").alias("rows_written"),
-                F.current_timestamp().alias("logged_at"),
-            )
-            _replace_folder(line.coalesce(1), f"{path}/batch_log", batch_id)
-        finally:
-            parsed.unpersist()
+        if batch.isEmpty():
+            log.info("batch %s is empty", batch_id)
+            return
+        read, written = Observation(), Observation()
+        parsed = parse_posts(decode_kafka(batch).drop("key")).observe(
+            read, F.count(F.lit(1)).alias("rows_in"), F.count("id").alias("rows_valid")
+        )
+        posts = newest_in_batch(split_valid(parsed)[0].drop("value")).select(*POST_COLUMNS)
+        if clean:
+            posts = clean_feed(posts, communities, language)
+        if scorer_partitions:
+            posts = posts.repartition(scorer_partitions, "id")
+        scored = score_posts(posts, scorer).observe(written, F.count(F.lit(1)).alias("rows"))
+        upsert_posts(scored, batch_id, f"{path}/posts", as_of)
+        if rollup:
+            stored = read_versions(batch.sparkSession, f"{path}/posts")
+            _replace_folder(rollup_of_batch(stored, batch_id), f"{path}/rollup", batch_id)
+        dead = read.get["rows_in"] - read.get["rows_valid"]
+        if dead:
+            unparsed = parse_posts(decode_kafka(batch).drop("key"))
+            _replace_folder(split_valid(unparsed)[1], f"{path}/dead_letters", batch_id)
+        counts = {
+            "rows_in": read.get["rows_in"],
+            "rows_valid": read.get["rows_valid"],
+            "rows_dead": dead,
+            "rows_written": written.get["rows"],
+        }
+        line = batch.sparkSession.range(1).select(
+            *[F.lit(n).cast("long").alias(c) for c, n in counts.items()],
+            F.current_timestamp().alias("logged_at"),
+        )
+        _replace_folder(line.coalesce(1), f"{path}/batch_log", batch_id)
 
     return process_batch
 
 
+def rollup_of_batch(stored: DataFrame, batch_id: int) -> DataFrame:
+    """What a batch changes in the rollup: its posts, less the rows they replace.
+
+    ``stored`` is the table with the batch in it. Rows that a re-sent id had before
+    are found by a join on the ids of the batch, which reads the narrow columns of
+    the table only. Parts add up to the rollup of the table, also where a batch was
+    replayed; ``first_post`` and ``last_post`` of a group are then those of all posts
+    it ever held.
+    """
+    narrow = stored.select(
+        "id",
+        "created_at",
+        "subreddit",
+        F.lit(None).cast("string").alias("title"),
+        F.lit(None).cast("string").alias("text"),
+        "type",
+        "sentiment_label",
+        "sentiment_score",
+        "version",
+        "batch_id",
+    )
+    new = narrow.where(F.col("batch_id") == batch_id)
+    older = narrow.where((F.col("version") < batch_id) & (F.col("batch_id") != batch_id))
+    replaced = latest_per_key(older.join(new.select("id"), "id", "left_semi"), "id", "version")
+    signed = as_measures(posts_view(new)).unionByName(
+        as_measures(posts_view(replaced)).withColumns(
+            {c: -F.col(c) for c in ("posts", "scored", "score_sum")}
+        )
+    )
+    return rollup_posts(signed)
+
+
 def run_stream(
     messages: DataFrame,
     path: str,
@@ -165,12 +197,12 @@ def read_folder(spark: SparkSession, path: str) -> DataFrame:
 def refresh_rollups(
     posts: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Keeps a rollup table current from a stream of scored posts.
+    """Keeps a rollup table current from any stream of scored posts, each sent once.
 
-    Each batch writes the rollup of its own rows; :func:`read_rollup` adds them
-    up. Nothing is kept between batches, so the job has no state to outgrow, and
-    a replayed batch replaces its own part. The source must hold each post once;
-    where posts are re-sent, run ``rollup_posts(scan_posts(...))`` instead.
+    Each batch writes the rollup of its own rows; :func:`read_rollup` adds them up.
+    Nothing is kept between batches, so the job has no state to outgrow, and a
+    replayed batch replaces its own part. Where posts are re-sent use the rollup that
+    the scoring job writes: it knows what a post counted for before.
     """
 
     def write_part(batch: DataFrame, batch_id: int) -> None:
@@ -186,27 +218,40 @@ def refresh_rollups(
 
 
 def read_rollup(spark: SparkSession, path: str) -> DataFrame:
-    """The rollup of all batches, ready for any panel."""
-    return rollup_posts(spark.read.parquet(path))
+    """The rollup of all batches, ready for any panel; groups without posts are gone."""
+    return rollup_posts(spark.read.parquet(path)).where(F.col("posts") > 0)
 
 
-def merge_rollup(spark: SparkSession, path: str, target: str) -> None:
-    """All parts of a rollup as one, under ``target``, for the stream to go on.
-
-    Run it while the stream is stopped, after a batch has ended.
-    """
-    _replace_folder(read_rollup(spark, path), target, COMPACTED)
+PROGRESS = "event string, query string, batch_id long, rows long, rows_per_second double, millis long, error string, at timestamp"
 
 
 class StreamReporter(StreamingQueryListener):
-    """Logs progress and keeps the last reports of the streams of a session."""
+    """Logs the progress of a session's streams and appends it to a table.
+
+    Every event is one row of the Parquet table at ``path``; read it with
+    :func:`read_folder`.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path
+        self.seen: set[str] = set()
 
-    def __init__(self, keep: int = 100):
-        self.reports: deque[dict] = deque(maxlen=keep)
+    def wait_for(self, event: str, seconds: float = 30) -> bool:
+        """Whether an event of this kind was written, waiting for the first one."""
+        until = time.monotonic() + seconds
+        while event not in self.seen and time.monotonic() < until:
+            time.sleep(0.05)
+        return event in self.seen
 
     def _report(self, **fields) -> None:
-        self.reports.append(fields)
         log.info("%s", fields)
+        row = {name.split()[0]: None for name in PROGRESS.split(", ")} | fields
+        row["at"] = datetime.now()
+        self.spark.createDataFrame([tuple(row.values())], PROGRESS).coalesce(1).write.mode(
+            "append"
+        ).parquet(self.path)
+        self.seen.add(row["event"])
 
     def onQueryStarted(self, event) -> None:
         self._report(event="started", query=str(event.id))

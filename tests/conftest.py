@@ -9,7 +9,8 @@ from feedpulse.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("8")
+def spark(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("shared")
+    session = local_session("8", **{"spark.checkpoint.dir": f"file://{folder}"})
     yield session
     session.stop()

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from feedpulse.operators.language import detect_language, keep_language
+from feedpulse.operators.language import detect_language, language_of, keep_language
 from feedpulse.schema import POST_COLUMNS
 from feedpulse.sources.feed import clean_feed, posts_feed, posts_since, stream_options
 from feedpulse.sources.messages import (
@@ -99,11 +99,12 @@ def test_write_messages_as_lines(spark, tmp_path):
 def test_stream_options():
     assert stream_options("kafka", "latest", 100) == {
         "startingOffsets": "latest",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
         "maxOffsetsPerTrigger": "100",
     }
-    assert stream_options("text", max_per_batch=2, fail_on_data_loss=True) == {
-        "ignoreMissingFiles": "false",
+    assert stream_options("kafka", fail_on_data_loss=False)["failOnDataLoss"] == "false"
+    assert stream_options("text", max_per_batch=2, fail_on_data_loss=False) == {
+        "ignoreMissingFiles": "true",
         "maxFilesPerTrigger": "2",
     }
 
@@ -176,3 +177,23 @@ def test_language_of_the_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     right = detect_language(docs).where("lang = lang_detected").count()
     assert right > 0.97 * docs.count()
+
+
+@pytest.mark.parametrize(
+    "title", ["Apple unveils new iPhone", "Breaking: massive wildfire near Los Angeles"]
+)
+def test_titles_with_hardly_any_function_words(spark, title):
+    df = spark.createDataFrame([(title, "")], "title string, text string")
+    assert detect_language(df, "title").first().lang_detected == "en"
+
+
+def test_language_accuracy(spark):
+    """Share of given texts and of their first lines that are told right."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    told = docs.select(
+        "lang",
+        language_of(F.col("text")).alias("whole"),
+        language_of(F.substring_index("text", "\n", 1)).alias("title"),
+    ).agg(*[F.avg((F.col(c).eqNullSafe(F.col("lang"))).cast("int")).alias(c) for c in ("whole", "title")])
+    shares = told.first()
+    assert shares.whole >= 0.97 and shares.title >= 0.9

@@ -7,8 +7,9 @@ import pytest
 import __spark_entry__ as entry
 from feedpulse.operators.metrics import sentiment_trend
 from feedpulse.operators.scoring import ModelScorer, score_posts
-from feedpulse.plans.catalog import _events_view
+from feedpulse.plans.catalog import QUERIES, _events_view
 from feedpulse.plans.posts import untimed_posts
+from feedpulse.sources.feed import clean_feed
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -23,7 +24,7 @@ def scans(plan):
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {n: plan_of(q(spark, SF_DIR)) for n, q in entry.queries().items()}
+    return {n: plan_of(q(spark, SF_DIR)) for n, q in QUERIES.items()}
 
 
 def test_no_cross_joins_and_no_single_task_windows(plans):
@@ -35,7 +36,7 @@ def test_no_cross_joins_and_no_single_task_windows(plans):
 
 def test_python_runs_in_the_model_slot_only(plans):
     python = {n for n, p in plans.items() if "EvalPython" in p or "InPandas" in p}
-    assert python == {"model_scored_posts"}
+    assert python == {"model_scored_posts", "model_errors"}
 
 
 def test_scans_read_only_what_is_used(plans):
@@ -45,12 +46,22 @@ def test_scans_read_only_what_is_used(plans):
     assert scans(plans["table_summary"])[0] == "doc_id:bigint"
 
 
-def test_scoring_and_cleaning_need_no_shuffle_of_their_own(spark, plans):
+def test_scoring_and_cleaning_need_no_shuffle(spark, plans):
     posts = untimed_posts(spark, SF_DIR)
-    for df in (posts, score_posts(posts)):
-        # The one exchange spreads the small test file over the cores.
-        assert len(re.findall("Exchange hashpartitioning", plan_of(df))) == 1
-    assert "Exchange" not in re.sub("Exchange hashpartitioning.doc_id", "", plans["clean_feed"])
+    for plan in (plan_of(posts), plan_of(score_posts(posts)), plans["clean_feed"]):
+        assert "Exchange" not in plan
+    for name in ("detect_language", "title_language", "language_filter"):
+        assert "Exchange" not in plans[name], name
+
+
+def test_scored_and_told_once_under_a_filter(spark):
+    """A filter neither copies the expression nor moves below what computes it."""
+    posts = untimed_posts(spark, SF_DIR)
+    scored = score_posts(posts).where("sentiment_label = 'negative'")
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("rand(") == 1 and plan.count("lower(") == 1
+    kept = clean_feed(posts, language="en")
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("lower(") == 1
 
 
 def test_a_model_runs_once_per_post_even_under_a_filter(spark):
@@ -78,18 +89,7 @@ def test_span_of_a_trend_reads_times_only(spark):
     }
 
 
-def test_superseded_rows_are_dropped_without_shuffling_the_table(plans):
+def test_superseded_rows_are_combined_before_the_shuffle(plans):
     plan = plans["latest_per_id"]
-    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
-
-
-def test_large_side_outputs_are_joined_by_shuffle(spark):
-    """Over the broadcast threshold the same query must not broadcast."""
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "100")
-    try:
-        plan = plan_of(entry.queries()["latest_per_id"](spark, SF_DIR))
-        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
-    finally:
-        spark.conf.set(key, before)
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert "partial_max_by" in plan

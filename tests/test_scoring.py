@@ -81,17 +81,35 @@ def test_best_chunk_and_tie(spark):
     fourth = "z" * 1536 + " bad"
     assert len(tie) == len(later) == 1024 and len(blank) == 512
     df = posts(spark, (tie, None), (later, None), (fourth, None))
-    got = results(score_posts(df))
+    got = results(score_posts(df, max_chunks=3))
     assert [(label, score) for label, score, _, _ in got] == [
         ("positive", 1.0),
         ("positive", 1.0),
         ("neutral", 0.5),
     ]
-    assert all(text.endswith("... [truncated]") and len(text) == 527 for _, _, text, _ in got)
-    whole = results(score_posts(posts(spark, (fourth, None)), max_chunks=None))
+    # Stored texts are whole, and whole texts are scored unless told otherwise.
+    assert [len(text) for _, _, text, _ in got] == [1025, 1025, 1541]
+    whole = results(score_posts(posts(spark, (fourth, None))))
     assert whole[0][:2] == ("negative", 1.0)
 
 
+@pytest.mark.parametrize(
+    "verdicts",
+    [
+        lambda texts: [("positive", 0.9)] * (len(texts) + 1),
+        lambda texts: [("positive", 0.9)] * (len(texts) - 1),
+        lambda texts: [("bogus_label", 0.9)] * len(texts),
+        lambda texts: [("positive", 7.5)] * len(texts),
+        lambda texts: [("positive", -0.1)] * len(texts),
+        lambda texts: [("positive", float("nan"))] * len(texts),
+        lambda texts: [("positive", None)] * len(texts),
+    ],
+)
+def test_model_results_are_checked(spark, verdicts):
+    got = results(score_posts(posts(spark, ("one", None), ("two", None)), ModelScorer(lambda: verdicts)))
+    assert [(label, score, error) for label, score, _, error in got] == [("neutral", 0.5, True)] * 2
+
+
 def test_model_scorer_picks_best_chunk(spark):
     def long(first, second):
         one, two = (f"{word} {'x' * 600}" for word in (first, second))

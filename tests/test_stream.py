@@ -19,7 +19,6 @@ from feedpulse.streaming.jobs import (
     StreamReporter,
     await_stream,
     batch_writer,
-    merge_rollup,
     read_folder,
     read_rollup,
     refresh_rollups,
@@ -250,27 +249,63 @@ def test_rollups_follow_the_stream(spark, tmp_path):
         == want.orderBy(*order).select(*rounded).collect()
     )
     assert headline_metrics(rollup).first().total_posts == 200
-    merged = str(tmp_path / "merged")
-    merge_rollup(spark, parts, merged)
-    assert read_rollup(spark, merged).count() == want.count()
-    assert headline_metrics(read_rollup(spark, merged)).first().total_posts == 200
 
 
-def test_reporter_sees_progress(spark, job):
-    reporter = StreamReporter(keep=10)
+def rollup_and_table(spark, job):
+    columns = ["bucket", "subreddit", "sentiment_label", "posts", F.round("score_sum", 6)]
+    table = rollup_posts(posts_view(latest_posts(read_versions(spark, f"{job.path}/posts"))))
+    return [
+        sorted(map(tuple, df.select(*columns).collect()))
+        for df in (read_rollup(spark, f"{job.path}/rollup"), table)
+    ]
+
+
+def test_rollup_equals_the_table_after_replay_and_resend(spark, job):
+    write = batch_writer(job.path)
+
+    def batch(*lines):
+        return spark.createDataFrame([(x,) for x in lines], "value string")
+
+    first = batch(post("a", "good"), post("b", "bad"), post("c", "so", subreddit="t"))
+    again = batch(post("a", "awful"), post("c", "so", subreddit="u"), post("d", "nice"))
+    for number, df in [(0, first), (0, first), (1, again), (1, again), (2, first), (2, first)]:
+        write(df, number)
+        rollup, table = rollup_and_table(spark, job)
+        assert rollup == table and table
+
+
+def test_rollup_after_a_crash(spark, job, monkeypatch):
+    job.land("1.txt", post("a", "good"), post("b", "bad"))
+    job.run()
+    job.land("2.txt", post("a", "awful"))
+    monkeypatch.setattr(jobs, "rollup_of_batch", lambda *_: 1 / 0)
+    with pytest.raises(StreamingQueryException):
+        job.run()
+    monkeypatch.undo()
+    job.run()
+    rollup, table = rollup_and_table(spark, job)
+    assert rollup == table and sum(r[3] for r in table) == 2
+
+
+def test_no_folder_for_no_dead_letters(spark, job, tmp_path):
+    job.land("1.txt", post("a", "good"))
+    job.run()
+    assert not (tmp_path / "out" / "dead_letters").exists()
+
+
+def test_reporter_stores_progress(spark, job, tmp_path):
+    reporter = StreamReporter(spark, str(tmp_path / "progress"))
     spark.streams.addListener(reporter)
     try:
         job.land("1.txt", post("a", "good"))
         job.run()
-        for _ in range(50):
-            if any(r["event"] == "terminated" for r in reporter.reports):
-                break
-            time.sleep(0.1)
+        assert reporter.wait_for("terminated")
     finally:
         spark.streams.removeListener(reporter)
-    events = [r["event"] for r in reporter.reports]
+    reports = read_folder(spark, reporter.path).orderBy("at").collect()
+    events = [r["event"] for r in reports]
     assert events[0] == "started" and "progress" in events and "terminated" in events
-    assert sum(r["rows"] for r in reporter.reports if r["event"] == "progress") == 1
+    assert {r["batch_id"] for r in reports if r["event"] == "progress" and r["rows"]} == {0}
 
 
 def test_json_file_stream(spark, tmp_path):

@@ -65,9 +65,9 @@ def check(spark, texts):
         stripped=tx.strip_ws(t),
         short=tx.is_too_short(t),
         visible=tx.has_text(t),
-        chunks=tx.chunk_text(t),
+        chunks=tx.chunk_text(t, max_chunks=3),
         small=tx.chunk_text(t, 7, None),
-        cleaned=tx.cleaned_text(t),
+        cleaned=tx.cut_text(t),
     )
     for text, row in zip(texts, rows):
         assert row.normal == py_normalize(text)
