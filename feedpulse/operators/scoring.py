@@ -196,11 +196,8 @@ def score_posts(
 
     Whole texts are scored; ``max_chunks`` limits that to their first chunks. Posts
     under three characters get a neutral result and never reach the scorer.
-    ``cleaned_text`` is the normalised text, whole.
-
-    The verdict is computed once, also under a later filter on the label: next to a
-    value that is not deterministic Catalyst neither copies it into the filter nor
-    moves the filter below it.
+    ``cleaned_text`` is the normalised text, whole. All of it is inside the row; a
+    later filter on the label is checked in the task that read the post.
     """
     scorer = scorer or LexiconScorer()
     combined = combine_text(F.col("title"), F.col("text"))
@@ -209,8 +206,7 @@ def score_posts(
         "_processed", F.when(~short, normalize_mentions_links(combined))
     )
     scored = prepared.withColumn(
-        "_best",
-        F.when(F.rand() >= 0, scorer.best_chunk(chunk_text(F.col("_processed"), size, max_chunks))),
+        "_best", scorer.best_chunk(chunk_text(F.col("_processed"), size, max_chunks))
     )
     error = F.coalesce(F.col("_best.score_error"), F.lit(False))
     return scored.select(
