@@ -37,7 +37,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedpulse.llm.common import ROW, components, documents, row_key, text_or_empty, written
+from feedpulse.llm.common import (
+    ROW,
+    components,
+    documents,
+    row_key,
+    small_batches,
+    text_or_empty,
+    written,
+)
 
 WORDS = 5
 PERCENT = 75
@@ -366,6 +374,11 @@ def dedup_near(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     Other columns are not read. ``docs`` should be a stored table: it is read again
     for the texts of candidate pairs.
     """
+    with small_batches(docs.sparkSession):
+        return _dedup_near(docs, text, doc_id)
+
+
+def _dedup_near(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     signed = signatures(docs, text, doc_id)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col(ROW).alias("row"))
     groups = written(
