@@ -1,7 +1,8 @@
 """Secrets in texts: fixed patterns, and a randomness test battery.
 
 DataFrame expressions only. Besides the three base patterns, every run of token
-characters is a candidate whose encoding is inferred. Three tests ask whether it
+characters, and every stretch of its parts between separators, is a candidate whose
+encoding is inferred. Three tests ask whether it
 looks uniformly random in that encoding (chi-squared on the alphabet, runs above
 and below its middle, serial correlation). What passes them is set against the
 opposite hypothesis, a text with repeated symbols, and false discoveries are
@@ -24,8 +25,13 @@ BASE = {
 }
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
-#: Runs of these characters are tested; shorter ones say too little.
-CANDIDATE = "[A-Za-z0-9+/_-]{20,}"
+#: Runs of these characters are tested, and parts of them; shorter ones say too little.
+SHORTEST = 20
+CANDIDATE = f"[A-Za-z0-9+/_-]{{{SHORTEST},}}"
+#: Characters that join the parts of a run, by the encoding they may also stand in.
+SEPARATORS = {"base64": "+/", "base64url": "-_"}
+#: So many neighbouring parts are tested together: a key may hold separators itself.
+PARTS = 4
 DIGITS = "0123456789"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 UPPER = LOWER.upper()
@@ -140,6 +146,116 @@ def with_fields(spans: Column, names: str, **fields) -> Column:
     )
 
 
+def windows(cuts: Column, most: int) -> Column:
+    """Stretches of one to ``most`` parts between ``cuts``, long enough to be tested, as
+    start times 2^32 plus stop. None begins or ends with an empty part."""
+
+    def from_cut(cut: Column, no: Column) -> Column:
+        return F.array(
+            *[
+                F.when(
+                    (F.get(cuts, no + n) - cut > SHORTEST)
+                    & (F.get(cuts, no + 1) > cut + 1)
+                    & (F.get(cuts, no + n - 1) < F.get(cuts, no + n) - 1),
+                    (cut + 1).cast("long") * (1 << 32) + F.get(cuts, no + n),
+                )
+                for n in range(1, most + 1)
+            ]
+        )
+
+    return F.filter(F.flatten(F.transform(cuts, from_cut)), lambda w: w.isNotNull())
+
+
+def candidates(text: Column) -> Column:
+    """Runs of token characters and what stands between separators in them, as spans.
+
+    Of each run: the whole, what lies between ``-`` and ``_``, what lies between ``/``
+    and ``+``, and up to ``PARTS`` neighbouring parts between separators of any kind.
+    So a key is looked at wherever it stands in a path or name, also where it holds
+    some separators of its own. The work grows with the length of a run, not its square.
+    """
+    own = "start kind_no stop kind found"
+
+    def mixed(found: Column) -> Column:
+        return F.rlike(found, F.lit("[0-9]")) & F.rlike(found, F.lit("[A-Za-z]"))
+
+    def cuts(s: Column, marks: str) -> Column:
+        places = F.transform(s["symbols"], lambda c, no: F.when(c.isin(*marks), no))
+        return F.concat(
+            F.array(F.lit(-1)),
+            F.coalesce(F.filter(places, lambda x: x.isNotNull()), F.expr("cast(array() as array<int>)")),
+            F.array(F.length(s["found"])),
+        )
+
+    runs = F.filter(find_all(text, CANDIDATE, "random", len(BASE)), lambda s: mixed(s["found"]))
+    joined = "".join(SEPARATORS.values())
+    runs = with_fields(
+        runs,
+        own,
+        symbols=lambda s: F.when(
+            F.rlike(s["found"], F.lit(f"[{joined}]")), F.split(s["found"], "(?!^)", -1)
+        ),
+    )
+    runs = with_fields(
+        runs,
+        own + " symbols",
+        every=lambda s: cuts(s, joined),
+        **{name: lambda s, marks=marks: cuts(s, marks) for name, marks in SEPARATORS.items()},
+    )
+    runs = with_fields(
+        runs,
+        own + " symbols",
+        places=lambda s: F.array_distinct(
+            F.concat(
+                F.array(F.length(s["found"]).cast("long")),
+                windows(s["every"], PARTS),
+                *[windows(s[name], 1) for name in SEPARATORS],
+            )
+        ),
+    )
+
+    def cut_out(s: Column, place: Column) -> Column:
+        start = F.shiftright(place, 32).cast("int")
+        stop = place.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+        return F.struct(
+            (s["start"] + start).alias("start"),
+            s["kind_no"].alias("kind_no"),
+            (s["start"] + stop).alias("stop"),
+            s["kind"].alias("kind"),
+            F.when(stop - start == F.length(s["found"]), s["found"])
+            .otherwise(F.array_join(F.slice(s["symbols"], start + 1, stop - start), ""))
+            .alias("found"),
+        )
+
+    spans = F.flatten(
+        F.transform(runs, lambda s: F.transform(s["places"], lambda place: cut_out(s, place)))
+    )
+    return F.filter(spans, lambda s: mixed(s["found"]))
+
+
+def outermost(spans: Column) -> Column:
+    """Spans that lie in no other one, in order."""
+    start = F.struct(F.lit(-1).alias("far"), F.expr(f"cast(array() as {SPAN})").alias("spans"))
+
+    def step(acc: Column, s: Column) -> Column:
+        span = F.struct(*[s[c].alias(c) for c in ("start", "kind_no", "stop", "kind", "found")])
+        return F.when(s["stop"] <= acc["far"], acc).otherwise(
+            F.struct(s["stop"].alias("far"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+        )
+
+    widest_first = F.array_sort(
+        F.transform(
+            spans,
+            lambda s: F.struct(
+                s["start"].alias("start"),
+                (-s["stop"]).alias("before"),
+                *[s[c].alias(c) for c in ("kind_no", "stop", "kind", "found")],
+            ),
+        )
+    )
+    return F.aggregate(widest_first, start, step, lambda acc: acc["spans"])
+
+
 def tested_spans(text: Column) -> Column:
     """Candidates that pass the battery, with class and p-value bin.
 
@@ -156,11 +272,7 @@ def tested_spans(text: Column) -> Column:
     whose symbols agree as often as ``TEXT_COINCIDENCE``, has as few equal pairs.
     """
     own = "start kind_no stop kind found"
-    spans = F.filter(
-        find_all(text, CANDIDATE, "random", len(BASE)),
-        lambda s: F.rlike(s["found"], F.lit("[0-9]")) & F.rlike(s["found"], F.lit("[A-Za-z]")),
-    )
-    spans = with_fields(spans, own, code=lambda s: inferred(s["found"]))
+    spans = with_fields(candidates(text), own, code=lambda s: inferred(s["found"]))
     spans = F.filter(spans, lambda s: s["code"].isNotNull())
     spans = with_fields(
         spans,
@@ -294,7 +406,8 @@ def thresholds(docs: DataFrame, text: str = "text", fdr: float = FDR) -> dict[st
 
 
 def random_spans(text: Column, least: dict[str, int], base: Column) -> Column:
-    """Tested spans beyond their class's threshold that no base span covers."""
+    """Tested spans beyond their class's threshold that lie in no base span and in no
+    other one of themselves."""
     if not least:
         return F.expr(f"cast(array() as {SPAN})")
     table = F.create_map(*[F.lit(x) for pair in sorted(least.items()) for x in pair])
@@ -306,12 +419,7 @@ def random_spans(text: Column, least: dict[str, int], base: Column) -> Column:
         found,
         lambda s: ~F.exists(base, lambda b: (b["start"] <= s["start"]) & (b["stop"] >= s["stop"])),
     )
-    return F.transform(
-        alone,
-        lambda s: F.struct(
-            *[s[c].alias(c) for c in ("start", "kind_no", "stop", "kind", "found")]
-        ),
-    )
+    return outermost(alone)
 
 
 def span_list(spans: Column) -> Column:

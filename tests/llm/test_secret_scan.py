@@ -79,6 +79,27 @@ def test_battery_finds_random_keys_and_leaves_words(make, keys):
     assert all(out[100 + n] == [] for n in range(len(STRUCTURED)))
 
 
+def test_keys_inside_paths_and_names(make, keys):
+    """Most keys hold '/' or '+' themselves; hyphens and path words stand before them."""
+    whole = [k for k in keys if sum(c in "+/" for c in k) < 3]
+    forms = ["my-bucket/{}", "/services/T00000000/B00000000/{}", "a_b-c/{}/x-y", "host/v1/x-{}"]
+    rows = [(n, f"see {forms[n % 4].format(k)} here") for n, k in enumerate(whole)]
+    rows += [(100 + n, f"see my-{'path-'.join(['x/'] * 6)}/{t} here") for n, t in enumerate(STRUCTURED)]
+    docs = make(rows).select("doc_id", "text")
+    out = {r.doc_id: r for r in scan_secrets(docs).collect()}
+    assert len(whole) >= 30
+    for form in range(4):
+        own = [n for n in range(len(whole)) if n % 4 == form]
+        hits = 0
+        for n in own:
+            at = out[n].text.index(whole[n])
+            spans = out[n]._secrets.spans
+            assert all(out[n].text[s.start : s.stop] == s.found for s in spans)
+            hits += any(s.start <= at and s.stop >= at + len(whole[n]) for s in spans)
+        assert hits >= 0.8 * len(own), (forms[form], hits, len(own))
+    assert all(out[100 + n]._secrets.spans == [] for n in range(len(STRUCTURED)))
+
+
 def test_short_tokens_alone_prove_nothing(make, keys):
     docs = make([(0, "a1B2" + "cdcdcdcdccddcdcdcdcd")]).select("doc_id", "text")
     assert thresholds(docs) == {}
