@@ -383,12 +383,16 @@ def tested_spans(text: Column) -> Column:
 def thresholds(docs: DataFrame, text: str = "text", fdr: float = FDR) -> dict[str, int]:
     """Least bin that counts as found, by class: Benjamini and Hochberg on binned p-values.
 
-    All candidates of all rows are counted, by class and bin: a table of a few
+    Each distinct candidate of all rows is one hypothesis, however often it stands
+    there, so no repeated token decides for its class. Candidates are told apart by
+    digest, combined on the map side, and counted by class and bin: a table of a few
     hundred classes and ``BINS`` bins at most, whatever the input.
     """
     counts = (
         docs.select(F.explode(tested_spans(text_or_empty(text))).alias("s"))
-        .groupBy("s.cls", "s.bin")
+        .select("s.cls", "s.bin", F.unhex(F.md5("s.found")).alias("digest"))
+        .distinct()
+        .groupBy("cls", "bin")
         .count()
         .collect()
     )
@@ -433,7 +437,7 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Null and empty texts have no spans. Each row is scanned on its own, in its
     place, so repeated rows, null ids and clashing names change nothing; the only
-    shuffle is that of the bounded counts in ``thresholds``.
+    shuffles are those of token digests and their bounded counts in ``thresholds``.
     """
     least = thresholds(docs, text)
     value = text_or_empty(text)

@@ -100,6 +100,21 @@ def test_keys_inside_paths_and_names(make, keys):
     assert all(out[100 + n]._secrets.spans == [] for n in range(len(STRUCTURED)))
 
 
+def test_copies_of_a_token_are_one_hypothesis(make):
+    """Tokens of 24 characters: a harmless one that passes the battery, one that is nearly
+    strong enough, and random ones. No number of copies moves the bar of their class."""
+    harmless, near = "ilpoiNoTbl6PKpnC00CKb6Nz", "ncIIA3ANxN9K3KSU9Mi4roNL"
+    rng, signs = random.Random(5), STRUCTURED[0]
+    keys = ["".join(rng.choice(signs) for _ in range(24)) for _ in range(60)]
+
+    def bars(tokens, name):
+        return thresholds(make([(n, f"see {t} here") for n, t in enumerate(tokens)], name=name))
+
+    assert set(bars([*keys, harmless], "once")) == {"base64:9"}
+    assert bars([*keys, *[harmless] * 4000], "weak") == bars([*keys, harmless], "once")
+    assert bars([harmless, near], "two") == bars([harmless, *[near] * 4000], "strong") == {}
+
+
 def test_short_tokens_alone_prove_nothing(make, keys):
     docs = make([(0, "a1B2" + "cdcdcdcdccddcdcdcdcd")]).select("doc_id", "text")
     assert thresholds(docs) == {}
