@@ -4,6 +4,7 @@ The writer makes one gzip member per record. The reader checks members, version
 lines, headers, lengths and digests. Where a check fails it searches for the next
 place at which a whole record stands (the next member, or version line in archives
 that are not compressed), goes on from there, and logs the bytes between as a gap.
+A member of several records is searched in the same way, as far as it unpacks.
 
 Archives are read and written through the file system of their folder's URI, by the
 tasks. A task names its archives after its attempt; only those in the manifest of
@@ -39,7 +40,11 @@ MEMBER = b"\x1f\x8b\x08"
 
 
 class Damaged(ValueError):
-    """What stands here is no whole record."""
+    """What stands here is no whole record, but for ``records`` that were unpacked."""
+
+    def __init__(self, reason: str, records: list[Record] | None = None):
+        super().__init__(reason)
+        self.records = records or []
 
 
 def folder_of(uri: str):
@@ -138,10 +143,11 @@ def parse_record(data, at: int) -> tuple[Record, int]:
         if not colon or not name.strip():
             raise Damaged("headers")
         headers[name.strip().lower()] = value.strip()
-    if not headers.get("content-length", "").isascii() or not headers["content-length"].isdigit():
+    length = headers.get("content-length", "")
+    if not length.isascii() or not length.isdigit():
         raise Damaged("content length")
     first = stop + 4
-    last = first + int(headers["content-length"])
+    last = first + int(length)
     if bytes(data[last : last + 4]) != b"\r\n\r\n":
         raise Damaged("record end")
     own = Record(headers, bytes(data[first:last]))
@@ -156,62 +162,89 @@ def parse_record(data, at: int) -> tuple[Record, int]:
     return own, last + 4
 
 
-def parse_member(data: bytes, at: int) -> tuple[list[Record], int]:
-    """The records of the gzip member at ``at`` and where it ends."""
-    if data[at : at + 3] != MEMBER:
-        raise Damaged("member header")
+def unpacked(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """What the gzip member at ``at`` holds, where it ends, and why it ends early, if so."""
     unpacker, parts, view, place, step = zlib.decompressobj(31), [], memoryview(data), at, 1 << 16
     try:
         while not unpacker.eof:
             if place >= len(data):
-                raise Damaged("member cut short")
+                return b"".join(parts), place, "member cut short"
             parts.append(unpacker.decompress(view[place : place + step]))
-            if len(parts) == 1 and parts[0] and not parts[0].startswith(b"WARC/1."[: len(parts[0])]):
-                raise Damaged("version line")
             place += step
     except zlib.error:
-        raise Damaged("member data") from None
-    stop = min(place, len(data)) - len(unpacker.unused_data)
-    text, records, inside = b"".join(parts), [], 0
-    while inside < len(text):
-        own, inside = parse_record(text, inside)
-        records.append(own)
+        # A step that fails returns nothing: once more, and its bytes one at a time.
+        unpacker, parts = zlib.decompressobj(31), []
+        if place > at:
+            parts.append(unpacker.decompress(view[at:place]))
+        try:
+            for k in range(place, len(data)):
+                parts.append(unpacker.decompress(view[k : k + 1]))
+        except zlib.error:
+            pass
+        return b"".join(parts), place, "member data"
+    return b"".join(parts), min(place, len(data)) - len(unpacker.unused_data), None
+
+
+def parse_member(data: bytes, at: int) -> tuple[list[Record], int, str | None]:
+    """The sound records of the gzip member at ``at``, where it ends, and what the first
+    damage between them is, if any.
+
+    Raises ``Damaged``, with the records, where the end of the member is not known.
+    Where its data fail, only records with a block digest that holds are sound; their
+    headers have no digest, so the gap of the same range tells what they came from.
+    """
+    if data[at : at + 3] != MEMBER:
+        raise Damaged("member header")
+    text, stop, cut = unpacked(data, at)
+    records, inside, damage = [], 0, None
+    while 0 <= inside < len(text):
+        try:
+            own, inside = parse_record(text, inside)
+        except Damaged as why:
+            damage = damage or str(why)
+            inside = text.find(b"WARC/1.", inside + 1)
+            continue
+        if cut != "member data" or sha1_of(own.headers.get("warc-block-digest", "")):
+            records.append(own)
+    if cut:
+        raise Damaged(cut, records)
     if not records:
-        raise Damaged("empty member")
-    return records, stop
+        raise Damaged(damage or "empty member")
+    return records, stop, damage
 
 
-def parse_plain(data: bytes, at: int) -> tuple[list[Record], int]:
+def parse_plain(data: bytes, at: int) -> tuple[list[Record], int, None]:
     own, stop = parse_record(data, at)
-    return [own], stop
+    return [own], stop, None
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, Record | Gap]]:
     """``(start, stop, record or gap)`` of an archive, in order, without holes.
 
     Records and gaps cover every byte. Compressed and plain stretches may follow
-    one another. A gap ends where a whole record begins, or with the file.
+    one another. A gap ends where a whole record begins, or with the file. Records of
+    one member share its range; a damaged one is a gap, followed by what is sound in it.
     """
 
-    def parse(at: int) -> tuple[list[Record], int]:
+    def parse(at: int) -> tuple[list[Record], int, str | None]:
         return parse_member(data, at) if data[at : at + 2] == MEMBER[:2] else parse_plain(data, at)
 
     at = 0
     while at < len(data):
         try:
-            records, stop = parse(at)
+            records, stop, damage = parse(at)
         except Damaged as why:
-            found, start = None, at
+            records, stop, damage = why.records, len(data), str(why)
             for place in re.compile(b"\x1f\x8b\x08|WARC/1\\.").finditer(data, at + 1):
                 try:
-                    found = parse(place.start())
-                    break
-                except Damaged:
-                    continue
-            stop = place.start() if found else len(data)
-            yield start, stop, Gap(str(why))
-            at = stop
-            continue
+                    parse(place.start())
+                except Damaged as other:
+                    if not other.records:
+                        continue
+                stop = place.start()
+                break
+        if damage:
+            yield at, stop, Gap(damage)
         for own in records:
             yield at, stop, own
         at = stop

@@ -87,6 +87,31 @@ def test_kinds_may_mix_and_a_member_may_hold_more():
     assert pages_of(both) == [f"<urn:page:{k}>" for k in range(5)]
 
 
+def test_a_damaged_member_of_several_records_keeps_the_sound_ones():
+    plain, packed = archive(packed=False), archive()
+    spoilt = [*plain[:3], plain[3].replace(b"<p>3", b"<p>X"), *plain[4:6]]
+    ids = [f"<urn:page:{k}>" for k in range(12)]
+
+    one = gzip.compress(b"".join(spoilt))
+    assert pages_of(one) == [*ids[:3], *ids[4:6]] and gaps_of(one) == [(0, len(one))]
+    assert pages_of(one + packed[6]) == [*ids[:3], *ids[4:7]] and whole(one + packed[6])
+    first = gzip.compress(b"X" + b"".join(plain[:4]))
+    assert pages_of(packed[5] + first) == [ids[5], *ids[:4]]
+
+    rng = random.Random(3)
+    noisy = [page_record(k, "u", rng.randbytes(40_000), None) for k in range(8)]
+    several = gzip.compress(b"".join(noisy))
+    for damaged in (several[: len(several) * 7 // 10], several[:-8] + b"\0" * 8):
+        n = 5 if len(damaged) < len(several) else 8
+        for data in (damaged, damaged + packed[9]):
+            assert pages_of(data)[:n] == ids[:n] and gaps_of(data) == [(0, len(damaged))]
+            assert pages_of(data)[n:] == ids[9:10] * (len(data) > len(damaged)) and whole(data)
+    # Without a digest nothing vouches for a record whose member fails its check sum.
+    bare = gzip.compress(b"WARC/1.1\r\nContent-Length: 2\r\n\r\nab\r\n\r\n" * 3)
+    assert sum(isinstance(own, Record) for _, _, own in salvage(bare)) == 3
+    assert [type(own) for _, _, own in salvage(bare[:-8] + b"\0" * 8)] == [Gap]
+
+
 def test_round_trip(spark, make, tmp_path):
     big, folder = "é" * 600, f"file://{tmp_path}/warc"
     rows = [
