@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedpulse.llm.common import documents, text_or_empty, written
+from feedpulse.llm.common import ROW, documents, row_key, text_or_empty, written
 from feedpulse.llm.word_ids import encoder
 
 SIZE = 4096
@@ -114,10 +114,10 @@ def pack(
     """``pieces`` with ``sequence_id`` and ``offset``.
 
     ``pieces`` should be a stored table, as it is read once for its total and once
-    to be packed. Groups are dealt by a hash of the row, so no document or source
-    is hot, and rows that are the same in all columns spread by their number in
-    the hash order. A group's rows arrive sorted by length and then by all other
-    columns: a task that is run again places them alike.
+    to be packed. Groups are dealt by a hash of the row and its key in that table, so
+    no document or source is hot, and rows that are the same in all columns spread as
+    well. A group's rows arrive sorted by length and then by all other columns: a task
+    that is run again deals and places them alike.
     """
     total = pieces.agg(F.sum("length")).first()[0] or 0
     groups = max(1, -(-total // group_tokens))
@@ -142,7 +142,7 @@ def pack(
                 names=[*names, "sequence_id", "offset"],
             )
 
-    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64(*names), F.lit(groups)))
+    dealt = row_key(pieces).select(*names, F.pmod(F.xxhash64(*names, ROW), F.lit(groups)).alias("_group"))
     ordered = dealt.repartition(groups, "_group").sortWithinPartitions(
         "_group", F.desc("length"), *[c for c in names if c != "length"]
     )

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -194,3 +195,12 @@ def test_groups_and_few_open_sequences(spark):
             fill[r.sequence_id] = r.offset + r.length
         assert max(fill.values()) <= 4096
         assert out == pack(pieces, **options).collect()
+
+
+def test_equal_pieces_are_dealt_to_many_groups(make):
+    rows = [(None, 0, 0, 10, 7)] * 3000
+    pieces = make(rows, "doc_id long, piece int, start long, length long, ids_crc32 long", "pieces")
+    out = pack(pieces, size=64, group_tokens=3000).collect()
+    assert len(out) == 3000 and len({(r.sequence_id, r.offset) for r in out}) == 3000
+    groups = Counter(r.sequence_id >> 32 for r in out)
+    assert len(groups) == 10 and max(groups.values()) < 600
