@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from feedpulse.llm.decontaminate import OP12_SQL, op12_decontaminate
 from feedpulse.llm.embedding_dedup import op8_embedding_dedup
 from feedpulse.llm.exact_dedup import OP6_SQL, op6_exact_dedup
 from feedpulse.llm.license_scan import op1_license_scan
@@ -24,10 +25,12 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_decontaminate": op12_decontaminate,
 }
 
 #: The others are not expressible in SQL; tests/llm sets them against brute force.
 ORACLES = {
     "op2_warc": OP2_SQL,
     "op6_exact_dedup": OP6_SQL,
+    "op12_decontaminate": OP12_SQL,
 }
