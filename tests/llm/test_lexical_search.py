@@ -1,0 +1,188 @@
+"""The FP-tree search against plain scoring of every document."""
+
+import math
+import re
+
+import numpy as np
+import pytest
+from compare import assert_same, connect
+
+from feedpulse.llm.lexical_search import (
+    OP11_SQL,
+    Tree,
+    impact,
+    op11_lexical_search,
+    rank_documents,
+    terms_of,
+)
+
+ITEMS = "item_id long, text string, rank int, score long"
+
+
+def plain_terms(text):
+    found = re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text or "")
+    return [re.sub("[A-Z]", lambda m: m[0].lower(), t) for t in found]
+
+
+def plain(docs, items, top=10):
+    own = [(i, plain_terms(t)) for i, t in docs]
+    own = [(i, t) for i, t in own if t]
+    n_docs, n_terms = len(own), sum(len(t) for _, t in own)
+    df = {}
+    for _, terms in own:
+        for t in set(terms):
+            df[t] = df.get(t, 0) + 1
+    out = []
+    for item, text in items:
+        scored = []
+        for doc, terms in own:
+            m = 10 + (90 * len(terms) * n_docs) // n_terms
+            score = 0
+            for t in set(plain_terms(text)):
+                if t in terms:
+                    tf = terms.count(t)
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    score += w * ((1000000000 * tf) // (1000 * tf + 8 * m))
+            if score > 0:
+                scored.append((-score, doc is None, doc or 0, doc))
+        for rank, (score, _, _, doc) in enumerate(sorted(scored, key=lambda s: s[:3])[:top], 1):
+            out.append((item, rank, doc, -score))
+    return sorted(out, key=repr)
+
+
+def ranked(docs, items, **options):
+    found = rank_documents(docs, items, **options)
+    assert dict(found.dtypes) == {
+        "item_id": "bigint",
+        "rank": "int",
+        "doc_id": "bigint",
+        "score": "bigint",
+    }
+    return sorted((tuple(r) for r in found.collect()), key=repr)
+
+
+DOC_ROWS = [
+    (1, "The cat sat on the mat"),
+    (2, "the CAT, the cat; the cat"),
+    (3, None),
+    (4, ""),
+    (5, "?! --"),
+    (6, "Straße straße STRASSE Éa éa"),
+    (7, "the cat sat on the mat"),
+    (7, "the cat sat on the mat"),
+    (None, "the cat sat on the mat"),
+    (8, "mat " * 5000 + "word " * 20_000),
+    (9, "dog d0g dog2"),
+    *[(k, "the cat sat on a mat") for k in range(100, 140)],
+    *[(k, f"own{k} the dog") for k in range(200, 240)],
+]
+ITEM_ROWS = [
+    (1, "cat mat"),
+    (2, "Cat cat CAT mat sat"),
+    (3, None),
+    (4, ""),
+    (5, "nowhere to be found, d0g"),
+    (5, "dog"),
+    (None, "straße Éa"),
+    (6, "..."),
+    (7, "own210 own230 the on"),
+    (8, "absent"),
+]
+
+
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 100, "postings": 40}, {"top": 3}])
+def test_edges(make, options):
+    """Ties, repeated rows and ids, and items in many blocks over many trees."""
+    got = ranked(make(DOC_ROWS), make(ITEM_ROWS, ITEMS, "items"), **options)
+    assert got == plain(DOC_ROWS, ITEM_ROWS, options.get("top", 10))
+
+
+def test_empty_tables(make):
+    assert ranked(make([]), make(ITEM_ROWS, ITEMS, "items")) == []
+    assert ranked(make(DOC_ROWS, name="some"), make([], ITEMS, "none")) == []
+    assert ranked(make([(1, None), (2, "?")], name="blank"), make(ITEM_ROWS, ITEMS, "asked")) == []
+
+
+def test_clashing_columns(make):
+    docs = make([(1, "a b")], "doc_id long, text string, item int, n int, _llm_row int, terms int")
+    items = make([(1, "a")], "item_id long, text string, rank int, doc_id int", "items")
+    assert ranked(docs, items) == plain([(1, "a b")], [(1, "a")])
+
+
+def random_tree(rng, n_docs, n_terms, most):
+    vectors = []
+    for _ in range(n_docs):
+        own = np.unique(rng.zipf(1.4, rng.integers(1, most)) % n_terms)
+        vectors.append((own.tolist(), rng.integers(1, 9, len(own)).tolist()))
+    vectors.sort()
+    m = rng.integers(11, 400, n_docs)
+    sizes = [len(p) for p, _ in vectors]
+    tree = Tree(
+        (rng.permutation(n_docs), rng.random(n_docs) < 0.05),
+        m,
+        np.concatenate(([0], np.cumsum(sizes))),
+        np.concatenate([np.array(p) for p, _ in vectors]),
+        np.concatenate([np.array(t) for _, t in vectors]),
+        n_terms,
+    )
+    return tree, vectors, m
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_tree_against_a_scan(seed):
+    """The ten best of a tree, ties by id and null ids last, without entering all of it."""
+    rng = np.random.default_rng(seed)
+    tree, vectors, m = random_tree(rng, 3000, 300, 40)
+    ids, no_id = tree.doc_ids
+    for _ in range(20):
+        asked = rng.choice(300, 6, replace=False)
+        weight = np.zeros(300, np.int64)
+        weight[asked] = rng.integers(1, 2000, 6)
+        scores = [
+            sum(int(weight[t]) * int(impact(np.int64(tf), m[k])) for t, tf in zip(*vectors[k]))
+            for k in range(len(vectors))
+        ]
+        best = sorted((-s, bool(no_id[k]), int(ids[k])) for k, s in enumerate(scores) if s > 0)
+        assert tree.search(weight, [], 10) == best[:10]
+
+
+def test_branches_are_left_out():
+    """Bounds keep branches from being entered, and no document is below many nodes."""
+    rng = np.random.default_rng(7)
+    tree, vectors, _ = random_tree(rng, 20_000, 200, 30)
+    assert len(tree.pages) > 100
+    documents = np.concatenate([p[0][p[0] >= 0] for p in tree.pages])
+    assert sorted(documents.tolist()) == list(range(20_000))
+    below = sum(len(p[2]) for p in tree.pages)
+    assert below < 4 * sum(len(p) for p, _ in vectors)
+
+    class Counted(list):
+        entered = 0
+
+        def __getitem__(self, k):
+            Counted.entered += 1
+            return super().__getitem__(k)
+
+    tree.pages = Counted(tree.pages)
+    weight = np.zeros(200, np.int64)
+    weight[[40, 90, 150]] = 1500
+    tree.search(weight, [], 10)
+    assert Counted.entered < len(tree.pages) * 0.7
+
+
+def test_terms():
+    text = "A\x00b\tC_d É-Ü 日本語 x'y [z] 9\x7f8"
+    assert [t.decode() for t in terms_of(text.encode())] == plain_terms(text)
+
+
+def test_whole_table(spark, small, texts):
+    import pyarrow.parquet as pq
+
+    items = [
+        (r["item_id"], r["text"])
+        for r in pq.read_table(f"{small}/benchmark.parquet").to_pylist()
+    ]
+    got = op11_lexical_search(spark, small).toArrow()
+    rows = [tuple(r.values()) for r in got.to_pylist()]
+    assert sorted(rows, key=repr) == plain(texts.items(), items)
+    assert_same(got, connect(small).sql(OP11_SQL).to_arrow_table())
