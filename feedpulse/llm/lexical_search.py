@@ -37,6 +37,8 @@ BLOCK_BYTES = 4 << 20
 TREE_POSTINGS = 1_000_000
 #: A node of fewer documents is not kept.
 LEAF = 16
+#: Terms of a path that deal rows to tasks: bounds of ranges go to the driver.
+HEAD = 12
 
 # Bytes of words; all others part them.
 _WORD = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(0x80, 0x100))
@@ -349,7 +351,7 @@ def rank_documents(
     keyed = row_key(docs).select(
         "_llm_row", F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text")
     )
-    found, names, number = None, [], 0
+    found, number = None, 0
     with small_batches(spark):
         for block in item_blocks(items, item_text, item_id, block_bytes):
             vocabulary = {t: k for k, t in enumerate(sorted({t for _, own in block for t in own}))}
@@ -381,25 +383,21 @@ def rank_documents(
             parts = -(-int(frequency.sum()) // postings)
             placed = (
                 paths(vectors.where("docs IS NULL"), rank)
-                .repartitionByRange(parts, "path", "row")
+                .repartitionByRange(parts, F.slice("path", 1, HEAD), "row")
                 .sortWithinPartitions("path", "row")
             )
             best = search_block(placed, asked, weight, n_docs, n_terms, top, postings)
             best = written(best, "best")
+            order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
+            best = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
             ids = [(number + k, own_id) for k, (own_id, _) in enumerate(block)]
-            best = best.join(
-                F.broadcast(spark.createDataFrame(ids, "item long, item_id long")), "item"
-            )
+            names = spark.createDataFrame(ids, "item long, item_id long")
+            best = best.join(F.broadcast(names), "item").select("item_id", "rank", "doc_id", "score")
             found = best if found is None else found.union(best)
             number += len(block)
     if found is None:
         return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
-    order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
-    return (
-        found.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= top)
-        .select("item_id", "rank", "doc_id", "score")
-    )
+    return found
 
 
 def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
