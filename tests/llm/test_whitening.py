@@ -121,7 +121,7 @@ def test_repeated_eigenvalues():
     assert vectors.T @ vectors == pytest.approx(np.eye(16), abs=1e-11)
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=60, deadline=None)
 @given(n=st.integers(1, 40), spread=st.floats(0.1, 4), seed=st.integers(0, 10_000))
 def test_against_a_dense_solver(n, spread, seed):
     rng = np.random.default_rng(seed)
