@@ -32,6 +32,8 @@ from feedpulse.llm.common import ROW, documents, row_key, text_or_empty, written
 
 WINDOW = 10
 WORDS = 5
+#: Row keys, of 8 bytes, that are sent to all tasks at most.
+BROADCAST_ROWS = 1_000_000
 
 # What words are made of, and the letters that are folded.
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -161,7 +163,14 @@ def covered(hits: Column) -> Column:
 
 
 def confirmed(placed: DataFrame, texts: DataFrame) -> DataFrame:
-    """``(row, n_hit, classes)`` of documents that hold a window, word for word, stored."""
+    """``(row, n_hit, classes)`` of documents that hold a window, word for word, stored.
+
+    Only texts with candidates are shuffled where the list of those is small enough to
+    be sent to all tasks; it is counted, and beyond the bound both sides are shuffled.
+    """
+    rows = placed.select(ROW)
+    if placed.count() <= BROADCAST_ROWS:
+        texts = texts.join(F.broadcast(rows), ROW, "left_semi")
     words = texts.select(ROW, F.split("words", " ").alias("words"))
     held = F.filter(
         "placed",
