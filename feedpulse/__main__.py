@@ -1,7 +1,9 @@
-"""Jobs for ``spark-submit``: feed, scoring and panels.
+"""Jobs for ``spark-submit``: feed, scoring, rollup, maintenance and panels.
 
     python -m feedpulse feed --option subscribe=raw --sink-option topic=posts --checkpoint /cp
     python -m feedpulse score --format text --option path=/in --out /data --checkpoint /cp
+    python -m feedpulse rollup --out /data --checkpoint /cp2
+    python -m feedpulse maintain --out /data --days 30
     python -m feedpulse panels --out /data
 
 Sources, places, communities and models are arguments; nothing is fixed here.
@@ -18,8 +20,11 @@ from feedpulse.operators.scoring import LexiconScorer, ModelScorer
 from feedpulse.plans.panels import dashboard
 from feedpulse.sources.feed import read_posts_stream
 from feedpulse.sources.messages import parse_posts
-from feedpulse.sources.table import scan_posts
-from feedpulse.streaming.jobs import StreamReporter, await_stream, read_rollup, run_feed, run_stream
+from feedpulse.sources.commits import CommitLog
+from feedpulse.sources.table import RETENTION_DAYS, drop_expired, scan_posts
+from feedpulse.sources.tiers import compact_windows
+from feedpulse.streaming.jobs import StreamReporter, await_stream, run_feed, run_stream
+from feedpulse.streaming.rollup import read_rollup, run_rollup
 
 
 def pairs(values: list[str] | None) -> dict[str, str]:
@@ -50,6 +55,13 @@ def arguments() -> argparse.ArgumentParser:
         job.add_argument("--language", default=None)
         job.add_argument("--max-per-batch", type=int)
         job.add_argument("--once", action="store_true", help="drain the source and stop")
+    rollup = jobs.add_parser("rollup", help="keeps the rollup of a scored table")
+    rollup.add_argument("--checkpoint", required=True)
+    rollup.add_argument("--once", action="store_true", help="catch up and stop")
+    maintain = jobs.add_parser("maintain", help="drops expired days, compacts past hours")
+    maintain.add_argument("--days", type=int, default=RETENTION_DAYS)
+    for job in (rollup, maintain):
+        job.add_argument("--out", required=True)
     panels = jobs.add_parser("panels", help="shows all panels of a scored table")
     panels.add_argument("--out", required=True)
     panels.add_argument("--posts", action="store_true", help="read the posts, not the rollup")
@@ -66,6 +78,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             print(name)
             panel.show(truncate=80)
         return
+    if args.job == "maintain":
+        drop_expired(spark, f"{args.out}/posts", args.days)
+        compact_windows(spark, args.out)
+        CommitLog(spark, args.out).vacuum()
+        return
+    if args.job == "rollup":
+        await_stream(
+            run_rollup(spark, args.out, args.checkpoint, {"availableNow": True} if args.once else None)
+        )
+        return
     stream = read_posts_stream(
         spark, args.format, max_per_batch=args.max_per_batch, **pairs(args.option)
     )

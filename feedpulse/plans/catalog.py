@@ -53,8 +53,10 @@ from feedpulse.sources.messages import (
     split_valid,
     to_messages,
 )
+from feedpulse.sources.commits import CommitLog
 from feedpulse.sources.table import (
     compact,
+    drop_expired,
     ensure_table,
     latest_per_key,
     latest_posts,
@@ -64,16 +66,17 @@ from feedpulse.sources.table import (
     upsert_posts,
     with_layout_columns,
 )
+from feedpulse.sources.tiers import compact_windows
 from feedpulse.streaming.jobs import (
     StreamReporter,
     await_stream,
     batch_writer,
     read_folder,
-    read_rollup,
     refresh_rollups,
     run_feed,
     run_stream,
 )
+from feedpulse.streaming.rollup import read_late, read_rollup, read_trend, run_rollup, run_trend
 
 # The time all written batches of a query carry, so that results repeat.
 AS_OF = datetime(2024, 2, 10)
@@ -294,12 +297,106 @@ def stream_resent_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     write(to_messages(posts), 0)
     write(to_messages(edited), 1)
     write(to_messages(edited), 1)
+    await_stream(run_rollup(spark, path, f"{path}/rollup-checkpoint", {"availableNow": True}))
     rollup = read_rollup(spark, f"{path}/rollup")
     return rollup.groupBy("subreddit", "sentiment_label").agg(
         F.sum("posts").alias("posts"), F.round(F.sum("score_sum"), 4).alias("score_sum")
     )
 
 
+NOW = {"availableNow": True}
+
+
+def _message_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All events as messages, and the errors among them again under another title."""
+    events = _events_as_posts(spark, sf_dir, "").drop("sentiment_label", "sentiment_score")
+    events = events.select("id", "created_at", "subreddit", "title", "text", "type")
+    again = events.where("title = 'error'").withColumn("title", F.lit("best"))
+    return to_messages(events), to_messages(again)
+
+
+def retained_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup after the day of the first batch was dropped and its errors came again.
+
+    Kept by the ledger stream, which is stopped and started between the steps.
+    """
+    path = shared_folder(spark, "retained")
+    first, again = _message_batches(spark, sf_dir)
+
+    def catch_up() -> None:
+        await_stream(run_rollup(spark, path, f"{path}/rollup-checkpoint", NOW))
+
+    batch_writer(path, as_of=AS_OF - timedelta(days=40))(first, 0)
+    catch_up()
+    batch_writer(path, as_of=AS_OF - timedelta(days=20))(again, 1)
+    catch_up()
+    drop_expired(spark, f"{path}/posts", 30, AS_OF)
+    batch_writer(path, as_of=AS_OF)(again, 2)
+    catch_up()
+    rollup = read_rollup(spark, f"{path}/rollup")
+    table = rollup_posts(scan_posts(spark, f"{path}/posts"))
+    sums = [F.sum("posts").alias("posts"), F.round(F.sum("score_sum"), 4).alias("score_sum")]
+    keys = ["bucket", "subreddit", "sentiment_label"]
+    both = rollup.groupBy(*keys).agg(*sums).join(
+        table.groupBy(*keys).agg(F.sum("posts").alias("stored")), keys, "full"
+    )
+    return both.select(_ntz("bucket"), "subreddit", "sentiment_label", "posts", "stored", "score_sum")
+
+
+def stream_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarter hours by watermark, with a tenth of the events a batch too late.
+
+    Events come in order in the first batch, those with numbers that end in 7 in the
+    second one. What is over then, in counts and as late posts.
+    """
+    path = shared_folder(spark, "trend")
+    events = _events_as_posts(spark, sf_dir, "POSITIVE")
+    late = F.endswith("id", F.lit("7"))
+    for number, part in enumerate([events.where(~late), events.where(late)]):
+        upsert_posts(part, number, f"{path}/posts", AS_OF)
+        await_stream(run_trend(spark, path, f"{path}/trend-checkpoint", trigger=NOW))
+    closed = read_trend(spark, f"{path}").select("bucket", F.lit(False).alias("late"), "posts", "score_sum")
+    too_late = read_late(spark, f"{path}").select(
+        floor_ts(F.col("created_at"), "15 minutes").cast("timestamp").alias("bucket"),
+        F.lit(True).alias("late"),
+        F.lit(1).cast("long").alias("posts"),
+        F.col("sentiment_score").alias("score_sum"),
+    )
+    return (
+        closed.union(too_late)
+        .groupBy("bucket", "late")
+        .agg(F.sum("posts").alias("posts"), F.round(F.sum("score_sum"), 4).alias("score_sum"))
+        .select(_ntz("bucket"), "late", "posts", "score_sum")
+    )
+
+
+def compacted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six batches in two hours, one of them and its rollup compacted while the rest waits.
+
+    The table, the log of batches and the number of folders that count, before and after.
+    """
+    path = shared_folder(spark, "windows")
+    first, again = _message_batches(spark, sf_dir)
+    hours = [AS_OF, AS_OF + timedelta(hours=1)]
+    for number in range(6):
+        batch_writer(path, as_of=hours[number // 4])(again if number % 2 else first, number)
+    log = CommitLog(spark, path)
+    before = log.snapshot()
+    compact_windows(spark, path, hours[1] + timedelta(minutes=30))
+    after = log.snapshot()
+    posts = scan_posts(spark, f"{path}/posts").agg(
+        F.count("*").alias("posts"), F.countDistinct("id").alias("ids"), F.count_if(F.col("title") == "best").alias("best")
+    )
+    old = scan_posts(spark, f"{path}/posts", as_of=before.number).agg(F.count("*").alias("posts_before"))
+    lines = read_folder(spark, f"{path}/batch_log").agg(
+        F.countDistinct("batch_id").alias("batches"), F.sum("rows_in").alias("rows_in")
+    )
+    folders = spark.range(1).select(
+        F.lit(len(before.of("posts"))).alias("folders_before"), F.lit(len(after.of("posts"))).alias("folders")
+    )
+    return posts.crossJoin(old).crossJoin(lines).crossJoin(folders)
+
+
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four files of messages, one a batch, and the stored progress of the stream."""
     path = shared_folder(spark, "progress")
@@ -764,4 +861,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_resent_rollup": stream_resent_rollup,
     "stream_progress": stream_progress,
     "dashboard_panels": dashboard_panels,
+    "retained_rollup": retained_rollup,
+    "stream_trend": stream_trend,
+    "compacted_windows": compacted_windows,
 }

@@ -423,4 +423,24 @@ UNION ALL SELECT 'trend', count(DISTINCT date_trunc('week', created_at)) FROM vi
 UNION ALL SELECT 'trend_summary', count(DISTINCT date_trunc('week', created_at)) FROM view
 UNION ALL SELECT 'summary', count(*) FROM view
 UNION ALL SELECT 'recent_posts', least(10, count(*)) FROM view""",
+    "retained_rollup": """
+SELECT time_bucket(INTERVAL '15 minutes', date_trunc('second', ts)) AS bucket,
+       'events' AS subreddit, 'POSITIVE' AS sentiment_label,
+       count(*) AS posts, count(*) AS stored, round(count(*) * 1.0::DOUBLE, 4) AS score_sum
+FROM events WHERE event_type = 'error' GROUP BY 1""",
+    "stream_trend": """
+WITH e AS (
+  SELECT time_bucket(INTERVAL '15 minutes', date_trunc('second', ts)) AS bucket, value,
+         event_id % 10 = 7 AS second_batch, date_trunc('second', ts) AS t FROM events),
+over AS (
+  SELECT max(t) FILTER (WHERE NOT second_batch) - INTERVAL '1 hour' AS first,
+         max(t) - INTERVAL '1 hour' AS last FROM e)
+SELECT bucket, second_batch AND bucket + INTERVAL '15 minutes' <= first AS late,
+       count(*) AS posts, round(sum(value), 4) AS score_sum
+FROM e, over WHERE bucket + INTERVAL '15 minutes' <= last GROUP BY 1, 2""",
+    "compacted_windows": """
+WITH n AS (
+  SELECT count(*) AS n, count(*) FILTER (WHERE event_type = 'error') AS e FROM events)
+SELECT n AS posts, n AS ids, e AS best, n AS posts_before, 6::BIGINT AS batches,
+       (3 * n + 3 * e)::BIGINT AS rows_in, 6 AS folders_before, 3 AS folders FROM n""",
 }

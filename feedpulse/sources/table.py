@@ -20,6 +20,7 @@ from feedpulse.schema import (
     TABLE_PARTITIONS,
     TABLE_SCHEMA,
 )
+from feedpulse.sources.commits import committed, committed_rows, files
 from feedpulse.sources.messages import POSITION_COLUMNS
 
 RETENTION_DAYS = 30
@@ -106,15 +107,16 @@ def upsert_posts(
     _write_folder(layout(versioned), path, batch_id)
 
 
-def _folder(spark: SparkSession, path: str):
-    """File system and path object for ``path``."""
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
+def read_versions(spark: SparkSession, path: str, as_of: int | None = None) -> DataFrame:
+    """All stored rows, superseded ones included; none where nothing was stored.
 
-
-def read_versions(spark: SparkSession, path: str) -> DataFrame:
-    """All stored rows, superseded ones included; none where nothing was stored."""
-    fs, folder = _folder(spark, path)
+    Where a job keeps a commit log next to the table, the rows of the last commit or of
+    commit ``as_of``.
+    """
+    rows = committed_rows(spark, path, as_of, TABLE_SCHEMA)
+    if rows is not None:
+        return rows
+    fs, folder = files(spark, path)
     if not fs.exists(folder):
         return spark.createDataFrame([], TABLE_SCHEMA)
     return spark.read.schema(TABLE_SCHEMA).parquet(path)
@@ -122,6 +124,9 @@ def read_versions(spark: SparkSession, path: str) -> DataFrame:
 
 def next_version(spark: SparkSession, path: str) -> int:
     """The batch number from which a stream with a new checkpoint may go on."""
+    found = committed(spark, path)
+    if found:
+        return found[1].last_batch + 1
     newest = read_versions(spark, path).agg(F.max("version")).first()[0]
     return 0 if newest is None else newest + 1
 
@@ -148,14 +153,15 @@ def scan_posts(
     limit: int | None = None,
     since: datetime | None = None,
     retention_days: int | None = None,
+    as_of: int | None = None,
 ) -> DataFrame:
     """The read view of the table, whole unless limited.
 
     ``since`` keeps posts created then or later, whenever they were stored.
     ``retention_days`` hides posts written longer ago. The limited rows are the
-    newest, ties by id.
+    newest, ties by id. ``as_of`` is a commit, for the table after it.
     """
-    latest = latest_posts(read_versions(spark, path))
+    latest = latest_posts(read_versions(spark, path, as_of))
     if retention_days is not None:
         latest = retain(latest, retention_days)
     view = posts_view(latest)
@@ -216,23 +222,35 @@ def drop_expired(
     Works on folder names alone, one batch folder at a time, so the driver holds the
     days of one batch. Rows of the day in which the horizon falls stay until the
     next call and are hidden by :func:`retain`.
+
+    Where a job keeps a commit log, the days go by one commit, from the table and from
+    the rollup beside it, whose rows carry the day of the post they count; what is
+    deleted afterwards has no reader any more.
     """
     last = spark.range(1).select(F.to_date(_horizon(days, as_of))).first()[0]
-    fs, folder = _folder(spark, path)
-    dropped = 0
-    batches = fs.listStatusIterator(folder)
-    while batches.hasNext():
-        batch = batches.next().getPath()
-        if not batch.getName().startswith("batch_id="):
+    found = committed(spark, path)
+    tables = [path]
+    if found:
+        found[0].commit(dropped_before=last)
+        tables.append(f"{found[0].base}/rollup")
+    dropped = [0, 0]
+    for k, table in enumerate(tables):
+        fs, folder = files(spark, table)
+        if not fs.exists(folder):
             continue
-        inside = fs.listStatusIterator(batch)
-        while inside.hasNext():
-            day = inside.next().getPath()
-            name, _, value = day.getName().partition("=")
-            if name == "dt" and value[:1].isdigit() and date.fromisoformat(value) < last:
-                fs.delete(day, True)
-                dropped += 1
-    return dropped
+        batches = fs.listStatusIterator(folder)
+        while batches.hasNext():
+            batch = batches.next().getPath()
+            if "=" not in batch.getName():
+                continue
+            inside = fs.listStatusIterator(batch)
+            while inside.hasNext():
+                day = inside.next().getPath()
+                name, _, value = day.getName().partition("=")
+                if name == "dt" and value[:1].isdigit() and date.fromisoformat(value) < last:
+                    fs.delete(day, True)
+                    dropped[k] += 1
+    return dropped[0]
 
 
 def compact(

@@ -11,25 +11,25 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from feedpulse.operators.metrics import as_measures, rollup_posts
+from feedpulse.operators.metrics import rollup_posts
 from feedpulse.operators.scoring import LexiconScorer, Scorer, check_scorer, score_posts
 from feedpulse.operators.view import posts_view
 from feedpulse.schema import POST_COLUMNS
+from feedpulse.sources.commits import CommitLog, committed_rows, hour_of, stream_id
 from feedpulse.sources.feed import clean_feed
 from feedpulse.sources.messages import decode_kafka, parse_posts, split_valid, to_messages
-from feedpulse.sources.table import (
-    latest_per_key,
-    newest_in_batch,
-    read_versions,
-    upsert_posts,
-)
+from feedpulse.sources.table import newest_in_batch, upsert_posts
 
 log = logging.getLogger(__name__)
 
 
 def _replace_folder(df: DataFrame, path: str, batch_id: int) -> None:
-    """Side outputs follow the table's rule: a batch owns its folder."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    """Side outputs follow the table's rule: a batch owns its folder.
+
+    The number is also a column of the rows, which may move to another folder later.
+    """
+    numbered = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    numbered.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def batch_writer(
@@ -41,21 +41,24 @@ def batch_writer(
     scorer_partitions: int | None = None,
     first_batch: int = 0,
     as_of: datetime | None = None,
-    rollup: bool = True,
 ) -> Callable[[DataFrame, int], None]:
     """The function run on each micro-batch of messages.
 
-    Under ``path`` it writes the folders ``posts``, ``rollup`` (unless turned off),
-    ``batch_log`` and, where there are bad messages, ``dead_letters``. Nothing is
-    kept in memory: posts are parsed, reduced to one per id, scored and written in
-    one pass, on which the rows are counted; bad messages are read again only if
-    there are some. Of all rows the driver sees three counts. The reduction moves the
+    Under ``path`` it writes the folders ``posts``, ``batch_log`` and, where there are
+    bad messages, ``dead_letters``, and last a commit, without which none of them is
+    read: after a crash in between, readers see the state before. A batch that the
+    stream committed before is not done again.
+
+    Nothing is kept in memory: posts are parsed, reduced to one per id, scored and
+    written in one pass, on which the rows are counted; bad messages are read again only
+    if there are some. Of all rows the driver sees three counts. The reduction moves the
     batch once, which also spreads it over the tasks; ``scorer_partitions`` fixes
     their number for a slow model.
 
     Batch numbers are versions, and one stream owns ``path``. A stream that lost
-    its checkpoint counts from 0 again; ``first_batch=next_version(...)`` makes it
-    go on after what is stored instead of over it.
+    its checkpoint counts from 0 again, which is an error here;
+    ``first_batch=next_version(...)`` makes it go on after what is stored. Called on a
+    batch DataFrame, outside of a stream, a number that is stored is written anew.
     """
     scorer = scorer or LexiconScorer()
 
@@ -64,6 +67,19 @@ def batch_writer(
         if batch.isEmpty():
             log.info("batch %s is empty", batch_id)
             return
+        session = batch.sparkSession
+        commits, stream = CommitLog(session, path), stream_id(session)
+        state = commits.snapshot()
+        own = [f"{t}/batch_id={batch_id}" for t in ("posts", "batch_log", "dead_letters")]
+        stored = [f for f in own if f in state.folders]
+        before = state.streams.get(stream)
+        if stream and batch_id == before:
+            log.info("batch %s was committed before", batch_id)
+            return
+        if stream and batch_id <= (state.last_batch if before is None else before):
+            raise ValueError(f"{path} has batches up to {state.last_batch}: set first_batch to go on")
+        if stored:
+            commits.commit(remove=stored)
         read, written = Observation(), Observation()
         parsed = parse_posts(decode_kafka(batch).drop("key")).observe(
             read, F.count(F.lit(1)).alias("rows_in"), F.count("id").alias("rows_valid")
@@ -75,9 +91,6 @@ def batch_writer(
             posts = posts.repartition(scorer_partitions, "id")
         scored = score_posts(posts, scorer).observe(written, F.count(F.lit(1)).alias("rows"))
         upsert_posts(scored, batch_id, f"{path}/posts", as_of)
-        if rollup:
-            stored = read_versions(batch.sparkSession, f"{path}/posts")
-            _replace_folder(rollup_of_batch(stored, batch_id), f"{path}/rollup", batch_id)
         dead = read.get["rows_in"] - read.get["rows_valid"]
         if dead:
             unparsed = parse_posts(decode_kafka(batch).drop("key"))
@@ -88,47 +101,17 @@ def batch_writer(
             "rows_dead": dead,
             "rows_written": written.get["rows"],
         }
-        line = batch.sparkSession.range(1).select(
+        line = session.range(1).select(
             *[F.lit(n).cast("long").alias(c) for c, n in counts.items()],
             F.current_timestamp().alias("logged_at"),
         )
         _replace_folder(line.coalesce(1), f"{path}/batch_log", batch_id)
+        hour = hour_of(as_of)
+        commits.commit({f: hour for f in own[: 3 if dead else 2]}, None, stream, batch_id)
 
     return process_batch
 
 
-def rollup_of_batch(stored: DataFrame, batch_id: int) -> DataFrame:
-    """What a batch changes in the rollup: its posts, less the rows they replace.
-
-    ``stored`` is the table with the batch in it. Rows that a re-sent id had before
-    are found by a join on the ids of the batch, which reads the narrow columns of
-    the table only. Parts add up to the rollup of the table, also where a batch was
-    replayed; ``first_post`` and ``last_post`` of a group are then those of all posts
-    it ever held.
-    """
-    narrow = stored.select(
-        "id",
-        "created_at",
-        "subreddit",
-        F.lit(None).cast("string").alias("title"),
-        F.lit(None).cast("string").alias("text"),
-        "type",
-        "sentiment_label",
-        "sentiment_score",
-        "version",
-        "batch_id",
-    )
-    new = narrow.where(F.col("batch_id") == batch_id)
-    older = narrow.where((F.col("version") < batch_id) & (F.col("batch_id") != batch_id))
-    replaced = latest_per_key(older.join(new.select("id"), "id", "left_semi"), "id", "version")
-    signed = as_measures(posts_view(new)).unionByName(
-        as_measures(posts_view(replaced)).withColumns(
-            {c: -F.col(c) for c in ("posts", "scored", "score_sum")}
-        )
-    )
-    return rollup_posts(signed)
-
-
 def run_stream(
     messages: DataFrame,
     path: str,
@@ -190,8 +173,9 @@ def await_stream(query: StreamingQuery, timeout: float | None = None) -> None:
 
 
 def read_folder(spark: SparkSession, path: str) -> DataFrame:
-    """A side output (dead letters, batch log) over all batches."""
-    return spark.read.parquet(path)
+    """A side output (dead letters, batch log) over all committed batches."""
+    rows = committed_rows(spark, path, folder_columns=False)
+    return spark.read.parquet(path) if rows is None else rows
 
 
 def refresh_rollups(
@@ -199,10 +183,10 @@ def refresh_rollups(
 ) -> StreamingQuery:
     """Keeps a rollup table current from any stream of scored posts, each sent once.
 
-    Each batch writes the rollup of its own rows; :func:`read_rollup` adds them up.
-    Nothing is kept between batches, so the job has no state to outgrow, and a
-    replayed batch replaces its own part. Where posts are re-sent use the rollup that
-    the scoring job writes: it knows what a post counted for before.
+    Each batch writes the rollup of its own rows, and readers add them up. Nothing is
+    kept between batches, so the job has no state to outgrow, and a replayed batch
+    replaces its own part. Where posts are re-sent use ``rollup.run_rollup``, which
+    knows what a post counted for before.
     """
 
     def write_part(batch: DataFrame, batch_id: int) -> None:
@@ -217,11 +201,6 @@ def refresh_rollups(
     )
 
 
-def read_rollup(spark: SparkSession, path: str) -> DataFrame:
-    """The rollup of all batches, ready for any panel; groups without posts are gone."""
-    return rollup_posts(spark.read.parquet(path)).where(F.col("posts") > 0)
-
-
 PROGRESS = "event string, query string, batch_id long, rows long, rows_per_second double, millis long, error string, at timestamp"
 
 
