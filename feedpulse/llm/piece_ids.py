@@ -26,14 +26,17 @@ from feedpulse.llm.common import documents, text_or_empty
 
 # Fixed value: the mark that stands for a space.
 MARK = "▁"
+#: Characters of a word that is remembered; texts without spaces are one long word.
+REMEMBERED = 32
 CHUNKS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
 class PieceTable:
     """Encoder for one merge-type model file, equal to the library's.
 
-    ``limit`` bounds the words and the pairs that are remembered. They are forgotten
-    when there are more, which costs time and changes no result.
+    ``limit`` bounds the words that are remembered, each of ``REMEMBERED`` characters at
+    most, and half of it the pairs: about 250 MB in all. They are forgotten when there are
+    more, which costs time and changes no result.
     """
 
     def __init__(self, path: str, limit: int = 800_000):
@@ -146,7 +149,7 @@ class PieceTable:
                 latest, right = rank[right] + 1, parts[right][0]
             else:
                 break
-        if len(self.fits) > self.limit:
+        if len(self.fits) > self.limit // 2:
             self.fits.clear()
         self.fits[key] = verdict
         return verdict
@@ -196,14 +199,17 @@ class PieceTable:
         return self.table(chunk)
 
     def word(self, word: str) -> bytes:
-        """Ids, as little-endian 32-bit numbers, of a word mark and ``word``."""
-        if len(word) > 2 and word[-2:] not in self.pairs and word[-1] != MARK:
-            # No piece spans the last two characters.
-            head = self.words.get(word[:-1])
-            if head is None:
-                head = self.words[word[:-1]] = self.word(word[:-1])
-            return head + self._raw(self.chunk(word[-1]))
-        return self._raw(self.chunk(MARK + word))
+        """Ids, as little-endian 32-bit numbers, of a word mark and ``word``.
+
+        Between two characters that stand side by side in no piece nothing is merged, so
+        the word is cut there and each part encoded by itself.
+        """
+        pairs, ids, start, whole = self.pairs, [], 0, MARK + word
+        for k in range(2, len(whole)):
+            if whole[k - 1 : k + 1] not in pairs:
+                ids += self.chunk(whole[start:k])
+                start = k
+        return self._raw(ids + self.chunk(whole[start:]))
 
     @staticmethod
     def _raw(ids: list[int]) -> bytes:
@@ -215,14 +221,17 @@ class PieceTable:
         if "  " in text or MARK in text or text[0] == " " or text[-1] == " ":
             chunks = CHUNKS.findall(MARK + text.replace(" ", MARK))
             return np.array([i for c in chunks for i in self.chunk(c)], "<i4")
-        words = self.words
-        if len(words) > self.limit:
-            words.clear()
-        split = text.split(" ")
-        for w in split:
-            if w not in words:
-                words[w] = self.word(w)
-        return np.frombuffer(b"".join([words[w] for w in split]), "<i4")
+        words, raw = self.words, []
+        for word in text.split(" "):
+            own = words.get(word)
+            if own is None:
+                own = self.word(word)
+                if len(word) <= REMEMBERED:
+                    if len(words) > self.limit:
+                        words.clear()
+                    words[word] = own
+            raw.append(own)
+        return np.frombuffer(b"".join(raw), "<i4")
 
     def decode(self, ids: np.ndarray) -> str:
         return self.library.decode(ids.tolist())

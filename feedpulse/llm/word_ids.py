@@ -25,13 +25,15 @@ WHOLE = re.compile("[\x1c-\x1f\x85\u180e]|<\\|(?:start|end)oftext\\|>")
 #: Words of all else, in lower case.
 PLAIN = re.compile("[a-zß-öø-ÿ]+|[!-&(-/:-@\\[-`{-~]+|[0-9]")
 END = "</w>"
+#: Characters of a word that is kept; texts without spaces are one long word.
+REMEMBERED = 32
 
 
 class WordIds:
     """Little-endian unsigned 32-bit ids of texts, as bytes.
 
-    ``limit`` bounds the words kept; beyond it the memory is emptied, which costs
-    time and changes no result.
+    ``limit`` bounds the words kept, of ``REMEMBERED`` characters at most; beyond it the
+    memory is emptied, which costs time and changes no result.
     """
 
     def __init__(self, path: str, limit: int = 800_000):
@@ -59,7 +61,7 @@ class WordIds:
     def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self.words) > self.limit:
             self.words.clear()
-        known, split = self.words, []
+        known, split, others = self.words, [], []
         for text in texts:
             if not ODD.search(text) and "<|" not in text:
                 split.append(PLAIN.findall(text.lower()))
@@ -72,16 +74,20 @@ class WordIds:
             for other, plain in zip(parts[1::2], parts[2::2]):
                 if other not in known:
                     known[other] = self._whole(other)
+                    others.append(other)
                 words.append(other)
                 words += PLAIN.findall(plain.lower())
             split.append(words)
         new = set().union(*[set(ws).difference(known) for ws in split if ws])
         if new:
             self._learn(list(new))
-        return [
+        encoded = [
             self._whole(text) if ws is None else b"".join(map(known.__getitem__, ws))
             for text, ws in zip(texts, split)
         ]
+        for word in [w for w in (*others, *new) if len(w) > REMEMBERED]:
+            known.pop(word, None)
+        return encoded
 
     def _whole(self, text: str) -> bytes:
         encoded = self.library.encode_batch_fast([text], add_special_tokens=False)

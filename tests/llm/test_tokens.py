@@ -62,6 +62,33 @@ def test_piece_ids_equal_the_library(pieces, texts):
         assert pieces.encode(text).tolist() == pieces.library.encode(text), repr(text[:80])
 
 
+UNSPACED = {
+    "chinese": "学而时习之不亦说乎有朋自远方来",
+    "thai": "ภาษาไทยเป็นภาษาที่ไม่เว้นวรรค",
+    "emoji": "😀🎉🚀👩‍👩‍👧🇩🇪",
+    "signs": "a%",
+    "letters": "straße",
+}
+
+
+@pytest.mark.parametrize("kind", UNSPACED)
+def test_long_texts_without_spaces(pieces, words, kind):
+    text = (UNSPACED[kind] * 20_000)[:20_000]
+    assert pieces.encode(text).tolist() == pieces.library.encode(text)
+    assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == library_ids(words, text)
+
+
+def test_unspaced_texts_are_not_kept():
+    """Only short words are remembered, so a worker's memory is bounded."""
+    pieces, words = PieceTable(default_model()), WordIds(default_tokenizer())
+    rng = np.random.default_rng(11)
+    for _ in range(300):
+        text = "".join(map(chr, rng.integers(0x4E00, 0x9000, 300))) + " and some"
+        assert pieces.encode(text).tolist() == pieces.library.encode(text)
+        assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == library_ids(words, text)
+    assert len(pieces.words) == 2 and len(words.words) == 2
+
+
 def test_piece_ids_when_memory_is_short(texts):
     own = PieceTable(default_model(), limit=5)
     for text in list(texts.values())[:20]:
