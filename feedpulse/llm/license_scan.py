@@ -1,12 +1,16 @@
 """License scan: phrases, and an exact set-similarity join with license templates.
 
-A text block (a paragraph) matches a template where it holds at least ``CONTAINED`` of
-the template's distinct words. The join finds every such pair without comparing all:
+A text block matches a template where it holds at least ``CONTAINED`` of the template's
+distinct words. Blocks are paragraphs; one of more than ``BLOCK`` words is cut into blocks
+of that length that overlap by half, so any notice of half the length lies whole in one,
+and words strewn over a long paragraph make no match. Texts are split into words once,
+and what the join needs of them is stored. It finds every pair without comparing all:
 
-* words are ordered by how many blocks of the corpus hold them, rarest first;
+* words are ordered by how many blocks hold them, rarest first;
 * prefix filter: with ``o`` words required of ``t``, one of the rarest ``t - o + 1``
   words of the template must be in the block, so blocks are looked up by those only;
-* length filter: the block must hold ``o`` words of the templates' vocabulary;
+* length filter: the block must hold ``o`` words of the templates' vocabulary; those with
+  fewer than any template requires are not stored in the first place;
 * positional filter: at a word that a pair shares, the words before it and those from
   it on, of the side that has fewer, must suffice for ``o``.
 
@@ -21,7 +25,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedpulse.llm.common import ROW, documents, row_key, text_or_empty
+from feedpulse.llm.common import ROW, documents, text_or_empty, written
 
 # Words, and the base phrases with their labels.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -86,6 +90,7 @@ TEMPLATES = (
     ("unlicense", "This is free and unencumbered software released into the public domain"),
 )
 CONTAINED = 0.9
+BLOCK = 128
 
 
 def template_words(text: str) -> list[str]:
@@ -93,26 +98,38 @@ def template_words(text: str) -> list[str]:
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), 0)
+    """The words of ``text``, split at all that is in none."""
+    return F.array_remove(F.split(text, f"{NO_WORD}+"), "")
 
 
-def blocks_of(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """``(row, block, held)``: the distinct template words of each paragraph with some.
+def least_shared(size: int, contained: float = CONTAINED) -> int:
+    return math.ceil(contained * size - 1e-9)
 
-    Paragraphs are what blank lines separate. ``docs`` has a row key and ``text``.
+
+def blocks_of(paragraphs: Column, vocabulary: list[str], least: int) -> Column:
+    """The distinct template words of each block that holds ``least`` or more.
+
+    ``paragraphs`` are arrays of words; what is too short to matter goes before blocks
+    are cut.
     """
-    paragraphs = docs.select(
-        ROW, F.posexplode(F.split("text", r"\n[\x20\t\r]*\n")).alias("block", "body")
+    wanted = F.array(*[F.lit(w) for w in vocabulary])
+    likely = F.filter(paragraphs, lambda ws: F.size(F.array_intersect(ws, wanted)) >= least)
+    cut = F.transform(
+        likely,
+        lambda ws: F.transform(
+            F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(ws) - BLOCK // 2), F.lit(BLOCK // 2)),
+            lambda start: F.slice(ws, start, BLOCK),
+        ),
     )
-    held = F.array_intersect(words_of(F.lower("body")), F.array(*[F.lit(w) for w in vocabulary]))
-    return paragraphs.select(ROW, "block", held.alias("held")).where(F.size("held") > 0)
+    held = F.transform(F.flatten(cut), lambda ws: F.array_intersect(ws, wanted))
+    return F.filter(held, lambda ws: F.size(ws) >= least)
 
 
 def word_order(blocks: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     """Rank of each template word by the number of blocks that hold it, rarest first.
 
-    Counted over all blocks; only the templates' words are counted, as no other can
-    be shared. The result has one row per template word.
+    Counted over all blocks with words enough to match; only the templates' words are
+    counted, as no other can be shared. The result has one row per template word.
     """
     counts = {
         r["word"]: r["count"]
@@ -133,7 +150,7 @@ def join_templates(
     prefixes, sets = [], []
     for no, (_, text) in enumerate(templates):
         own = sorted(template_words(text), key=order.get)
-        least = math.ceil(contained * len(own) - 1e-9)
+        least = least_shared(len(own), contained)
         sets.append((no, own, least))
         for place in range(len(own) - least + 1):
             prefixes.append((own[place], no, place, len(own), least))
@@ -191,28 +208,39 @@ def scan_licenses(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     Columns ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels,
     score``. ``score`` is 1 for a phrase, else the largest containment that met the
     threshold, else 0. Null texts count as empty. Null ids are kept, repeated rows
-    come as often, other columns are not read. ``docs`` should be a stored table: it
-    is read once to order the words, once to join.
+    come as often, other columns are not read. A text is read and split once; words,
+    of texts with a phrase, and blocks, of those that may match, are stored by row.
     """
-    own = row_key(docs).select(
-        ROW, F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text")
-    )
+    lowered = F.translate(text_or_empty(text), UPPER, UPPER.lower())
+    paragraphs = F.transform(F.split(lowered, r"\n[\x20\t\r]*\n"), words_of)
     vocabulary = sorted({w for _, t in TEMPLATES for w in template_words(t)})
-    blocks = blocks_of(own, vocabulary)
+    least = min(least_shared(len(template_words(t))) for _, t in TEMPLATES)
+    # Few texts hold a phrase; only their words are put in order.
+    likely = "|".join(p.replace(" ", f"{NO_WORD}+") for p in PHRASES)
+    split = docs.select(
+        F.monotonically_increasing_id().alias(ROW),
+        F.col(doc_id).cast("long").alias("doc_id"),
+        F.rlike(lowered, F.lit(f"(?:{likely})")).alias("likely"),
+        paragraphs.alias("paragraphs"),
+    )
+    own = written(
+        split.select(
+            ROW,
+            "doc_id",
+            F.aggregate("paragraphs", F.lit(0), lambda n, ws: n + F.size(ws)).cast("long").alias("n_words"),
+            F.when(F.col("likely"), F.flatten("paragraphs")).alias("words"),
+            blocks_of(F.col("paragraphs"), vocabulary, least).alias("blocks"),
+        ),
+        "license-words",
+    )
+    blocks = own.where(F.size("blocks") > 0).select(ROW, F.posexplode("blocks").alias("block", "held"))
     matches = join_templates(blocks, word_order(blocks, vocabulary))
     names = F.create_map(*[F.lit(x) for no, (label, _) in enumerate(TEMPLATES) for x in (no, label)])
     matches = matches.groupBy(ROW).agg(
         F.collect_set(names[F.col("template")]).alias("found"), F.max("containment").alias("best")
     )
 
-    # Few texts hold a phrase; only their words are put in order.
-    likely = "|".join(p.replace(" ", f"{NO_WORD}+") for p in PHRASES)
-    words = F.when(
-        F.rlike("text", F.lit(f"(?i)(?:{likely})")), words_of(F.translate("text", UPPER, UPPER.lower()))
-    )
-    based = own.select(
-        ROW, "doc_id", F.size(words_of(F.col("text"))).cast("long").alias("n_words"), words.alias("words")
-    )
+    based = own.select(ROW, "doc_id", "n_words", "words")
     based = based.withColumn(
         "places",
         F.when(

@@ -2,9 +2,11 @@ import re
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 
 from feedpulse.llm.common import row_key
 from feedpulse.llm.license_scan import (
+    BLOCK,
     CONTAINED,
     PHRASES,
     TEMPLATES,
@@ -14,6 +16,7 @@ from feedpulse.llm.license_scan import (
     scan_licenses,
     template_words,
     word_order,
+    words_of,
 )
 
 
@@ -33,15 +36,17 @@ def base(text):
 
 
 def contained(text):
-    """All matches by comparing every paragraph with every template."""
+    """All matches by comparing every block with every template."""
     found = {}
-    for block in re.split(r"\n[\x20\t\r]*\n", text or ""):
-        own = set(words(block))
-        for no, (_, template) in enumerate(TEMPLATES):
-            need = template_words(template)
-            share = len(own & set(need)) / len(need)
-            if share >= CONTAINED:
-                found[no] = max(found.get(no, 0), share)
+    for paragraph in re.split(r"\n[\x20\t\r]*\n", text or ""):
+        every = words(paragraph)
+        for start in range(0, max(1, len(every) - BLOCK // 2), BLOCK // 2):
+            own = set(every[start : start + BLOCK])
+            for no, (_, template) in enumerate(TEMPLATES):
+                need = template_words(template)
+                share = len(own & set(need)) / len(need)
+                if share >= CONTAINED:
+                    found[no] = max(found.get(no, 0), share)
     return found
 
 
@@ -83,9 +88,11 @@ def test_cases(docs):
 
 
 def test_join_finds_every_pair(docs):
-    own = row_key(docs).select("_llm_row", "text")
+    own = row_key(docs)
     vocabulary = sorted({w for _, t in TEMPLATES for w in template_words(t)})
-    blocks = blocks_of(own, vocabulary)
+    paragraphs = F.transform(F.split(F.lower(F.coalesce("text", F.lit(""))), r"\n[\x20\t\r]*\n"), words_of)
+    held = own.select("_llm_row", F.posexplode(blocks_of(paragraphs, vocabulary, 5)))
+    blocks = held.toDF("_llm_row", "block", "held")
     order = word_order(blocks, vocabulary)
     got = {
         (r["_llm_row"], r.template): r.c
@@ -101,9 +108,28 @@ def test_join_finds_every_pair(docs):
     assert got == want and len(want) >= 6
 
 
+def test_words_strewn_over_a_long_paragraph(make):
+    """They are no notice; a notice amid a long paragraph is one, wherever it stands."""
+    strewn = (" x" * 300).join("licensed under the apache licenses version 2.0 license".split())
+    notice = "licensed under cc by sa 4.0"
+    rows = [(k, "y " * k + notice + " z" * (400 - k)) for k in range(0, 400, 9)] + [(999, strewn)]
+    for r in scan_licenses(make(rows)).collect():
+        assert r.score == 0.0 if r.doc_id == 999 else "cc-by-sa" in r.labels, r.doc_id
+
+
+def test_only_ascii_letters_are_folded(make):
+    rows = [(1, "LICENSED UNDER THE APACHE LICENSE VERSION 2.0"), (2, "lİcensed under cc bY sa")]
+    assert [r.labels for r in scan_licenses(make(rows)).orderBy("doc_id").collect()] == ["apache", "cc-by"]
+
+
 def test_query(spark, small, texts):
     for r in op1_license_scan(spark, small).collect():
-        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == base(texts[r.doc_id])
+        want = base(texts[r.doc_id])
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == want
+        found = contained(texts[r.doc_id])
+        labels = {TEMPLATES[no][0] for no in found} | set(filter(None, want[4].split(",")))
+        assert r.labels == ",".join(sorted(labels))
+        assert r.score == (1.0 if want[1] else max(found.values(), default=0.0))
 
 
 def test_empty_table(make):
