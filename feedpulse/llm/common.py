@@ -48,12 +48,26 @@ def text_or_empty(col: str) -> Column:
 def row_key(docs: DataFrame) -> DataFrame:
     """Adds ``_llm_row``: tells rows apart where ids are null or come twice.
 
-    The key depends on the place of a row in its input, so it is the same in every
-    scan of a stored table. Tables made on the way are stored before they get here.
+    The key depends on how a scan is split, and Spark splits by the cores it has, so two
+    scans may disagree. Use it where rows are read once, or are stored with it:
+    :func:`keyed_rows`.
     """
     return docs.withColumn(ROW, F.monotonically_increasing_id())
 
 
+def keyed_rows(docs: DataFrame, *columns: Column) -> DataFrame:
+    """``columns`` of every row under a row key, stored together: the key stays its own."""
+    return written(docs.select(F.monotonically_increasing_id().alias(ROW), *columns), "rows")
+
+
+def keyed_documents(docs: DataFrame) -> DataFrame:
+    """``(row, doc)``: whole rows of ``docs`` under a row key, stored.
+
+    Within ``doc`` the columns can have any name.
+    """
+    return keyed_rows(docs, F.struct("*").alias("doc"))
+
+
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """``(node, label)`` for every node of ``edges (a, b)``: the least node of its component.
 
@@ -78,15 +92,17 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
             break
         seen = now
         both = stars.union(stars.select(F.col("m").alias("v"), F.col("v").alias("m")))
+        # Stored first: a join with an aggregate is one that Spark can't split.
         least = both.groupBy("v").agg(F.min("m").alias("least"))
-        least = least.select("v", F.least("least", "v").alias("least"))
-        large = (
+        least = written(least.select("v", F.least("least", "v").alias("least")), "least")
+        large = written(
             both.join(least, "v")
             .where(F.col("m") > F.col("v"))
             .select(F.col("m").alias("v"), F.col("least").alias("m"))
-            .distinct()
+            .distinct(),
+            "large-star",
         )
-        lesser = large.groupBy("v").agg(F.min("m").alias("least"))
+        lesser = written(large.groupBy("v").agg(F.min("m").alias("least")), "lesser")
         stars = written(
             large.join(lesser, "v")
             .select(F.col("m").alias("v"), F.col("least").alias("m"))

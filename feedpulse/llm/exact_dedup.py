@@ -9,11 +9,12 @@ index side of that join is read as it lies, without shuffle or sort of old rows.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedpulse.llm.common import ROW, documents, row_key, text_or_empty, written
+from feedpulse.llm.common import ROW, documents, keyed_documents, text_or_empty, written
 from feedpulse.session import shared_folder
 
 # The white space that does not count.
@@ -40,7 +41,7 @@ class DigestIndex:
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.table} "
-            "(digest STRING, keep_id BIGINT, keep_row BIGINT, n_points INT, group_size BIGINT) "
+            "(digest STRING, keep_id BIGINT, group_size BIGINT, batch STRING) "
             f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS "
             f"LOCATION '{path}'"
         )
@@ -48,29 +49,11 @@ class DigestIndex:
     def rows(self) -> DataFrame:
         return self.spark.table(self.table)
 
-    def add(self, rows: DataFrame) -> None:
-        """Appends the digests of ``rows (row, doc_id, digest, n_points)`` that are new.
-
-        Of equal texts the row with most code points stays, then the least
-        ``doc_id`` (null last), then the least row key, so that exactly one of
-        rows that are the same in all columns stays.
-        """
-        best = F.struct(
-            (-F.col("n_points")).alias("n"),
-            F.col("doc_id").isNull().alias("no_id"),
-            F.col("doc_id").alias("id"),
-            F.col(ROW).alias("row"),
-        )
-        groups = rows.groupBy("digest").agg(F.min(best).alias("best"), F.count("*").alias("size"))
+    def add(self, groups: DataFrame, batch: str) -> None:
+        """Appends the ``groups (digest, keep_id, group_size)`` whose digest is new."""
         new = groups.join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
         (
-            new.select(
-                "digest",
-                F.col("best.id").alias("keep_id"),
-                F.col("best.row").alias("keep_row"),
-                (-F.col("best.n")).cast("int").alias("n_points"),
-                F.col("size").alias("group_size"),
-            )
+            new.select("digest", "keep_id", "group_size", F.lit(batch).alias("batch"))
             .repartition(self.buckets, "digest")
             .write.format("parquet")
             .mode("append")
@@ -80,13 +63,19 @@ class DigestIndex:
             .saveAsTable(self.table)
         )
 
+    def close(self) -> None:
+        """Takes the table out of the catalog; the index stays at its path."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
 
-def digests(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def digests(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", row: str | None = None
+) -> DataFrame:
     """``(row, doc_id, digest, n_points)`` of every row, written once; texts stay behind."""
     value = text_or_empty(text)
     return written(
-        row_key(docs).select(
-            ROW,
+        docs.select(
+            (F.col(row) if row else F.monotonically_increasing_id()).alias(ROW),
             F.col(doc_id).cast("long").alias("doc_id"),
             text_digest(value).alias("digest"),
             F.length(value).alias("n_points"),
@@ -96,56 +85,94 @@ def digests(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
 
 
 def dedup_exact(
-    docs: DataFrame, index: DigestIndex, text: str = "text", doc_id: str = "doc_id"
+    docs: DataFrame,
+    index: DigestIndex,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    batch: str | None = None,
+    row: str | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: its group, and whether it stays.
 
     Columns ``_llm_row, doc_id, keep_id, group_size, kept, text_sha256, known``.
-    Null texts count as empty; all empty texts are equal. A digest that the index
-    held before this call (``known``) keeps its old keeper, so no row of this
+    Of equal texts the row with most code points stays, then the least ``doc_id`` (null
+    last), then the least row key, so that exactly one of rows that are the same in all
+    columns stays. Null texts count as empty; all empty texts are equal. A digest that
+    an earlier batch brought (``known``) keeps its old keeper, so no row of this
     batch stays for it. ``group_size`` counts the rows of the batch that brought
     the digest in. Null ids keep their rows. Other columns are not looked at, so
     their names may clash. An empty table gives an empty result.
 
+    ``batch`` names the batch in the index: the same batch again, after a failure that
+    left it there in part or whole, gives the same rows. Without a name each call is a
+    batch of its own. ``row`` names a row key that is stored with ``docs``.
+
     Copies share a digest, and a third of all rows may be one text: groups are
-    counted with map-side combine, and the join back is a plain sort-merge join of
-    narrow rows, which Spark splits where a digest is hot.
+    counted with map-side combine and stored, and rows join what is stored about their
+    digest, in a sort-merge join of narrow rows that Spark splits where one is hot.
     """
-    rows = digests(docs, text, doc_id)
-    # Grows by this batch alone, and holds what earlier batches brought.
-    before = written(
-        rows.select("digest").distinct().join(
-            index.rows().select("digest").hint("merge"), "digest", "left_semi"
+    batch = batch or uuid.uuid4().hex
+    rows = digests(docs, text, doc_id, row)
+    best = F.struct(
+        (-F.col("n_points")).alias("n"),
+        F.col("doc_id").isNull().alias("no_id"),
+        F.col("doc_id").alias("id"),
+        F.col(ROW).alias("row"),
+    )
+    groups = written(
+        rows.groupBy("digest")
+        .agg(F.min(best).alias("best"), F.count("*").alias("group_size"))
+        .select(
+            "digest",
+            F.col("best.id").alias("keep_id"),
+            F.col("best.row").alias("keep_row"),
+            "group_size",
         ),
-        "known-digests",
+        "digest-groups",
     )
-    index.add(rows)
-    out = rows.join(index.rows().hint("merge"), "digest")
-    out = out.join(before.withColumn("known", F.lit(True)), "digest", "left")
-    known = F.coalesce(F.col("known"), F.lit(False))
-    return out.select(
+    old = index.rows().where(F.col("batch") != batch).select(
+        "digest",
+        F.col("keep_id").alias("old_id"),
+        F.col("group_size").alias("old_size"),
+        F.lit(True).alias("known"),
+    )
+    known = F.coalesce("known", F.lit(False))
+    decided = written(
+        groups.join(old.hint("merge"), "digest", "left").select(
+            "digest",
+            F.when(known, F.col("old_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+            F.when(~known, F.col("keep_row")).alias("keep_row"),
+            F.when(known, F.col("old_size")).otherwise(F.col("group_size")).alias("group_size"),
+            known.alias("known"),
+        ),
+        "decided",
+    )
+    index.add(groups, batch)
+    return rows.join(decided, "digest").select(
         ROW,
         "doc_id",
         "keep_id",
         "group_size",
-        (~known & (F.col(ROW) == F.col("keep_row"))).alias("kept"),
+        F.coalesce(F.col(ROW) == F.col("keep_row"), F.lit(False)).alias("kept"),
         F.col("digest").alias("text_sha256"),
-        known.alias("known"),
+        "known",
     )
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = DigestIndex(spark, shared_folder(spark, "digest-index"))
-    return dedup_exact(documents(spark, sf_dir), index).select(
-        "doc_id", "keep_id", "group_size", "kept", "text_sha256"
-    )
+    found = dedup_exact(documents(spark, sf_dir), index)
+    index.close()
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the rows of ``docs`` that stay, with their columns."""
     index = DigestIndex(spark, shared_folder(spark, "digest-index"))
-    kept = dedup_exact(docs, index).where("kept").select(ROW)
-    return row_key(docs).join(kept, ROW, "left_semi").drop(ROW)
+    rows = keyed_documents(docs)
+    kept = dedup_exact(rows.select(ROW, "doc.doc_id", "doc.text"), index, row=ROW)
+    index.close()
+    return rows.join(kept.where("kept").select(ROW), ROW, "left_semi").select("doc.*")
 
 
 OP6_SQL = """

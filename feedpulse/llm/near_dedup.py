@@ -41,7 +41,8 @@ from feedpulse.llm.common import (
     ROW,
     components,
     documents,
-    row_key,
+    keyed_documents,
+    keyed_rows,
     small_batches,
     text_or_empty,
     written,
@@ -105,8 +106,8 @@ def half_keys(least: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def signatures(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """``(row, doc_id, n, digest, halves, sketch)`` of every row of ``docs``, stored.
+def signatures(rows: DataFrame) -> DataFrame:
+    """``(row, doc_id, n, digest, halves, sketch)`` of ``rows (row, doc_id, text)``, stored.
 
     ``digest`` is that of the shingle set; it is null, as are the others, where the
     set is empty.
@@ -140,11 +141,8 @@ def signatures(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
                 names=[ROW, "doc_id", "n", "digest", "halves", "sketch"],
             )
 
-    keyed = row_key(docs).select(
-        ROW, F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text")
-    )
     return written(
-        keyed.mapInArrow(
+        rows.select(ROW, "doc_id", "text").mapInArrow(
             sign,
             f"{ROW} long, doc_id long, n long, digest binary, halves array<long>, sketch binary",
         ),
@@ -159,7 +157,9 @@ def table_keys(nodes: DataFrame) -> DataFrame:
     is part of its hash, so the collections don't mix.
     """
     halves = nodes.select("node", "n", F.posexplode("halves").alias("i", "half"))
-    shared = halves.groupBy("half").agg(F.count("*").alias("c")).where("c > 1").select("half")
+    shared = written(
+        halves.groupBy("half").agg(F.count("*").alias("c")).where("c > 1").select("half"), "halves"
+    )
     both = (
         halves.join(shared, "half")
         .groupBy("node", "n")
@@ -271,7 +271,7 @@ def prefixes(texts: DataFrame) -> DataFrame:
     shingle can be the first that two similar sets share.
     """
     rows = exploded(texts)
-    counts = rows.groupBy("shingle").agg(F.count("*").alias("c")).where("c > 1")
+    counts = written(rows.groupBy("shingle").agg(F.count("*").alias("c")).where("c > 1"), "counts")
     shared = rows.join(counts, "shingle")
     order = Window.partitionBy("node").orderBy("c", "shingle")
     ranked = shared.select(
@@ -314,7 +314,7 @@ def star_pairs(entries: DataFrame) -> DataFrame:
             F.col("top.m").alias("m_a"),
         )
     )
-    met = entries.join(centres, "key").where(
+    met = entries.join(written(centres, "centres"), "key").where(
         (F.col("node") != F.col("a")) & possible("n", "m", "n_a", "m_a")
     )
     return met.groupBy("node").agg(F.mode("a", True).alias("a")).select("a", F.col("node").alias("b"))
@@ -333,7 +333,7 @@ def mixed_keys(entries: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFr
         .where("labels > 1")
         .select("key", F.col("most.label").alias("major"))
     )
-    return named, keys
+    return named, written(keys, "mixed-keys")
 
 
 def open_texts(entries: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
@@ -364,22 +364,30 @@ def open_pairs(entries: DataFrame, labels: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def dedup_near(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def dedup_near(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", row: str | None = None
+) -> DataFrame:
     """One row per row of ``docs``: set size, component, whether it stays.
 
     Columns ``_llm_row, doc_id, n_shingles, component_id, kept, first``. ``kept``
     is ``doc_id = component_id``; ``first`` is true for exactly one row of each
     component, also where ids are null (they come last) or repeated. Null and empty
     texts and such without words have no shingles and are components of their own.
-    Other columns are not read. ``docs`` should be a stored table: it is read again
-    for the texts of candidate pairs.
+    Other columns are not read. ``row`` names a row key that is stored with ``docs``;
+    without one, ids and texts are stored here, as texts of candidates are read again.
     """
+    own_id = F.col(doc_id).cast("long").alias("doc_id")
+    own_text = text_or_empty(text).alias("text")
+    if row is None:
+        rows = keyed_rows(docs, own_id, own_text)
+    else:
+        rows = docs.select(F.col(row).alias(ROW), own_id, own_text)
     with small_batches(docs.sparkSession):
-        return _dedup_near(docs, text, doc_id)
+        return _dedup_near(rows)
 
 
-def _dedup_near(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    signed = signatures(docs, text, doc_id)
+def _dedup_near(rows: DataFrame) -> DataFrame:
+    signed = signatures(rows)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col(ROW).alias("row"))
     groups = written(
         signed.where("n > 0")
@@ -395,12 +403,13 @@ def _dedup_near(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     )
     sketches = groups.select("node", "n", "sketch")
     keys = written(table_keys(groups), "table-keys")
-    tables = keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    tables = written(
+        keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "tables"
+    )
     met = written(keys.join(tables, "key"), "met")
     nodes = met.select(F.col("node").alias(ROW), "n").distinct()
     texts = written(
-        row_key(docs)
-        .select(ROW, text_or_empty(text).alias("text"))
+        rows.select(ROW, "text")
         .join(nodes, ROW)
         .select(F.col(ROW).alias("node"), "n", "text"),
         "texts",
@@ -418,9 +427,8 @@ def _dedup_near(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     named = groups.join(labels, "node", "left").select(
         "digest", "least", F.coalesce("label", "node").alias("label")
     )
-    found = named.join(
-        named.groupBy("label").agg(F.min("least").alias("component")), "label"
-    ).select("digest", "component")
+    firsts = written(named.groupBy("label").agg(F.min("least").alias("component")), "components")
+    found = written(named.join(firsts, "label").select("digest", "component"), "found")
     lone = F.col("component").isNull()
     return signed.join(found, "digest", "left").select(
         ROW,
@@ -440,5 +448,7 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_first_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each component, with its columns."""
-    first = dedup_near(docs).where("first").select(ROW)
-    return row_key(docs).join(first, ROW, "left_semi").drop(ROW)
+    rows = keyed_documents(docs)
+    own = rows.select(ROW, "doc.doc_id", "doc.text")
+    first = dedup_near(own, row=ROW).where("first").select(ROW)
+    return rows.join(first, ROW, "left_semi").select("doc.*")

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedpulse.llm.common import ROW, row_key, text_or_empty, written
+from feedpulse.llm.common import ROW, keyed_rows, text_or_empty, written
 from feedpulse.session import shared_folder
 
 VERSION = b"WARC/1.1\r\n"
@@ -34,6 +34,8 @@ DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Payloads under this length are never revisits.
 LEAST_REVISIT = 1000
+#: Marks of revisits, of some 16 bytes, that are sent to all tasks at most.
+BROADCAST_ROWS = 1_000_000
 #: A task begins a new archive beyond this many bytes.
 ARCHIVE_BYTES = 64 << 20
 MEMBER = b"\x1f\x8b\x08"
@@ -258,34 +260,40 @@ def write_pages(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTE
     response and the others revisit it. Null html is an empty payload. Columns of
     other names are not read.
 
-    Payload groups are counted by digest with map-side combine; only digests that
-    come twice are joined back, in a sort-merge join that Spark splits where one
-    payload is hot. The manifest has a row per archive.
+    Rows are stored under a key first. Payloads long enough are grouped by digest with
+    map-side combine; only digests that come twice are joined back, digests alone, in a
+    sort-merge join of stored tables that Spark splits where one payload is hot. Rows to
+    be revisits then get their mark by key: sent to all tasks where there are few, by a
+    shuffle of the pages beyond ``BROADCAST_ROWS``. The manifest has a row per archive.
     """
     payload = text_or_empty("html")
-    rows = row_key(pages).select(
-        ROW,
+    long_enough = F.octet_length(payload) >= LEAST_REVISIT
+    rows = keyed_rows(
+        pages,
         F.col("page_id").cast("long").alias("page_id"),
-        "url",
+        F.col("url").alias("url"),
         payload.alias("html"),
-        F.sha2(payload, 256).alias("digest"),
+        F.when(long_enough, F.sha2(payload, 256)).alias("digest"),
     )
     best = F.struct(F.col("page_id").isNotNull().alias("has_id"), "page_id", ROW)
-    kept = (
-        rows.where(F.octet_length("html") >= LEAST_REVISIT)
-        .groupBy("digest")
+    digests = rows.where("digest IS NOT NULL").select(ROW, "page_id", "digest")
+    kept = written(
+        digests.groupBy("digest")
         .agg(F.max(best).alias("best"), F.count("*").alias("n"))
         .where("n > 1")
-        .select("digest", "best")
+        .select("digest", "best"),
+        "warc-kept",
     )
-    planned = rows.join(kept, "digest", "left").select(
-        "page_id",
-        "url",
-        "html",
-        F.coalesce(F.col("best").isNotNull() & (F.col(f"best.{ROW}") != F.col(ROW)), F.lit(False)).alias(
-            "again"
-        ),
-        F.col("best.page_id").alias("refers_to"),
+    again = written(
+        digests.select(ROW, "digest")
+        .join(kept, "digest")
+        .where(F.col("best")[ROW] != F.col(ROW))
+        .select(ROW, F.lit(True).alias("again"), F.col("best.page_id").alias("refers_to")),
+        "warc-again",
+    )
+    few = again.count() <= BROADCAST_ROWS
+    planned = rows.join(F.broadcast(again) if few else again, ROW, "left").select(
+        "page_id", "url", "html", F.coalesce("again", F.lit(False)).alias("again"), "refers_to"
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

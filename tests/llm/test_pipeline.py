@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.01"
 def test_queries_are_registered():
     names = set(entry.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
-    assert sorted({int(q[2:].split("_")[0]) for q in queries.QUERIES}) == list(range(1, 11))
+    assert sorted({int(q[2:].split("_")[0]) for q in queries.QUERIES}) == list(range(1, 14))
     assert set(queries.ORACLES) <= set(entry.oracle_sql())
 
 
