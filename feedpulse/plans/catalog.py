@@ -53,7 +53,8 @@ from feedpulse.sources.messages import (
     split_valid,
     to_messages,
 )
-from feedpulse.sources.commits import CommitLog
+from feedpulse.sources.commits import CommitLog, hour_of
+from feedpulse.sources.lookup import index_files, lookup_posts, newest_posts
 from feedpulse.sources.table import (
     compact,
     drop_expired,
@@ -397,6 +398,43 @@ def compacted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts.crossJoin(old).crossJoin(lines).crossJoin(folders)
 
 
+def _indexed_feed(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """All events in eight batches by number, the last one with errors again, indexed."""
+    events = _events_as_posts(spark, sf_dir, "POSITIVE")
+    number = F.col("id").cast("long")
+    eighth = -(-events.count() // 8)
+    log = CommitLog(spark, path)
+    again = events.where("title = 'error'").withColumn("sentiment_label", F.lit("NEGATIVE"))
+    for batch in range(9):
+        part = again if batch == 8 else events.where(number.between(batch * eighth, (batch + 1) * eighth - 1))
+        upsert_posts(part, batch, f"{path}/posts", AS_OF)
+        log.commit({f"posts/batch_id={batch}": hour_of(AS_OF)}, batch=batch)
+    index_files(spark, path)
+    return events
+
+
+def indexed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events that have the number of a document, by the index of files."""
+    path = shared_folder(spark, "indexed")
+    _indexed_feed(spark, sf_dir, path)
+    wanted = load(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"))
+    found = lookup_posts(spark, path, wanted)
+    total = len(read_versions(spark, f"{path}/posts").inputFiles())
+    return found.select(
+        "id",
+        _ntz("created_at"),
+        "sentiment_label",
+        F.lit(len(found.inputFiles()) < total).alias("files_skipped"),
+    )
+
+
+def newest_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 25 latest events of the table, by the newest post of each file."""
+    path = shared_folder(spark, "indexed")
+    _indexed_feed(spark, sf_dir, path)
+    return newest_posts(spark, path, 25).select("id", _ntz("created_at"), "sentiment_label")
+
+
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four files of messages, one a batch, and the stored progress of the stream."""
     path = shared_folder(spark, "progress")
@@ -421,21 +459,35 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dashboard_panels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every panel over a stored rollup, told by its count of posts, rows or buckets."""
+    """Every panel over a stored rollup, with its values: one long table.
+
+    ``key`` is the community, label, bucket or post of a row; ``posts`` its count,
+    ``score`` a mean or a post's score, ``share`` the share or positive ratio.
+    """
     view = _events_view(spark, sf_dir)
     path = shared_folder(spark, "rollup")
     rollup_posts(view).write.parquet(path)
     panels = dashboard(view, spark.read.parquet(path))
-    count = F.count("*")
-    facts = {
-        "headline": F.first("total_posts"),
-        "summary": F.first("records"),
-        "trend_summary": F.first("points"),
+    day = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    none = F.lit(None).cast("double")
+    shown = {
+        "headline": ("most_common_label", "total_posts", "avg_score", none),
+        "distribution": ("sentiment_label", "posts", none, "share"),
+        "communities": ("subreddit", "posts", "avg_score", none),
+        "trend": (day("bucket"), "posts", "avg_score", "positive_ratio"),
+        "trend_summary": ("time_grouping", "points", none, none),
+        "summary": (day("newest_post"), "records", none, none),
+        "recent_posts": ("id", F.lit(1), "score", none),
     }
     out = None
-    for name, panel in panels.items():
-        one = panel.agg(facts.get(name, count).cast("long").alias("n")).select(
-            F.lit(name).alias("panel"), "n"
+    for name, (key, posts, score, share) in shown.items():
+        column = lambda c: F.col(c) if isinstance(c, str) else c
+        one = panels[name].select(
+            F.lit(name).alias("panel"),
+            column(key).alias("key"),
+            column(posts).cast("long").alias("posts"),
+            F.round(column(score), 6).alias("score"),
+            F.round(column(share), 6).alias("share"),
         )
         out = one if out is None else out.union(one)
     return out
@@ -864,4 +916,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retained_rollup": retained_rollup,
     "stream_trend": stream_trend,
     "compacted_windows": compacted_windows,
+    "indexed_lookup": indexed_lookup,
+    "newest_stored": newest_stored,
 }

@@ -415,14 +415,29 @@ SELECT subreddit, upper(sentiment_label) AS sentiment_label, count(*) AS posts,
 FROM scored GROUP BY 1, 2""",
     "stream_progress": """
 SELECT 4::BIGINT AS batches, count(*) AS rows, true AS logged FROM documents""",
-    "dashboard_panels": f"""WITH {_events_view()}
-SELECT 'headline' AS panel, count(*) AS n FROM view
-UNION ALL SELECT 'distribution', count(DISTINCT sentiment_label) FROM view
-UNION ALL SELECT 'communities', least(10, count(DISTINCT subreddit)) FROM view
-UNION ALL SELECT 'trend', count(DISTINCT date_trunc('week', created_at)) FROM view
-UNION ALL SELECT 'trend_summary', count(DISTINCT date_trunc('week', created_at)) FROM view
-UNION ALL SELECT 'summary', count(*) FROM view
-UNION ALL SELECT 'recent_posts', least(10, count(*)) FROM view""",
+    "dashboard_panels": f"""WITH {_events_view()},
+labels AS (
+  SELECT sentiment_label AS label, count(*) AS n FROM view
+  WHERE sentiment_label IS NOT NULL GROUP BY 1),
+weeks AS (
+  SELECT date_trunc('week', created_at) AS week, count(*) AS n, avg(sentiment_score) AS score,
+         avg(CASE WHEN sentiment_label = 'POSITIVE' THEN 1.0 ELSE 0.0 END) AS share
+  FROM view GROUP BY 1),
+communities AS (
+  SELECT subreddit, count(*) AS n, avg(sentiment_score) AS score FROM view GROUP BY 1
+  ORDER BY n DESC, subreddit LIMIT 10),
+newest AS (SELECT * FROM view ORDER BY created_at DESC NULLS LAST, id LIMIT 10)
+SELECT 'headline' AS panel, (SELECT label FROM labels ORDER BY n DESC, label LIMIT 1) AS key,
+       count(*) AS posts, round(avg(sentiment_score), 6) AS score, NULL::DOUBLE AS share FROM view
+UNION ALL
+SELECT 'distribution', label, n, NULL, round(n / (SELECT sum(n) FROM labels), 6) FROM labels
+UNION ALL SELECT 'communities', subreddit, n, round(score, 6), NULL FROM communities
+UNION ALL
+SELECT 'trend', strftime(week, '%Y-%m-%d %H:%M:%S'), n, round(score, 6), round(share, 6) FROM weeks
+UNION ALL SELECT 'trend_summary', 'Weekly', count(*), NULL, NULL FROM weeks
+UNION ALL
+SELECT 'summary', strftime(max(created_at), '%Y-%m-%d %H:%M:%S'), count(*), NULL, NULL FROM view
+UNION ALL SELECT 'recent_posts', id, 1, round(sentiment_score, 6), NULL FROM newest""",
     "retained_rollup": """
 SELECT time_bucket(INTERVAL '15 minutes', date_trunc('second', ts)) AS bucket,
        'events' AS subreddit, 'POSITIVE' AS sentiment_label,
@@ -443,4 +458,13 @@ WITH n AS (
   SELECT count(*) AS n, count(*) FILTER (WHERE event_type = 'error') AS e FROM events)
 SELECT n AS posts, n AS ids, e AS best, n AS posts_before, 6::BIGINT AS batches,
        (3 * n + 3 * e)::BIGINT AS rows_in, 6 AS folders_before, 3 AS folders FROM n""",
+    "indexed_lookup": """
+SELECT CAST(event_id AS VARCHAR) AS id, date_trunc('second', ts) AS created_at,
+       CASE WHEN event_type = 'error' THEN 'NEGATIVE' ELSE 'POSITIVE' END AS sentiment_label,
+       true AS files_skipped
+FROM events WHERE event_id IN (SELECT doc_id FROM documents)""",
+    "newest_stored": """
+SELECT CAST(event_id AS VARCHAR) AS id, date_trunc('second', ts) AS created_at,
+       CASE WHEN event_type = 'error' THEN 'NEGATIVE' ELSE 'POSITIVE' END AS sentiment_label
+FROM events ORDER BY date_trunc('second', ts) DESC, CAST(event_id AS VARCHAR) LIMIT 25""",
 }
