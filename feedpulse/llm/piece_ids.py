@@ -201,15 +201,26 @@ class PieceTable:
     def word(self, word: str) -> bytes:
         """Ids, as little-endian 32-bit numbers, of a word mark and ``word``.
 
-        Between two characters that stand side by side in no piece nothing is merged, so
-        the word is cut there and each part encoded by itself.
+        Between two characters that stand side by side in no piece nothing is merged.
+        What follows the last such border is taken off, sign by sign, as long as there is
+        one: words are often known without the signs at their end.
         """
-        pairs, ids, start, whole = self.pairs, [], 0, MARK + word
-        for k in range(2, len(whole)):
-            if whole[k - 1 : k + 1] not in pairs:
-                ids += self.chunk(whole[start:k])
-                start = k
-        return self._raw(ids + self.chunk(whole[start:]))
+        end = len(word)
+        while end > 2 and word[end - 2 : end] not in self.pairs:
+            end -= 1
+        head, tail = word[:end], word[end:]
+        own = self.words.get(head) if tail else None
+        if own is None:
+            own = self._raw(self.chunk(MARK + head))
+            if tail:
+                self._remember(head, own)
+        return own + b"".join([self._raw(self.chunk(c)) for c in tail])
+
+    def _remember(self, word: str, own: bytes) -> None:
+        if len(word) <= REMEMBERED:
+            if len(self.words) > self.limit:
+                self.words.clear()
+            self.words[word] = own
 
     @staticmethod
     def _raw(ids: list[int]) -> bytes:
@@ -226,10 +237,7 @@ class PieceTable:
             own = words.get(word)
             if own is None:
                 own = self.word(word)
-                if len(word) <= REMEMBERED:
-                    if len(words) > self.limit:
-                        words.clear()
-                    words[word] = own
+                self._remember(word, own)
             raw.append(own)
         return np.frombuffer(b"".join(raw), "<i4")
 

@@ -86,7 +86,7 @@ def test_unspaced_texts_are_not_kept():
         text = "".join(map(chr, rng.integers(0x4E00, 0x9000, 300))) + " and some"
         assert pieces.encode(text).tolist() == pieces.library.encode(text)
         assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == library_ids(words, text)
-    assert len(pieces.words) == 2 and len(words.words) == 2
+    assert len(words.words) == 2 and max(map(len, pieces.words)) <= 32
 
 
 def test_piece_ids_when_memory_is_short(texts):
