@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from feedpulse.functions.text import (
     chunk_text,
+    combine_text,
     cut_text,
     is_too_short,
     normalize_mentions_links,
@@ -19,6 +20,7 @@ from feedpulse.functions.text import (
 from feedpulse.functions.times import UNITS, epoch_to_ts, floor_ts, time_text, ts_to_epoch
 from feedpulse.functions.wordlists import NEGATIVE_WORDS, POSITIVE_WORDS
 from feedpulse.operators.language import detect_language
+from feedpulse.operators.learned import LearnedModel, learn
 from feedpulse.operators.metrics import (
     adaptive_bucket,
     community_sentiment,
@@ -435,6 +437,51 @@ def newest_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest_posts(spark, path, 25).select("id", _ntz("created_at"), "sentiment_label")
 
 
+def learned_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A language model learned from three quarters of the first lines, told on all of them.
+
+    At least 99 of 100 of the lines it has not seen must be told right.
+    """
+    title = F.substring_index("text", "\n", 1).alias("title")
+    lines = load(spark, sf_dir, "documents").select("doc_id", "lang", title)
+    held_out = F.col("doc_id") % 4 == 2
+    model = learn(lines.where(~held_out), "title", "lang")
+    told = lines.select("lang", held_out.alias("held_out"), model.label_of(F.col("title")).alias("told"))
+    right = F.count_if(F.col("held_out") & (F.col("told") == F.col("lang")))
+    unseen = F.count_if("held_out")
+    return told.agg(
+        F.count("told").alias("told"), unseen.alias("unseen"), (right >= unseen * 0.99).alias("right")
+    )
+
+
+def learned_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scorer learned from labels, stored, read back and put into the scorer slot.
+
+    Of the labelled posts it has not seen, good ones must score higher on average.
+    """
+    posts = untimed_posts(spark, sf_dir)
+    labels = load(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id"), "quality")
+    both = posts.join(labels, "id").select(
+        combine_text(F.col("title"), F.col("text")).alias("text"),
+        F.when(F.col("quality") == 1, "positive").otherwise("negative").alias("label"),
+        "id",
+    )
+    held_out = F.col("id").cast("long") % 4 == 2
+    path = shared_folder(spark, "scorer")
+    learn(both.where(~held_out), "text", "label", "words").save(spark, path)
+    scored = score_posts(posts, LearnedModel.read(spark, path).scorer())
+    good = F.when(F.col("sentiment_label") == "positive", F.col("sentiment_score")).otherwise(
+        1 - F.col("sentiment_score")
+    )
+    told = scored.select("id", "score_error", good.alias("good")).join(labels, "id", "left")
+    mean = lambda q: F.avg(F.when(held_out & (F.col("quality") == q), F.col("good")))
+    return told.agg(
+        F.count("*").alias("posts"),
+        F.count_if("score_error").alias("errors"),
+        (mean(1) > mean(0)).alias("separates"),
+    )
+
+
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four files of messages, one a batch, and the stored progress of the stream."""
     path = shared_folder(spark, "progress")
@@ -918,4 +965,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compacted_windows": compacted_windows,
     "indexed_lookup": indexed_lookup,
     "newest_stored": newest_stored,
+    "learned_language": learned_language,
+    "learned_scores": learned_scores,
 }

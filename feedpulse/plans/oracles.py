@@ -467,4 +467,9 @@ FROM events WHERE event_id IN (SELECT doc_id FROM documents)""",
 SELECT CAST(event_id AS VARCHAR) AS id, date_trunc('second', ts) AS created_at,
        CASE WHEN event_type = 'error' THEN 'NEGATIVE' ELSE 'POSITIVE' END AS sentiment_label
 FROM events ORDER BY date_trunc('second', ts) DESC, CAST(event_id AS VARCHAR) LIMIT 25""",
+    "learned_language": """
+SELECT count(*) AS told, count(*) FILTER (WHERE doc_id % 4 = 2) AS unseen, true AS right
+FROM documents""",
+    "learned_scores": """
+SELECT count(*) AS posts, 0::BIGINT AS errors, true AS separates FROM documents""",
 }

@@ -1,0 +1,86 @@
+"""Models from hashed counts, against counting by hand and on rows they have not seen."""
+
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from feedpulse.operators.learned import (
+    SMOOTHING,
+    LearnedModel,
+    learn,
+    letter_features,
+    word_features,
+)
+from feedpulse.operators.scoring import check_scorer, score_posts
+
+ROWS = [
+    ("good happy day", "positive"),
+    ("happy happy good", "positive"),
+    ("bad sad day", "negative"),
+    (None, "negative"),
+    ("", "positive"),
+    ("never labelled", None),
+]
+
+
+def test_weights_by_hand(spark):
+    buckets = 64
+    model = learn(spark.createDataFrame(ROWS, "t string, l string"), "t", "l", "words", buckets)
+    assert model.labels == ["negative", "positive"]
+    assert np.exp(model.prior) == pytest.approx([2 / 5, 3 / 5])
+    for k, label in enumerate(model.labels):
+        counts = Counter()
+        for text, own in ROWS:
+            if own == label:
+                counts.update(word_features(text or "", buckets).tolist())
+        total = sum(counts.values()) + SMOOTHING * buckets
+        want = [math.log((counts[b] + SMOOTHING) / total) for b in range(buckets)]
+        assert model.weights[:, k] == pytest.approx(want)
+
+
+def test_labels_and_texts_without_features(spark):
+    model = learn(spark.createDataFrame(ROWS, "t string, l string"), "t", "l", "words")
+    texts = [("happy",), ("sad",), ("",), (None,), ("!? ...",), ("x" * 100_000,), ("SAD BAD",)]
+    got = spark.createDataFrame(texts, "t string").select(model.label_of(F.col("t"))).collect()
+    assert [r[0] for r in got[:5]] == ["positive", "negative", None, None, None]
+    assert got[6][0] == "negative"
+
+
+@pytest.mark.parametrize("text", ["", " ", "a", "日本語", "😀", "12 34", "é" * 3, "\udc80"[:0] + "x y"])
+def test_features_of_odd_texts(text):
+    for make in (letter_features, word_features):
+        own = make(text, 100)
+        assert own.dtype == np.int64 and ((own >= 0) & (own < 100)).all()
+    assert len(letter_features("abc", 100)) == 3 and len(word_features("a b c", 100)) == 5
+    assert letter_features("ABC!", 100).tolist() == letter_features("abc ", 100).tolist()
+
+
+def test_no_labels(spark):
+    with pytest.raises(ValueError, match="no row has a label"):
+        learn(spark.createDataFrame([("a", None)], "t string, l string"), "t", "l")
+
+
+def test_stored_model_in_the_scorer_slot(spark, tmp_path):
+    path = f"file://{tmp_path}/model"
+    learn(spark.createDataFrame(ROWS, "t string, l string"), "t", "l", "words").save(spark, path)
+    model = LearnedModel.read(spark, path)
+    check_scorer(spark, model.scorer())
+    posts = spark.createDataFrame(
+        [("1", "good happy", "day"), ("2", "sad", "and bad"), ("3", "", "")],
+        "id string, title string, text string",
+    ).withColumns({"created_at": F.lit(None).cast("timestamp"), "subreddit": F.lit("s"), "type": F.lit("t")})
+    rows = {r.id: r for r in score_posts(posts, model.scorer()).collect()}
+    assert [rows[k].sentiment_label for k in "123"] == ["positive", "negative", "neutral"]
+    assert all(0.5 <= r.sentiment_score <= 1 and not r.score_error for r in rows.values())
+
+
+def test_language_of_unseen_lines(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lines = docs.select("doc_id", "lang", F.substring_index("text", "\n", 1).alias("title"))
+    unseen = F.col("doc_id") % 4 == 2
+    model = learn(lines.where(~unseen), "title", "lang")
+    told = lines.where(unseen).select("lang", model.label_of(F.col("title")).alias("told"))
+    assert told.where("told = lang").count() >= 0.99 * told.count()
