@@ -437,6 +437,28 @@ def newest_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest_posts(spark, path, 25).select("id", _ntz("created_at"), "sentiment_label")
 
 
+def new_files_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that starts at "latest": posts that were there are not read, later ones are."""
+    path = shared_folder(spark, "latest")
+    documents = load_documents(spark, sf_dir)
+    english = F.col("lang") == "en"
+
+    def land(part: DataFrame) -> None:
+        to_messages(as_posts(part)).select("value").write.mode("append").text(f"{path}/topic")
+
+    def read() -> None:
+        topic = read_posts_stream(
+            spark, "text", starting="latest", marker=f"{path}/start", path=f"{path}/topic"
+        )
+        await_stream(run_stream(topic, path, f"{path}/checkpoint", trigger=NOW))
+
+    land(documents.where(~english))
+    read()
+    land(documents.where(english))
+    read()
+    return scan_posts(spark, f"{path}/posts").select("id", "subreddit", "title")
+
+
 def learned_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A language model learned from three quarters of the first lines, told on all of them.
 
@@ -965,6 +987,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compacted_windows": compacted_windows,
     "indexed_lookup": indexed_lookup,
     "newest_stored": newest_stored,
+    "new_files_only": new_files_only,
     "learned_language": learned_language,
     "learned_scores": learned_scores,
 }

@@ -472,4 +472,7 @@ SELECT count(*) AS told, count(*) FILTER (WHERE doc_id % 4 = 2) AS unseen, true
 FROM documents""",
     "learned_scores": """
 SELECT count(*) AS posts, 0::BIGINT AS errors, true AS separates FROM documents""",
+    "new_files_only": """
+SELECT CAST(doc_id AS VARCHAR) AS id, source AS subreddit, split_part(text, chr(10), 1) AS title
+FROM documents WHERE lang = 'en'""",
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from feedpulse.functions.text import blank_if_null, combine_text, has_text, stri
 from feedpulse.functions.times import ts_literal
 from feedpulse.operators.language import language_of
 from feedpulse.schema import POST_COLUMNS
+from feedpulse.sources.commits import files
 
 
 def stream_options(
@@ -45,19 +46,49 @@ def read_posts_stream(
     starting: str = "earliest",
     max_per_batch: int | None = None,
     fail_on_data_loss: bool = True,
+    marker: str | None = None,
     **options: str,
 ) -> DataFrame:
     """A stream of raw messages or rows.
 
     ``fmt="kafka"`` takes ``subscribe`` and ``kafka.bootstrap.servers``;
     ``"text"`` reads one message per line into ``value``; ``"json"`` and
-    ``"parquet"`` need ``schema``. Files have no offsets to start from, so
-    filter by time with :func:`posts_since` there.
+    ``"parquet"`` need ``schema``.
+
+    Files have no offsets, so ``starting="latest"`` there means files written from the
+    first start on; older ones are not opened. The file ``marker`` keeps that moment, so
+    that a stream that starts again goes on with what came while it was down. A moment,
+    as ISO text, may be given instead. Files count by their time of modification: one
+    that is moved in with an older time is not new. :func:`posts_since` filters by
+    the time of posts.
     """
     reader = spark.readStream.format(fmt).options(
         **stream_options(fmt, starting, max_per_batch, fail_on_data_loss), **options
     )
-    return (reader.schema(schema) if schema is not None else reader).load()
+    stream = (reader.schema(schema) if schema is not None else reader).load()
+    if fmt == "kafka" or starting == "earliest":
+        return stream
+    if marker is None:
+        raise ValueError('files need a marker to start from "latest" or a time')
+    start = _first_start(spark, marker, starting)
+    return stream.where(F.col("_metadata.file_modification_time") > ts_literal(start))
+
+
+def _first_start(spark: SparkSession, marker: str, starting: str) -> datetime:
+    """The moment that ``marker`` keeps; put there now if it has none."""
+    fs, path = files(spark, marker)
+    if not fs.exists(path):
+        moment = datetime.now(timezone.utc) if starting == "latest" else datetime.fromisoformat(starting)
+        out = fs.create(path, False)
+        out.write(bytearray(moment.isoformat().encode()))
+        out.close()
+        return moment
+    stream = fs.open(path)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return datetime.fromisoformat(text)
 
 
 def posts_since(df: DataFrame, start: datetime) -> DataFrame:

@@ -285,3 +285,26 @@ def test_json_file_stream(spark, tmp_path):
     query = score_posts(stream, LexiconScorer()).writeStream.format("memory").queryName("scored")
     await_stream(query.trigger(**NOW).start(), 60)
     assert spark.table("scored").first().sentiment_label == "positive"
+
+
+def test_files_that_came_before_are_not_read(spark, job, tmp_path):
+    """Not at the first start, and what comes while the stream is down is read at the next."""
+
+    def run(**options):
+        stream = read_posts_stream(spark, "text", path=str(job.source), **options)
+        await_stream(run_stream(stream, job.path, job.checkpoint, trigger=NOW), 120)
+
+    latest = {"starting": "latest", "marker": str(tmp_path / "start")}
+    job.land("1.txt", post("a", "good"))
+    run(**latest)
+    assert not (tmp_path / "out").exists()
+    job.land("2.txt", post("b", "bad"))
+    run(**latest)
+    job.land("3.txt", post("c", "bad"))
+    run(**latest)
+    assert set(job.titles()) == {"b", "c"}
+    with pytest.raises(ValueError, match="marker"):
+        run(starting="latest")
+    job.path, job.checkpoint = str(tmp_path / "since"), str(tmp_path / "cp")
+    run(starting="2001-01-01T00:00:00+00:00", marker=str(tmp_path / "other"))
+    assert set(job.titles()) == {"a", "b", "c"}
