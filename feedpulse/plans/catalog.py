@@ -388,16 +388,27 @@ def compacted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     compact_windows(spark, path, hours[1] + timedelta(minutes=30))
     after = log.snapshot()
     posts = scan_posts(spark, f"{path}/posts").agg(
-        F.count("*").alias("posts"), F.countDistinct("id").alias("ids"), F.count_if(F.col("title") == "best").alias("best")
+        F.struct(
+            F.count("*").alias("posts"),
+            F.countDistinct("id").alias("ids"),
+            F.count_if(F.col("title") == "best").alias("best"),
+        )
     )
-    old = scan_posts(spark, f"{path}/posts", as_of=before.number).agg(F.count("*").alias("posts_before"))
+    old = scan_posts(spark, f"{path}/posts", as_of=before.number).agg(F.count("*"))
     lines = read_folder(spark, f"{path}/batch_log").agg(
-        F.countDistinct("batch_id").alias("batches"), F.sum("rows_in").alias("rows_in")
+        F.struct(F.countDistinct("batch_id").alias("batches"), F.sum("rows_in").alias("rows_in"))
     )
-    folders = spark.range(1).select(
-        F.lit(len(before.of("posts"))).alias("folders_before"), F.lit(len(after.of("posts"))).alias("folders")
+    return (
+        spark.range(1)
+        .select(
+            posts.scalar().alias("posts"),
+            old.scalar().alias("posts_before"),
+            lines.scalar().alias("lines"),
+            F.lit(len(before.of("posts"))).alias("folders_before"),
+            F.lit(len(after.of("posts"))).alias("folders"),
+        )
+        .select("posts.*", "posts_before", "lines.*", "folders_before", "folders")
     )
-    return posts.crossJoin(old).crossJoin(lines).crossJoin(folders)
 
 
 def _indexed_feed(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:

@@ -34,9 +34,9 @@ def test_no_cross_joins_and_no_single_task_windows(plans):
         assert not re.search(r"\bWindow \[", plan), name
 
 
-def test_python_runs_in_the_model_slot_only(plans):
+def test_python_runs_for_models_only(plans):
     python = {n for n, p in plans.items() if "EvalPython" in p or "InPandas" in p}
-    assert python == {"model_scored_posts", "model_errors"}
+    assert python == {"model_scored_posts", "model_errors", "learned_language", "learned_scores"}
 
 
 def test_scans_read_only_what_is_used(plans):
