@@ -6,7 +6,7 @@ nothing fits and no more may be open, the fullest is closed to make room.
 
 Texts are tokenised where they lie and reduced to one narrow row per piece. Pieces
 are dealt to packing groups by hash, each group about ``group_tokens`` tokens, and
-reach their packer with the longest first.
+reach their packer in the order in which they are stored, whatever their length.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from feedpulse.llm.word_ids import encoder
 
 SIZE = 4096
 END_ID = 1
-OPEN = 1 << 15
+#: Open sequences of a packer; a group fills about 16,000, so the bound is reached.
+OPEN = 256
 GROUP_TOKENS = 1 << 26
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -116,8 +117,8 @@ def pack(
     ``pieces`` should be a stored table, as it is read once for its total and once
     to be packed. Groups are dealt by a hash of the row and its key in that table, so
     no document or source is hot, and rows that are the same in all columns spread as
-    well. A group's rows arrive sorted by length and then by all other columns: a task
-    that is run again deals and places them alike.
+    well. A group's rows arrive in the order of their keys: a task that is run again
+    places them alike. Each group is one partition.
     """
     total = pieces.agg(F.sum("length")).first()[0] or 0
     groups = max(1, -(-total // group_tokens))
@@ -142,10 +143,10 @@ def pack(
                 names=[*names, "sequence_id", "offset"],
             )
 
-    dealt = row_key(pieces).select(*names, F.pmod(F.xxhash64(*names, ROW), F.lit(groups)).alias("_group"))
-    ordered = dealt.repartition(groups, "_group").sortWithinPartitions(
-        "_group", F.desc("length"), *[c for c in names if c != "length"]
+    dealt = row_key(pieces).select(
+        *names, ROW, F.pmod(F.xxhash64(*names, ROW), F.lit(groups)).cast("int").alias("_group")
     )
+    ordered = dealt.repartitionById(groups, "_group").sortWithinPartitions("_group", ROW)
     return ordered.mapInArrow(place, PACKED)
 
 

@@ -170,6 +170,31 @@ def test_best_fit_takes_the_tightest_space_and_closes_the_fullest():
         packer.place(0)
 
 
+def test_best_fit_against_a_scan_of_all_open_sequences():
+    rng = random.Random(9)
+    for most_open in (1, 3, 20):
+        packer, free, made = BestFit(100, most_open), {}, 0
+        for _ in range(2000):
+            length = rng.choice((rng.randint(1, 100), rng.randint(1, 20)))
+            sequence, offset = packer.place(length)
+            fits = [f for f in free.values() if f >= length]
+            if fits:
+                assert free[sequence] == min(fits)
+            else:
+                assert sequence == made and offset == 0
+                made += 1
+                if len(free) == most_open:
+                    # The fullest goes; which of equally full ones does not matter.
+                    gone = {s for s in free if s not in {x for b in packer.bins for x in b}}
+                    assert len(gone) == 1 and free.pop(gone.pop()) <= min(free.values(), default=100)
+                free[sequence] = 100
+            assert offset == 100 - free[sequence]
+            free[sequence] -= length
+            if not free[sequence]:
+                del free[sequence]
+        assert made == packer.made
+
+
 def check_packing(rows, docs, words, size=4096):
     sequences, own = {}, {}
     for r in rows:
