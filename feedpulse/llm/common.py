@@ -41,6 +41,14 @@ def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores at its end until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

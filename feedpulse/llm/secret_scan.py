@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedpulse.llm.common import documents, text_or_empty
+from feedpulse.llm.common import documents, free_name, text_or_empty
 
 # The base patterns (kind: pattern, least length), in order of kind.
 KEY = r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?"
@@ -432,26 +432,31 @@ def span_list(spans: Column) -> Column:
     )
 
 
-def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``_secrets``: ``struct<base, spans>``, arrays of spans in order.
+def scan_secrets(docs: DataFrame, text: str = "text", into: str = "_secrets") -> DataFrame:
+    """``docs`` with ``into``: ``struct<base, spans>``, arrays of spans in order.
 
     Null and empty texts have no spans. Each row is scanned on its own, in its
-    place, so repeated rows, null ids and clashing names change nothing; the only
-    shuffles are those of token digests and their bounded counts in ``thresholds``.
+    place, so repeated rows and null ids change nothing; the only shuffles are those
+    of token digests and their bounded counts in ``thresholds``. Columns of any name
+    stay as they are, but one called ``into`` is an error: name the result otherwise.
     """
+    if free_name(docs, into) != into:
+        raise ValueError(f"there is a column {into} already")
     least = thresholds(docs, text)
     value = text_or_empty(text)
+    base = free_name(docs, "_base")
+    found = free_name(docs, "_random")
     return (
-        docs.withColumn("_secrets", base_spans(value))
-        .withColumn("_random", random_spans(value, least, F.col("_secrets")))
+        docs.withColumn(base, base_spans(value))
+        .withColumn(found, random_spans(value, least, F.col(base)))
         .withColumn(
-            "_secrets",
+            into,
             F.struct(
-                F.col("_secrets").alias("base"),
-                F.array_sort(F.concat("_secrets", "_random")).alias("spans"),
+                F.col(base).alias("base"),
+                F.array_sort(F.concat(base, found)).alias("spans"),
             ),
         )
-        .drop("_random")
+        .drop(base, found)
     )
 
 
@@ -470,7 +475,11 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with each stretch of overlapping spans replaced by ``mark``."""
+    """``docs`` with each stretch of overlapping spans replaced by ``mark``.
+
+    Other columns, whatever their names, stay as they are. Null texts stay null.
+    """
+    own = free_name(docs, "_secrets")
     start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("parts"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -482,15 +491,15 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataF
             F.struct(s["stop"].alias("at"), F.concat(acc["parts"], F.array(gap, F.lit(mark))).alias("parts"))
         )
 
-    walked = F.aggregate(F.col("_secrets.spans"), start, step)
+    spans = F.col(own)["spans"]
+    walked = F.aggregate(spans, start, step)
     clean = F.concat(
         F.array_join(walked["parts"], ""),
         F.substring(F.col(text), walked["at"] + 1, F.length(F.col(text))),
     )
-    has = F.size(F.col("_secrets.spans")) > 0
-    return scan_secrets(docs, text).withColumn(
-        text, F.when(has, clean).otherwise(F.col(text))
-    ).drop("_secrets")
+    return scan_secrets(docs, text, own).withColumn(
+        text, F.when(F.size(spans) > 0, clean).otherwise(F.col(text))
+    ).drop(own)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

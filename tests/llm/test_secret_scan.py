@@ -127,6 +127,18 @@ def test_no_python_in_the_plan(spark, small):
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
 
 
+def test_columns_of_the_same_names(spark, make):
+    names = "doc_id long, text string, n_chars long, _secrets int, _random int, _base int, spans int"
+    docs = make([(1, "token=abcdef", 0, 2, 3, 4, 5), (None, None, 0, 2)], names, "names")
+    out = {r.doc_id: r for r in redact_secrets(spark, docs, "").collect()}
+    assert tuple(out[1]) == (1, "[SECRET]", 8, 2, 3, 4, 5)
+    assert out[None].text is None and out[None]._secrets == 2
+    with pytest.raises(ValueError):
+        scan_secrets(docs)
+    found = {r.doc_id: r for r in scan_secrets(docs, into="found").collect()}
+    assert len(found[1].found.base) == 1 and (found[1]._random, found[1]._base) == (3, 4)
+
+
 def test_stage_masks_and_keeps(spark, make):
     rows = [(n, t, "en", "s", 1) for n, t in enumerate(CASES)]
     docs = make(rows)
