@@ -17,12 +17,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedpulse.llm.common import documents, text_or_empty
+from feedpulse.llm.common import documents, free_name, text_or_empty
 
 #: Words in a passage; the last one of a text may have fewer.
 PASSAGE = 96
 #: Most labelled rows that are learned from, in order of a hash of their id.
 SAMPLE = 6000
+#: Most passages of one text that are learned from, spread evenly over all of it.
+LEARNED = 128
 #: Accepted from this score.
 ACCEPT = 0.7
 
@@ -99,6 +101,28 @@ class AttentionModel:
         z = np.add.reduceat(a[:, None] * h, starts)
         return {"x": x, "h": h, "t": t, "g": g, "a": a, "z": z, "p": sigmoid(z @ w["c"] + w["b"])}
 
+    def slopes(self, x: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
+        """Slope of the mean log loss in each weight."""
+        f, w = self.forward(x, sizes), self.weights
+        starts, n = np.cumsum(sizes) - sizes, len(sizes)
+        dz = (f["p"] - labels)[:, None] / n * w["c"]
+        dzp = np.repeat(dz, sizes, axis=0)
+        da = (dzp * f["h"]).sum(1)
+        ds = f["a"] * (da - np.repeat(np.add.reduceat(f["a"] * da, starts), sizes))
+        dt = ds[:, None] * w["w"] * f["g"] * (1 - f["t"] ** 2)
+        dg = ds[:, None] * w["w"] * f["t"] * f["g"] * (1 - f["g"])
+        dh = f["a"][:, None] * dzp + dt @ w["V"].T + dg @ w["U"].T
+        dx = dh * (1 - f["h"] ** 2)
+        return {
+            "E": f["x"].T @ dx,
+            "e": dx.sum(0),
+            "V": f["h"].T @ dt,
+            "U": f["h"].T @ dg,
+            "w": (f["t"] * f["g"]).T @ ds,
+            "c": f["z"].T @ (f["p"] - labels) / n,
+            "b": np.array([(f["p"] - labels).mean()]),
+        }
+
     def score(self, bags: list[np.ndarray]) -> np.ndarray:
         if not bags:
             return np.empty(0)
@@ -133,28 +157,10 @@ def fit(
         "b": np.zeros(1),
     }
     model = AttentionModel(x.mean(0), x.std(0) + 1e-3, weights)
-    starts, n = np.cumsum(sizes) - sizes, len(sizes)
     first = {k: np.zeros_like(v) for k, v in weights.items()}
     second = {k: np.zeros_like(v) for k, v in weights.items()}
     for step in range(1, steps + 1):
-        f, w = model.forward(x, sizes), weights
-        dz = (f["p"] - labels)[:, None] / n * w["c"]
-        dzp = np.repeat(dz, sizes, axis=0)
-        da = (dzp * f["h"]).sum(1)
-        ds = f["a"] * (da - np.repeat(np.add.reduceat(f["a"] * da, starts), sizes))
-        dt = ds[:, None] * w["w"] * f["g"] * (1 - f["t"] ** 2)
-        dg = ds[:, None] * w["w"] * f["t"] * f["g"] * (1 - f["g"])
-        dh = f["a"][:, None] * dzp + dt @ w["V"].T + dg @ w["U"].T
-        dx = dh * (1 - f["h"] ** 2)
-        slopes = {
-            "E": f["x"].T @ dx,
-            "e": dx.sum(0),
-            "V": f["h"].T @ dt,
-            "U": f["h"].T @ dg,
-            "w": (f["t"] * f["g"]).T @ ds,
-            "c": f["z"].T @ (f["p"] - labels) / n,
-            "b": np.array([(f["p"] - labels).mean()]),
-        }
+        slopes = model.slopes(x, sizes, labels)
         for k, v in weights.items():
             slope = slopes[k] + decay * v
             first[k] = 0.9 * first[k] + 0.1 * slope
@@ -172,10 +178,18 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
 
+def spread(bag: np.ndarray, most: int) -> np.ndarray:
+    """``bag``, or ``most`` of its rows at even distances, the first and the last with them."""
+    if len(bag) <= most:
+        return bag
+    return bag[np.linspace(0, len(bag) - 1, most).round().astype(int)]
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
     sample: int = SAMPLE,
+    passages: int = LEARNED,
     text: str = "text",
     doc_id: str = "doc_id",
     label: str = "quality",
@@ -183,7 +197,9 @@ def train(
     """A model from up to ``sample`` labelled documents, or None where none has a label.
 
     Labels that are null, of null ids, held out, or contradict each other for one id
-    are not used. The sample's measures, a few rows per document, reach the driver.
+    are not used. Of rows that repeat an id the greatest text is learned from. At most
+    ``passages`` rows of measures per document, spread evenly over its whole text, reach
+    the driver: ``sample * passages`` rows in all.
     """
     known = (
         labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull() & ~held_out(F.col(doc_id)))
@@ -196,25 +212,23 @@ def train(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            bags = (spread(measures(t.as_py()), passages).tobytes() for t in batch.column(2))
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array([measures(t.as_py()).tobytes() for t in batch.column(2)], pa.binary()),
-                ],
+                [batch.column(0), batch.column(1), pa.array(list(bags), pa.binary())],
                 names=["doc_id", "label", "bag"],
             )
 
     # ``sample`` rows of two numbers: a side of fixed size.
-    chosen = docs.join(F.broadcast(known), F.col(doc_id).cast("long") == F.col("_label_id")).select(
-        F.col("_label_id").alias("doc_id"),
-        F.col("_label").cast("long").alias("label"),
-        text_or_empty(text).alias("text"),
+    chosen = (
+        docs.select(F.col(doc_id).cast("long").alias("_label_id"), text_or_empty(text).alias("text"))
+        .join(F.broadcast(known), "_label_id")
+        .groupBy("_label_id")
+        .agg(F.min("_label").cast("long").alias("label"), F.max("text").alias("text"))
     )
     rows = chosen.mapInArrow(encode, "doc_id long, label long, bag binary").collect()
     if not rows:
         return None
-    rows.sort(key=lambda r: (r["doc_id"], r["bag"]))
+    rows.sort(key=lambda r: r["doc_id"])
     bags = [np.frombuffer(r["bag"]).reshape(-1, MEASURES) for r in rows]
     return fit(bags, np.array([float(r["label"] > 0) for r in rows]))
 
@@ -225,8 +239,11 @@ def scored(
     """``docs`` with a score from 0 to 1; 0.5 for all where there is no model.
 
     Null and empty texts are a bag of one empty passage. The score reads the text
-    alone; other columns, null or repeated, pass through as they are.
+    alone; other columns, null or repeated, pass through as they are, but one called
+    ``into`` is an error.
     """
+    if free_name(docs, into) != into:
+        raise ValueError(f"there is a column {into} already")
     if model is None:
         return docs.withColumn(into, F.lit(0.5))
 
@@ -263,4 +280,5 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = train(docs, labels_of(spark, sf_dir))
     if model is None:
         return docs
-    return scored(docs, model).where(F.col("_quality") >= ACCEPT).drop("_quality")
+    own = free_name(docs, "_quality")
+    return scored(docs, model, into=own).where(F.col(own) >= ACCEPT).drop(own)

@@ -1,15 +1,19 @@
 import zlib
 
 import numpy as np
+import pytest
 
 from feedpulse.llm.quality import (
     MEASURES,
+    AttentionModel,
     fit,
     held_out,
     keep_good,
     labels_of,
     measures,
     op3_quality,
+    scored,
+    spread,
     train,
 )
 
@@ -45,6 +49,72 @@ def test_attention_finds_the_passage_that_decides():
     assert (again == scores).all()
 
 
+def small_model(rng, d=5, hidden=4, gate=3):
+    shapes = {"E": (d, hidden), "e": (hidden,), "V": (hidden, gate), "U": (hidden, gate)}
+    shapes |= {"w": (gate,), "c": (hidden,), "b": (1,)}
+    weights = {k: rng.standard_normal(v) for k, v in shapes.items()}
+    return AttentionModel(rng.standard_normal(d), rng.random(d) + 0.5, weights)
+
+
+def plain_score(model, bag):
+    """One document, passage by passage."""
+    w, encoded, strength = model.weights, [], []
+    for row in bag:
+        x = np.clip((row - model.mean) / model.scale, -6, 6)
+        h = np.tanh([x @ w["E"][:, k] + w["e"][k] for k in range(len(w["e"]))])
+        gated = [np.tanh(h @ w["V"][:, k]) / (1 + np.exp(-h @ w["U"][:, k])) for k in range(len(w["w"]))]
+        encoded.append(h)
+        strength.append(np.exp(np.dot(gated, w["w"])))
+    z = sum(s * h for s, h in zip(strength, encoded)) / sum(strength)
+    return 1 / (1 + np.exp(-(z @ w["c"] + w["b"][0])))
+
+
+def test_scores_and_slopes_against_plain_ones():
+    rng = np.random.default_rng(3)
+    model = small_model(rng)
+    bags = [rng.standard_normal((n, 5)) for n in (1, 4, 2, 7)]
+    assert np.allclose(model.score(bags), [plain_score(model, b) for b in bags], atol=1e-12)
+
+    labels = np.array([1.0, 0.0, 0.0, 1.0])
+    x, sizes = np.concatenate(bags), np.array([len(b) for b in bags])
+
+    def loss():
+        p = model.score(bags)
+        return -np.mean(labels * np.log(p) + (1 - labels) * np.log(1 - p))
+
+    slopes = model.slopes(x, sizes, labels)
+    for name, weight in model.weights.items():
+        for at in np.ndindex(weight.shape):
+            was = weight[at]
+            weight[at] = was + 1e-6
+            above = loss()
+            weight[at] = was - 1e-6
+            below = loss()
+            weight[at] = was
+            assert abs((above - below) / 2e-6 - slopes[name][at]) < 1e-7, (name, at)
+
+
+def test_passages_learned_from_are_spread_over_the_text():
+    bag = np.arange(1000.0)[:, None]
+    assert (spread(bag, 1000) == bag).all()
+    some = spread(bag, 11)[:, 0]
+    assert len(some) == 11 and some[0] == 0 and some[-1] == 999
+    assert np.diff(some).min() >= 99 and np.diff(some).max() <= 101
+
+
+def test_repeated_rows_and_names_do_not_change_the_model(spark, make):
+    good = "The words of this text are those of a plain one, and it goes on for a while. " * 9
+    rows = [(n, good + str(n) if n % 2 else "### $$$ %%% *** " * n) for n in range(1, 40)]
+    labels = spark.createDataFrame([(n, n % 2) for n in range(1, 40)], "doc_id long, quality int")
+    names = "doc_id long, text string, _label_id int, _label int, _quality int, label int"
+    once = make(rows, names, "once")
+    again = make([*rows, *rows[:1] * 50, (2, None)], names, "again")
+    a, b = train(once, labels), train(again, labels)
+    assert all(np.array_equal(a.weights[k], b.weights[k]) for k in a.weights)
+    with pytest.raises(ValueError):
+        scored(once, a)
+
+
 def test_held_out_accuracy(spark):
     known = {r.doc_id: r.quality for r in labels_of(spark, SF).collect()}
     rows = op3_quality(spark, SF).collect()
@@ -76,3 +146,5 @@ def test_stage(spark, make):
     ids = [r.doc_id for r in out.collect()]
     assert 2 not in ids and ids.count(1) == 2 and None in ids
     assert keep_good(spark, make([], name="none"), SF).count() == 0
+    named = make([(1, good, 7)], "doc_id long, text string, _quality int, _label int", "named")
+    assert [(r.doc_id, r._quality) for r in keep_good(spark, named, SF).collect()] == [(1, 7)]
