@@ -47,6 +47,9 @@ _COUNTED = (
     "sentiment_label string, sentiment_score double, posts long, scored long, "
     "score_sum double, first_post timestamp, last_post timestamp"
 )
+#: Times are microseconds inside a processor: executors give those in state back with a
+#: time zone, those in rows without, and the two can't be compared.
+_COUNTED_MICROS = _COUNTED.replace(" timestamp", " long")
 
 
 def _names(schema: str) -> list[str]:
@@ -103,6 +106,11 @@ class PostLedger(StatefulProcessor):
         pass
 
 
+def _begins(ends_ms: int) -> int:
+    """The microsecond at which the quarter hour begins that ends at ``ends_ms``."""
+    return (ends_ms - 15 * 60_000) * 1000
+
+
 class QuarterHours(StatefulProcessor):
     """By quarter hour, community and label: counts until the watermark is past its end.
 
@@ -114,7 +122,7 @@ class QuarterHours(StatefulProcessor):
         self.handle = handle
         self.counts = handle.getValueState(
             "counts",
-            "posts long, scored long, score_sum double, first_post timestamp, last_post timestamp",
+            "posts long, scored long, score_sum double, first_post long, last_post long",
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
@@ -124,12 +132,12 @@ class QuarterHours(StatefulProcessor):
         for row in rows:
             if row.ends_ms <= over:
                 yield _counted(
-                    True, row.id, row.created_at, row.bucket, row.subreddit, row.sentiment_label,
+                    True, row.id, row.micros, _begins(row.ends_ms), row.subreddit, row.sentiment_label,
                     row.sentiment_score, 1, int(row.sentiment_score is not None),
-                    row.sentiment_score or 0.0, row.created_at, row.created_at,
+                    row.sentiment_score or 0.0, row.micros, row.micros,
                 )
                 continue
-            ends, time, score = row.ends_ms, row.created_at, row.sentiment_score
+            ends, time, score = row.ends_ms, row.micros, row.sentiment_score
             if held is None:
                 held = (0, 0, 0.0, time, time)
             held = (
@@ -145,10 +153,10 @@ class QuarterHours(StatefulProcessor):
             self.counts.update(held)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        bucket, community, label, _ = key
+        ends, community, label, _ = key
         counts = tuple(self.counts.get())
         self.counts.clear()
-        yield _counted(False, None, None, bucket, community, label, None, *counts)
+        yield _counted(False, None, None, _begins(ends), community, label, None, *counts)
 
     def close(self) -> None:
         pass
@@ -282,8 +290,7 @@ def run_trend(
         .select(
             "id",
             # A new column: Spark drops late rows by a column that has the watermark.
-            F.timestamp_micros(F.unix_micros("created_at")).alias("created_at"),
-            bucket.cast("timestamp").alias("bucket"),
+            F.unix_micros("created_at").alias("micros"),
             (F.unix_millis(bucket.cast("timestamp")) + 15 * 60_000).alias("ends_ms"),
             "subreddit",
             "sentiment_label",
@@ -291,9 +298,12 @@ def run_trend(
             F.pmod(F.xxhash64("id"), F.lit(salts)).alias("salt"),
         )
     )
-    counted = posts.groupBy("bucket", "subreddit", "sentiment_label", "salt").transformWithState(
-        QuarterHours(), _COUNTED, "Append", "EventTime"
+    counted = posts.groupBy("ends_ms", "subreddit", "sentiment_label", "salt").transformWithState(
+        QuarterHours(), _COUNTED_MICROS, "Append", "EventTime"
     )
+    times = ["created_at", "bucket", "first_post", "last_post"]
+    counted = counted.withColumns({c: F.timestamp_micros(c) for c in times})
+
     def write(batch: DataFrame, batch_id: int) -> None:
         own = batch.sparkSession
         log, stream = CommitLog(own, path), stream_id(own)
