@@ -1,7 +1,8 @@
 """Rollups kept current by stateful streams over the table of scored posts.
 
 ``run_rollup`` is a ledger by post id: its state holds what each id counts for now, so a
-batch looks up its own ids and nothing else, however many batches are stored.
+batch looks up the shares that its own ids are in and nothing else, however many batches
+are stored.
 ``run_trend`` counts quarter hours of event time and writes each once it is over.
 
 State is in RocksDB and goes to the checkpoint as changes. Both commit to the log of the
@@ -10,9 +11,11 @@ feed, next to the scoring job.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -29,6 +32,10 @@ from feedpulse.sources.table import RETENTION_DAYS
 #: are to be dropped within that time.
 SPARE_DAYS = 7
 
+#: Parts that the ids of the ledger are dealt into; one is a key of the state. Asking for a
+#: key costs as much as some hundred ids in one. A checkpoint is bound to the number.
+SHARES = 1 << 13
+
 _ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -36,8 +43,10 @@ _ROCKSDB = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-_POST = "created_at timestamp, subreddit string, sentiment_label string, sentiment_score double, dt date"
-_CHANGE = f"{_POST}, posts long"
+#: What an id counts for; ``micros`` is the time of the post, ``day`` that of its insertion
+#: as days since 1970. The ledger holds it as JSON and never looks inside.
+_POST = "micros long, subreddit string, sentiment_label string, sentiment_score double, day int"
+_CHANGE = "post string, posts long"
 _ROLLUP = (
     "bucket timestamp, subreddit string, sentiment_label string, posts long, scored long, "
     "score_sum double, first_post timestamp, last_post timestamp, part string, dt date"
@@ -56,8 +65,10 @@ def _names(schema: str) -> list[str]:
     return [field.split()[0] for field in schema.split(", ")]
 
 
-#: Makers of rows with these columns.
-_change, _counted = Row(*_names(_CHANGE)), Row(*_names(_COUNTED))
+_DAY = 86_400_000
+
+#: Maker of rows with these columns.
+_counted = Row(*_names(_COUNTED))
 
 
 @contextmanager
@@ -75,32 +86,47 @@ def _settings(spark: SparkSession, **conf: str) -> Iterator[None]:
 
 
 class PostLedger(StatefulProcessor):
-    """By post id: what the id counts for. Puts out what a newer version changes.
+    """By share of the ids: what each id counts for. Puts out what newer versions change.
 
     A version that is known and did not change gives nothing, so files that come again,
     replayed or compacted, count once. A version that is older than the known one is
     superseded already. Written again with other content, a version replaces itself.
+
+    The state of a share is one JSON object, by id: the day it was put there, the version
+    and the post. Ids put there too long ago go when their share is next asked for, or
+    with it.
     """
 
     def __init__(self, days: int):
-        self.keep = days * 86_400_000
+        self.days = days
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.now = handle.getValueState("now", f"version long, {_POST}", self.keep)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        newest = None
-        for row in rows:
-            if newest is None or row.version >= newest.version:
-                newest = row
-        held = self.now.get() if self.now.exists() else None
-        new = tuple(newest[c] for c in ("version", *_names(_POST)))
-        if held is not None and (held[0] > new[0] or tuple(held) == new):
-            return
-        self.now.update(new)
-        if held is not None:
-            yield _change(*held[1:], -1)
-        yield _change(*new[1:], 1)
+        self.now = handle.getValueState("now", "posts string", self.days * _DAY)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        newest: dict[str, tuple[int, str]] = {}
+        for part in rows:
+            for id, version, post in zip(*(part[c].tolist() for c in ("id", "version", "post"))):
+                if id not in newest or version >= newest[id][0]:
+                    newest[id] = (version, post)
+        today = timerValues.getCurrentProcessingTimeInMs() // _DAY
+        stored = self.now.get()
+        held = json.loads(stored[0]) if stored else {}
+        held = {id: entry for id, entry in held.items() if entry[0] >= today - self.days}
+        posts, signs = [], []
+        for id, (version, post) in newest.items():
+            _, known, old = held.get(id, (None, None, None))
+            if known is not None and (known > version or (known == version and old == post)):
+                continue
+            held[id] = (today, version, post)
+            if known is not None:
+                posts.append(old)
+                signs.append(-1)
+            posts.append(post)
+            signs.append(1)
+        if posts:
+            self.now.update((json.dumps(held, separators=(",", ":")),))
+            yield pd.DataFrame({"post": posts, "posts": signs})
 
     def close(self) -> None:
         pass
@@ -206,7 +232,21 @@ def run_rollup(
     rebuild one, for instance after a batch was stored but given up for good.
     """
     posts = _stored_stream(spark, path, max_files)
-    changes = posts.groupBy("id").transformWithState(
+    numbered = posts.select(
+        F.pmod(F.xxhash64("id"), F.lit(SHARES)).alias("share"),
+        "id",
+        "version",
+        F.to_json(
+            F.struct(
+                F.unix_micros("created_at").alias("micros"),
+                "subreddit",
+                "sentiment_label",
+                "sentiment_score",
+                F.unix_date("dt").alias("day"),
+            )
+        ).alias("post"),
+    )
+    changes = numbered.groupBy("share").transformWithStateInPandas(
         PostLedger(days + SPARE_DAYS), _CHANGE, "Update", "ProcessingTime"
     )
 
@@ -217,16 +257,18 @@ def run_rollup(
         if state.streams.get(stream, -1) >= batch_id:
             return
         part = f"rollup/part={stream}-{batch_id}"
-        measures = batch.select(
-            "dt",
-            F.col("created_at").alias("bucket"),
+        time = F.timestamp_micros("micros")
+        changed = batch.select(F.from_json("post", _POST).alias("post"), "posts")
+        measures = changed.select("post.*", "posts").select(
+            F.date_from_unix_date("day").alias("dt"),
+            time.alias("bucket"),
             "subreddit",
             "sentiment_label",
             "posts",
             F.col("posts").alias("scored"),
             (F.col("posts") * F.col("sentiment_score")).alias("score_sum"),
-            F.col("created_at").alias("first_post"),
-            F.col("created_at").alias("last_post"),
+            time.alias("first_post"),
+            time.alias("last_post"),
         )
         _rollup_by_day(measures).write.mode("overwrite").partitionBy("dt").parquet(f"{path}/{part}")
         replaced = [] if stream in state.streams else list(state.of("rollup"))
