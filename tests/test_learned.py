@@ -4,6 +4,8 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from feedpulse.operators.learned import (
     word_features,
 )
 from feedpulse.operators.scoring import check_scorer, score_posts
+from feedpulse.plans.catalog import learned_language
 
 ROWS = [
     ("good happy day", "positive"),
@@ -84,3 +87,12 @@ def test_language_of_unseen_lines(spark):
     model = learn(lines.where(~unseen), "title", "lang")
     told = lines.where(unseen).select("lang", model.label_of(F.col("title")).alias("told"))
     assert told.where("told = lang").count() >= 0.99 * told.count()
+
+
+def test_a_notice_in_the_first_line_does_not_tell_the_language(spark, tmp_path):
+    notice = "All rights reserved."
+    said = {"en": "the weather of this morning is rather fine", "fr": "le temps de ce matin est plutôt beau"}
+    rows = [{"doc_id": k, "lang": lang, "text": f"{notice}\n{said[lang]}"} for k, lang in enumerate(["en", "fr"] * 20)]
+    rows = [r | {"doc_id": r["doc_id"] // 2 + 20 * (r["lang"] == "fr")} for r in rows]
+    pq.write_table(pa.Table.from_pylist(rows), f"{tmp_path}/documents.parquet")
+    assert learned_language(spark, str(tmp_path)).first().asDict() == {"told": 40, "unseen": 10, "right": True}
