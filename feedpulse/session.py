@@ -31,6 +31,17 @@ def local_session(cores: str = "*", **conf: str) -> SparkSession:
     return spark
 
 
+#: Rows and bytes that Python workers get at once. A batch is in memory several times, as
+#: Arrow and as objects, in each worker; Spark's 10,000 whole texts fill an executor.
+PYTHON_ROWS, PYTHON_BYTES = 256, 8 << 20
+
+
+def bound_python_batches(spark: SparkSession) -> None:
+    """Hands rows to Python in small batches, so that its memory does not grow with the input."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(PYTHON_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(PYTHON_BYTES))
+
+
 def find_package(spark: SparkSession) -> None:
     """Lets Python workers import this package from where the driver has it.
 
