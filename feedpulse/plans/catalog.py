@@ -55,7 +55,7 @@ from feedpulse.sources.messages import (
     split_valid,
     to_messages,
 )
-from feedpulse.sources.commits import CommitLog, hour_of
+from feedpulse.sources.commits import CommitLog, files, hour_of
 from feedpulse.sources.lookup import index_files, lookup_posts, newest_posts
 from feedpulse.sources.table import (
     compact,
@@ -83,6 +83,8 @@ from feedpulse.streaming.rollup import read_late, read_rollup, read_trend, run_r
 
 # The time all written batches of a query carry, so that results repeat.
 AS_OF = datetime(2024, 2, 10)
+#: Bytes of stored documents that become one file of messages.
+TOPIC_FILE = 16 << 20
 FEED = ["src0", "src1", "src2", "src3", "src5", "src8", "src13", "src17", "src19"]
 
 
@@ -516,14 +518,19 @@ def learned_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four files of messages, one a batch, and the stored progress of the stream."""
+    """Messages in four batches of as many files, and the stored progress of the stream.
+
+    A task writes a file, so there is one for each ``TOPIC_FILE`` bytes of the documents.
+    """
     path = shared_folder(spark, "progress")
     messages = to_messages(as_posts(load_documents(spark, sf_dir))).select("value")
-    messages.repartition(4).write.text(f"{path}/topic")
+    fs, documents = files(spark, f"{sf_dir}/documents.parquet")
+    each = -(-fs.getContentSummary(documents).getLength() // (4 * TOPIC_FILE))
+    messages.repartition(4 * each).write.text(f"{path}/topic")
     reporter = StreamReporter(spark, f"{path}/progress")
     spark.streams.addListener(reporter)
     try:
-        topic = read_posts_stream(spark, "text", path=f"{path}/topic", max_per_batch=1)
+        topic = read_posts_stream(spark, "text", path=f"{path}/topic", max_per_batch=each)
         await_stream(run_stream(topic, path, f"{path}/checkpoint", trigger={"availableNow": True}))
         # Events come after the batch they tell of.
         reporter.wait_for("terminated")

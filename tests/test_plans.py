@@ -88,3 +88,19 @@ def test_superseded_rows_are_combined_before_the_shuffle(plans):
     plan = plans["latest_per_id"]
     assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
     assert "partial_max_by" in plan
+
+
+def test_topic_files_grow_in_number_not_in_size(spark, monkeypatch):
+    from feedpulse.plans import catalog
+
+    written = []
+    stream = catalog.read_posts_stream
+    monkeypatch.setattr(catalog, "TOPIC_FILE", 20_000, raising=False)
+    monkeypatch.setattr(
+        catalog,
+        "read_posts_stream",
+        lambda s, *a, **o: written.append(len(s.read.text(o["path"]).inputFiles())) or stream(s, *a, **o),
+    )
+    row = catalog.stream_progress(spark, SF_DIR).first()
+    assert row.asDict() == {"batches": 4, "rows": 200, "logged": True}
+    assert written[0] > 4 and written[0] % 4 == 0
