@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from feedpulse.plans.catalog import indexed_lookup
 from feedpulse.sources.commits import CommitLog, hour_of
 from feedpulse.sources.lookup import files_with, index_files, lookup_posts, newest_posts, posts_of
 from feedpulse.sources.table import scan_posts, upsert_posts
@@ -102,6 +103,31 @@ def test_all_that_is_stored_is_found(spark, feed):
     assert sum(map(len, one_file)) <= 2
 
 
+def test_many_numbers_open_the_files_they_are_in(spark, feed):
+    """Files on both sides of 1,000 span all numbers by text; the filter alone lets some pass."""
+    for b in range(3):
+        feed.write(b, [(str(b * 800 + k), k, "s") for k in range(800)])
+    index_files(spark, feed.path)
+    asked = spark.range(800).select(F.col("id").cast("string").alias("id"))
+    found = lookup_posts(spark, feed.path, asked)
+    assert found.count() == 800 and len(found.inputFiles()) == 1
+    [old] = feed.log.snapshot().of("lookup")
+    facts = spark.read.parquet(f"{feed.path}/{old}").drop("first_id", "last_id")
+    facts.write.parquet(f"{feed.path}/lookup/part=before")
+    feed.log.commit({"lookup/part=before": hour_of(DAY)}, [old])
+    assert lookup_posts(spark, feed.path, asked).count() == 800
+
+
+@pytest.mark.parametrize("asked, skipped", [(200, True), (1000, False)])
+def test_only_files_of_the_feed_count_as_opened(spark, tmp_path, asked, skipped):
+    """Documents that come in more files than the feed has; with all numbers none is left out."""
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").write.parquet(f"{tmp_path}/events.parquet")
+    documents = spark.range(asked).withColumnRenamed("id", "doc_id").repartition(12)
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = indexed_lookup(spark, str(tmp_path)).collect()
+    assert len(rows) == asked and {r.files_skipped for r in rows} == {skipped}
+
+
 def test_newest_posts_stop_early(spark, feed):
     feed.batches(16)
     index_files(spark, feed.path)
