@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from feedpulse.schema import TABLE_DATA_COLUMNS, TABLE_SCHEMA
 from feedpulse.sources.commits import CommitLog, hour_of
-from feedpulse.sources.table import LOOKUP_OPTIONS, latest_per_key, layout
+from feedpulse.sources.table import LOOKUP_OPTIONS, newest_layout
 
 #: Keys by which rows of a table add up; rows of the others are kept as they are.
 _SUMMED = {
@@ -52,7 +52,7 @@ def _rewrite(log: CommitLog, table: str, folders: list[str], dropped_before: str
     if table == "posts":
         # Negative, as for all compacted rows; -1 is that of a whole table.
         name = f"batch_id=-{own + 2}"
-        newest = layout(latest_per_key(rows), redistribute=True).select(*TABLE_DATA_COLUMNS, "dt")
+        newest = newest_layout(rows).select(*TABLE_DATA_COLUMNS, "dt")
         writer = newest.write.options(**LOOKUP_OPTIONS).partitionBy("dt")
     elif table in _SUMMED:
         name = f"part=window-{own}"

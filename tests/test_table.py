@@ -116,6 +116,55 @@ def test_compaction_keeps_the_newest_and_later_batches_win(spark, path, tmp_path
     assert tb.read_versions(spark, again).count() == 5
 
 
+def steps(df):
+    """Sections of the plan, one an operator with what goes into it."""
+    explain = df.sparkSession._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString
+    return explain(df._jdf.queryExecution(), "formatted").split("\n\n")
+
+
+def test_compaction_moves_texts_once(spark, path, monkeypatch):
+    for batch in range(2):
+        tb.upsert_posts(posts(spark, ("a", f"v{batch}", 1), ("b", "x", 2)), batch, path, DAY1)
+    written = []
+    monkeypatch.setattr(tb, "_write_folder", lambda df, *a, **o: written.append(df))
+    tb.compact(spark, path, "unused")
+    with_texts = [s for s in steps(written[0]) if "cleaned_text" in s]
+    assert sum("Exchange" in s.split("\n")[0] for s in with_texts) == 1
+    assert not any("Aggregate" in s.split("\n")[0] or "Join" in s.split("\n")[0] for s in with_texts)
+
+
+def test_compacted_rows_alone_are_read_where_they_are(spark, path, tmp_path):
+    tb.upsert_posts(posts(spark, ("a", "one", 1), ("b", "two", 2)), 0, path, DAY1)
+    target = str(tmp_path / "target")
+    tb.compact(spark, path, target)
+    assert not [s for s in steps(tb.scan_posts(spark, target)) if "Exchange" in s or "Join" in s]
+    assert titles(tb.scan_posts(spark, target)) == {"a": "one", "b": "two"}
+    tb.upsert_posts(posts(spark, ("b", "again", 2)), 1, target, DAY1)
+    assert titles(tb.scan_posts(spark, target)) == {"a": "one", "b": "again"}
+
+
+def test_compaction_of_posts_that_move(spark, path, tmp_path):
+    """Versions with other communities and times, none at all, and rows without an id."""
+    for batch in range(3):
+        df = spark.range(0, 300, batch + 1).select(
+            F.when(F.col("id") % 50 != 7, F.col("id").cast("string")).alias("id"),
+            F.when(F.col("id") % 5 != batch, F.timestamp_seconds(F.col("id") * 977 * (batch + 1))).alias("created_at"),
+            F.when(F.col("id") % 7 != batch, F.concat(F.lit("s"), (F.col("id") + batch) % 3)).alias("subreddit"),
+            F.lit(f"v{batch}").alias("title"),
+            F.lit("").alias("text"),
+            F.lit("submission").alias("type"),
+        )
+        tb.upsert_posts(score_posts(df), batch, path, DAY1)
+    target = path
+    for k in range(3):
+        want = tb.latest_posts(tb.read_versions(spark, target)).drop("batch_id")
+        source, target = target, str(tmp_path / f"target{k}")
+        tb.compact(spark, source, target, files=4)
+        got = tb.read_versions(spark, target).drop("batch_id")
+        assert got.count() == want.count() and got.exceptAll(want).count() == 0
+        tb.upsert_posts(posts(spark, ("3", f"again {k}", 9), (f"new{k}", "x", 3)), k + 2, target, DAY1)
+
+
 def test_compaction_keeps_all_days(spark, path, tmp_path):
     tb.upsert_posts(posts(spark, ("a", "one", 1)), 0, path, DAY1)
     tb.upsert_posts(posts(spark, ("b", "two", 1)), 1, path, DAY2)
